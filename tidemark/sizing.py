@@ -1,0 +1,45 @@
+"""Size checks that guard every broadcast and every driver-side read of control rows."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+CONTROL_ROWS = 10_000
+SMALL_ROWS = 2_000_000
+SMALL_BYTES = 64 * 1024 * 1024
+
+
+def control_rows(df: DataFrame, limit: int = CONTROL_ROWS) -> list[Row]:
+    """Read control rows to the driver; more than ``limit`` rows is an error, never a cut."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"control table holds more than {limit} rows")
+    return rows
+
+
+def _width(field: T.StructField) -> Column:
+    col = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(col), F.lit(0)) + F.lit(8)
+    if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0)) + F.lit(8)
+    return F.lit(8)
+
+
+def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> bool:
+    """Measure ``df`` and stop reading at ``max_rows`` + 1 rows."""
+    width = reduce(lambda a, b: a + b, [_width(f) for f in df.schema.fields])
+    seen = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("bytes"),
+    ).first()
+    return seen["n"] <= max_rows and seen["bytes"] <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
+    """Hint a broadcast after measuring; a larger side stays a shuffle join (AQE splits its skew)."""
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
