@@ -102,13 +102,13 @@ def pivot_max(df: DataFrame, keys: list[str], column: str, values: list[object],
     return df.groupBy(*keys).pivot(column, values).agg(F.max(value))
 
 
-def grid(df: DataFrame, column: str, n: int, order: list[str], within: list[str] | None = None) -> DataFrame:
+def grid(df: DataFrame, column: str, n: int, order: list[str], within: list[str | Column] | None = None) -> DataFrame:
     """Lay a list out in ``n`` columns: row number modulo ``n`` picks the column, ``within`` orders it.
 
     Both numberings are distributed, although there are only ``n`` buckets.
     """
     within = within or order
-    numbered = number_rows(df.select(*dict.fromkeys([column, *order, *within])), order, "_rn")
+    numbered = number_rows(df, order, "_rn")
     placed = numbered.withColumn("_bucket", F.pmod("_rn", F.lit(n)).cast("int"))
     lined = number_rows(placed, within, "row_no", partition=["_bucket"])
     cells = lined.groupBy("row_no").agg(

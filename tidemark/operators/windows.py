@@ -151,3 +151,24 @@ def forward_fill(df: DataFrame, column: str, order: list[str], partition: list[s
 def earliest_version(df: DataFrame, attributes: list[str], start: str, end: str | None = None) -> DataFrame:
     """The earliest version of each attribute tuple."""
     return first_per_key(df, attributes, [start] + ([end] if end else []))
+
+
+def running_count(df: DataFrame, column: str, order: list[str], name: str, partition: list[str] | None = None) -> DataFrame:
+    """Non-NULL values up to each row, in ``order``: blocks of rows, then block totals."""
+    partition = partition or []
+    keys = [quoted(p) for p in partition]
+    numbered = number_rows(df, [*partition, *order], "_no")
+    blocks = numbered.withColumn("_block", F.floor((F.col("_no") - 1) / COPY_CHUNK))
+    inside = Window.partitionBy(*keys, "_block").orderBy("_no").rowsBetween(Window.unboundedPreceding, 0)
+    counted = blocks.withColumn("_in", F.count(column).over(inside))
+    totals = blocks.groupBy(*keys, "_block").agg(F.count(column).alias("_total"))
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(
+        *[quoted(p).alias(f"_key_{p}") for p in partition],
+        F.col("_block").alias("_at_block"),
+        F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_carry"),
+    )
+    same = [F.col("_block") == F.col("_at_block"), *[quoted(p).eqNullSafe(quoted(f"_key_{p}")) for p in partition]]
+    return counted.join(carried, same, "left").select(
+        *[quoted(c) for c in df.columns], (F.col("_in") + F.col("_carry")).alias(name)
+    )

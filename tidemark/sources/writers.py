@@ -20,19 +20,22 @@ def _dated(run_date: dt.date) -> list[Column]:
 
 
 def land_to_bronze(
-    spark: SparkSession, src: str | list[str], out: str, run_date: dt.date, fmt: str = "parquet", **options: str
+    spark: SparkSession,
+    src: str | list[str],
+    out: str,
+    run_date: dt.date,
+    source: Column | None = None,
+    fmt: str = "parquet",
+    **options: str,
 ) -> DataFrame:
     """Copy every landed CSV file to ``source=/year=/month=/day=`` folders in one job.
 
-    The rows are rebalanced by source, so small sources are merged and a source that holds most
-    rows is spread over many tasks.
+    The source is the file name without its extension unless given. Rows are rebalanced by source, so
+    small sources are merged and a source that holds most rows is spread over many tasks.
     """
-    landed = spark.read.option("header", True).options(**options).csv(src)
-    named = landed.select(
-        "*",
-        F.regexp_replace(F.col("_metadata.file_name"), r"(-[0-9]+)?\.[^.]*$", "").alias("source"),
-        *_dated(run_date),
-    )
+    landed = spark.read.option("header", True).option("recursiveFileLookup", True).options(**options).csv(src)
+    source = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "") if source is None else source
+    named = landed.select("*", source.alias("source"), *_dated(run_date))
     write_partitioned(named, out, ["source", "year", "month", "day"], fmt)
     return spark.read.format(fmt).option("header", True).load(out)
 
