@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import checks, files, groups, rows, scalars  # noqa: F401  (importing registers)
+from tidemark.plans import changes, checks, files, groups, logs, rows, scalars, warehouse  # noqa: F401  (importing registers)
 from tidemark.plans.registry import QUERIES, SQL
 
 
