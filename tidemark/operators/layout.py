@@ -97,7 +97,7 @@ def interval_depth(ranges: DataFrame) -> DataFrame:
     depth = points.select((F.col("rank") - 1).alias("at"), (F.col("last") - F.col("ended")).alias("depth"))
     files = points.join(stops, "file").select(
         "file",
-        (F.col("e_pos") - F.col("e_rank") - F.col("ended") - 1).alias("overlaps"),
+        (F.col("e_pos") - F.col("e_rank") - F.col("ended") - 1).alias("n_overlaps"),
         (F.col("first") - 1).alias("a"),
         (F.col("e_pos") - F.col("e_rank")).alias("b"),
     )
@@ -107,13 +107,13 @@ def interval_depth(ranges: DataFrame) -> DataFrame:
         .groupBy("level", F.expr("shiftright(at, level)").alias("block"))
         .agg(F.max("depth").alias("depth"))
     )
-    cover = files.select("file", "overlaps", "a", "b", F.explode(levels).alias("level"))
+    cover = files.select("file", "n_overlaps", "a", "b", F.explode(levels).alias("level"))
     left = F.expr("shiftright(a + shiftleft(1L, level) - 1, level)")
     right = F.expr("shiftright(b, level)")
     nodes = cover.withColumn("_l", left).withColumn("_r", right).filter("_l < _r")
     nodes = nodes.select(
         "file",
-        "overlaps",
+        "n_overlaps",
         "level",
         F.explode(
             F.array_compact(
@@ -125,7 +125,7 @@ def interval_depth(ranges: DataFrame) -> DataFrame:
         ).alias("block"),
     )
     return nodes.join(blocks, ["level", "block"]).groupBy("file").agg(
-        F.max("overlaps").alias("overlaps"), F.max("depth").alias("depth")
+        F.max("n_overlaps").alias("n_overlaps"), F.max("depth").alias("depth")
     )
 
 
@@ -134,6 +134,6 @@ def layout_depth(df: DataFrame, key: str, file: str | Column = "_metadata.file_p
     per_file = interval_depth(file_ranges(df, key, file))
     return per_file.agg(
         F.count(F.lit(1)).alias("n_files"),
-        F.round(F.avg("overlaps"), 4).alias("avg_overlaps"),
+        F.round(F.avg("n_overlaps"), 4).alias("avg_overlaps"),
         F.round(F.avg("depth"), 4).alias("avg_depth"),
     )

@@ -18,39 +18,34 @@ DIRECT = "DIRECT"
 NO_PARTITION_KEY = "No partition key specified"
 # Fixed values end.
 
+CUT_EVERY = 16
+
 
 def lineage(edges: DataFrame, roots: DataFrame, max_levels: int = 1000) -> DataFrame:
     """Everything reachable from each root: (root, parent, object, object_type, level, label).
 
     ``edges`` has (parent, object, object_type), ``roots`` has (root). All roots advance together, one
-    join per level. An object is expanded once per root, so cycles end; its level is its smallest
-    depth. Each level is checkpointed, so the plan does not grow with the depth.
+    join and one checkpoint per level. An object is expanded once per root, so cycles end; its level
+    is its smallest depth. Only views are expanded.
     """
     links = cut(edges.select("parent", "object", "object_type").distinct())
-    frontier = roots.select("root", F.col("root").alias("object")).distinct()
-    visited = cut(frontier)
-    frontier = visited
-    levels: list[DataFrame] = []
-    for level in range(max_levels):
-        step = frontier.select("root", F.col("object").alias("parent")).join(links, "parent")
-        found = cut(step.select("root", "parent", "object", "object_type", F.lit(level).alias("level")))
-        if found.isEmpty():
-            break
-        levels.append(found)
-        nxt = found.filter("object_type = 'VIEW'").select("root", "object").distinct()
-        frontier = cut(nxt.join(visited, ["root", "object"], "left_anti"))
+    views = links.filter("object_type = 'VIEW'").select(F.col("parent").alias("object"), F.col("object").alias("next"))
+    frontier = cut(roots.select("root", F.col("root").alias("object"), F.lit(0).alias("level")).distinct())
+    visited = frontier
+    for level in range(1, max_levels + 1):
+        step = frontier.select("root", "object").join(views, "object").select("root", F.col("next").alias("object")).distinct()
+        unseen = step.join(visited.select("root", "object"), ["root", "object"], "left_anti")
+        frontier = cut(unseen.withColumn("level", F.lit(level)))
         if frontier.isEmpty():
             break
-        visited = cut(visited.unionByName(frontier))
+        visited = visited.unionByName(frontier)
+        if level % CUT_EVERY == 0:
+            visited = cut(visited)
     else:
         raise ValueError(f"more than {max_levels} levels")
-    if not levels:
-        return found.select("*", F.lit(DIRECT).alias("label"))
-    out = levels[0]
-    for more in levels[1:]:
-        out = out.unionByName(more)
     label = F.when(F.col("level") == 0, DIRECT).otherwise(F.concat(F.lit("NESTED-"), F.col("level").cast("string")))
-    return out.withColumn("label", label)
+    parents = visited.withColumnRenamed("object", "parent")
+    return parents.join(links, "parent").select("root", "parent", "object", "object_type", "level", label.alias("label"))
 
 
 def lineage_summary(found: DataFrame, excluded: list[str] | None = None, schema_of: Column | None = None) -> DataFrame:

@@ -94,18 +94,19 @@ def key_usage(queries: DataFrame, keys: DataFrame, query_id: str = "query_id", t
     cut = queries.select(quoted(query_id), pieces.alias("_pieces"))
     pattern = F.concat(F.lit(r"\b\Q"), F.upper("key"), F.lit(r"\E\b"))
 
+    def condition(piece: Column, word: str) -> Column:
+        # Of a join only the text after ON counts; of the other clauses, all of it.
+        text_of = F.regexp_substr(piece, F.lit(r"(?s)\bON\b.*")) if word == "JOIN" else piece
+        return F.startswith(piece, F.lit(word)) & F.coalesce(F.rlike(text_of, pattern), F.lit(False))
+
     def within(word: str) -> Column:
-        return F.exists(
-            "_pieces", lambda p: F.startswith(p, F.lit(word)) & p.rlike(pattern) if word != "JOIN" else (
-                F.startswith(p, F.lit("JOIN")) & F.regexp_substr(p, F.lit(r"(?s)\bON\b.*")).rlike(pattern)
-            )
-        )
+        return F.exists("_pieces", lambda p: condition(p, word))
 
     return keys.join(cut, query_id).select(
         query_id,
         F.upper("key").alias("key"),
-        F.exists("_pieces", lambda p: p.rlike(pattern)).alias("present"),
-        F.coalesce(within("JOIN"), F.lit(False)).alias("in_join"),
+        F.exists("_pieces", lambda p: F.rlike(p, pattern)).alias("present"),
+        within("JOIN").alias("in_join"),
         within("WHERE").alias("in_where"),
         within("SELECT").alias("in_select"),
     )

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import changes, checks, files, groups, logs, rows, scalars, warehouse  # noqa: F401  (importing registers)
+from tidemark.plans import (  # noqa: F401  (importing registers)
+    analysis,
+    changes,
+    checks,
+    files,
+    groups,
+    logs,
+    rows,
+    scalars,
+    streams,
+    warehouse,
+)
 from tidemark.plans.registry import QUERIES, SQL
 
 
