@@ -23,9 +23,3 @@ def json_variant(c: Column | str, path: str, type_: str) -> Column:
 def json_struct(c: Column | str, schema: str) -> Column:
     """Typed object; fields that do not fit are NULL."""
     return F.from_json(_col(c), schema)
-
-
-def json_rows(**columns: Column) -> Column:
-    """Aggregate: the group's rows as a JSON array, ordered by their columns."""
-    row = F.struct(*[c.alias(n) for n, c in columns.items()])
-    return F.to_json(F.array_sort(F.collect_list(row)))

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.values import is_missing, quoted
 from tidemark.operators.windows import number_rows
-
-GROUP_TEXT_ITEMS = 1_000_000
+from tidemark.sizing import bounded_groups
 
 
 def code_sums(code: str, amount: Column, names: dict[object, str]) -> list[Column]:
@@ -69,27 +67,30 @@ def string_agg(
     """Values of a group as one ordered text.
 
     Equal values are merged before the shuffle (with their count unless ``distinct``), so a group is
-    only as large as its number of different values. A group of more than ``GROUP_TEXT_ITEMS``
-    different values is an error, not a cut.
+    only as large as its number of different values; too many of them are an error, not a cut.
     """
     value = quoted(column).cast("string")
     merged = df.filter(quoted(column).isNotNull()).groupBy(*keys, value.alias("_v")).agg(
         F.count(F.lit(1)).cast("int").alias("_n")
     )
-    sizes = merged.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_values"), F.array_sort(F.collect_list(F.struct("_v", "_n"))).alias("_items")
-    )
+    items = F.array_sort(F.collect_list(F.struct("_v", "_n")))
     item = (lambda x: x["_v"]) if distinct else (lambda x: F.array_join(F.array_repeat(x["_v"], x["_n"]), sep))
-    text = F.array_join(F.transform("_items", item), sep)
-    too_large = F.raise_error(F.lit(f"more than {GROUP_TEXT_ITEMS} different values in one text"))
-    return sizes.select(*keys, F.when(F.col("_values") > GROUP_TEXT_ITEMS, too_large).otherwise(text).alias(name))
+    return bounded_groups(merged, keys).groupBy(*keys).agg(F.array_join(F.transform(items, item), sep).alias(name))
 
 
 def ordered_distinct(df: DataFrame, keys: list[str], column: str, position: str, sep: str = ", ", name: str = "items") -> DataFrame:
     """Different values of a group in the order of their first position, as one text."""
     firsts = df.filter(quoted(column).isNotNull()).groupBy(*keys, column).agg(F.min(position).alias("_p"))
     items = F.array_sort(F.collect_list(F.struct("_p", quoted(column).alias("_v"))))
-    return firsts.groupBy(*keys).agg(F.array_join(F.transform(items, lambda x: x["_v"]), sep).alias(name))
+    text = F.array_join(F.transform(items, lambda x: x["_v"]), sep)
+    return bounded_groups(firsts, keys).groupBy(*keys).agg(text.alias(name))
+
+
+def rows_as_json(df: DataFrame, keys: list[str], columns: dict[str, str], name: str = "body") -> DataFrame:
+    """The rows of each group as one JSON array, ordered by the listed columns (JSON name to column)."""
+    rows = df.select(*keys, F.struct(*[quoted(c).alias(n) for n, c in columns.items()]).alias("_row"))
+    body = F.to_json(F.array_sort(F.collect_list("_row")))
+    return bounded_groups(rows, keys).groupBy(*keys).agg(body.alias(name))
 
 
 def status_summary(df: DataFrame, column: str) -> DataFrame:

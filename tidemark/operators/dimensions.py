@@ -241,7 +241,9 @@ def scd1_from_control(dim: DataFrame, stg: DataFrame, control: DataFrame, table:
     """Type 1 with keys and columns from control rows; a surrogate column is filled for new rows."""
     roles = roles_from_control(control, table)
     merged = scd1(dim, staged_for(stg, roles), roles.keys)
-    return fill_surrogates(merged, roles.surrogate, roles.keys) if roles.surrogate else merged
+    if not roles.surrogate:
+        return merged
+    return fill_surrogates(merged, roles.surrogate, roles.keys, next_key(dim, roles.surrogate))
 
 
 def scd2_from_control(
@@ -256,9 +258,10 @@ def scd2_from_control(
     for table, dim in dims.items():
         roles = roles_from_control(control, table)
         merged = scd2(dim, staged_for(stgs[roles.source], roles), roles.keys, roles.tracked, as_of, history=history)
-        out[table] = (
-            fill_surrogates(merged, roles.surrogate, [*roles.keys, history.start]) if roles.surrogate else merged
-        )
+        if roles.surrogate:
+            order = [*roles.keys, history.start]
+            merged = fill_surrogates(merged, roles.surrogate, order, next_key(dim, roles.surrogate))
+        out[table] = merged
     return out
 
 
@@ -298,11 +301,11 @@ def next_key(dim: DataFrame, name: str) -> Column:
     return dim.agg((F.coalesce(F.max(name), F.lit(0)) + 1).alias("next_key")).scalar()
 
 
-def fill_surrogates(df: DataFrame, name: str, order: list[str]) -> DataFrame:
-    """Give rows without a surrogate key the next free ones."""
+def fill_surrogates(df: DataFrame, name: str, order: list[str], start: int | Column) -> DataFrame:
+    """Give rows without a surrogate key the next ones from ``start``; only those rows are sorted."""
     columns = df.columns
     known, fresh = df.filter(quoted(name).isNotNull()), df.filter(quoted(name).isNull())
-    numbered = assign_keys(fresh.drop(name), order, name, start=next_key(known, name))
+    numbered = assign_keys(fresh.drop(name), order, name, start=start)
     kind = df.schema[name].dataType
     return known.unionByName(numbered.withColumn(name, quoted(name).cast(kind)).select(*columns))
 

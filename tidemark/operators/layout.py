@@ -101,7 +101,8 @@ def interval_depth(ranges: DataFrame) -> DataFrame:
         (F.col("first") - 1).alias("a"),
         (F.col("e_pos") - F.col("e_rank")).alias("b"),
     )
-    levels = F.sequence(F.lit(0), F.lit(40))
+    count = starts.agg(F.count(F.lit(1)).alias("n")).scalar()
+    levels = F.sequence(F.lit(0), F.ceil(F.log2(count + 1)).cast("int"))
     blocks = (
         depth.select("depth", "at", F.explode(levels).alias("level"))
         .groupBy("level", F.expr("shiftright(at, level)").alias("block"))

@@ -88,7 +88,8 @@ def register_snapshot(log: DataFrame, snapshot: dt.date, as_of: dt.datetime) ->
         _no_time().alias("ended"),
         F.lit(QUEUED).alias("status"),
     )
-    result = kept.unionByName(fresh.join(log.select("snapshot_date"), "snapshot_date", "left_anti"))
+    rows_of_day = log.filter(F.col("snapshot_date") == F.lit(snapshot)).agg(F.count(F.lit(1)).alias("n")).scalar()
+    result = kept.unionByName(fresh.filter(rows_of_day == 0))
     queued = result.filter(F.col("status") == QUEUED).select("snapshot_date", "status").orderBy("snapshot_date")
     return result, queued
 

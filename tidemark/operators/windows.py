@@ -120,7 +120,9 @@ def number_rows(
     )
 
 
-def forward_fill(df: DataFrame, column: str, order: list[str], partition: list[str] | None = None) -> DataFrame:
+def forward_fill(
+    df: DataFrame, column: str, order: list[str], partition: list[str] | None = None, unique: bool = False
+) -> DataFrame:
     """Replace NULL by the last value before it, in ``order``.
 
     Rows are numbered, cut into blocks of equal length, filled inside the block, and what is still
@@ -128,7 +130,7 @@ def forward_fill(df: DataFrame, column: str, order: list[str], partition: list[s
     """
     partition = partition or []
     keys = [quoted(p) for p in partition]
-    numbered = number_rows(df, [*partition, *order], "_no")
+    numbered = number_rows(df, [*partition, *order], "_no", unique=unique)
     blocks = numbered.withColumn("_block", F.floor((F.col("_no") - 1) / COPY_CHUNK))
     inside = Window.partitionBy(*keys, "_block").orderBy("_no").rowsBetween(Window.unboundedPreceding, 0)
     filled = blocks.withColumn("_in", F.last(column, ignorenulls=True).over(inside))
@@ -153,11 +155,13 @@ def earliest_version(df: DataFrame, attributes: list[str], start: str, end: str
     return first_per_key(df, attributes, [start] + ([end] if end else []))
 
 
-def running_count(df: DataFrame, column: str, order: list[str], name: str, partition: list[str] | None = None) -> DataFrame:
+def running_count(
+    df: DataFrame, column: str, order: list[str], name: str, partition: list[str] | None = None, unique: bool = False
+) -> DataFrame:
     """Non-NULL values up to each row, in ``order``: blocks of rows, then block totals."""
     partition = partition or []
     keys = [quoted(p) for p in partition]
-    numbered = number_rows(df, [*partition, *order], "_no")
+    numbered = number_rows(df, [*partition, *order], "_no", unique=unique)
     blocks = numbered.withColumn("_block", F.floor((F.col("_no") - 1) / COPY_CHUNK))
     inside = Window.partitionBy(*keys, "_block").orderBy("_no").rowsBetween(Window.unboundedPreceding, 0)
     counted = blocks.withColumn("_in", F.count(column).over(inside))

@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.documents import json_rows
 from tidemark.functions.text import path_segment
+from tidemark.operators.aggregates import rows_as_json
 from tidemark.plans.registry import Tables, query
 from tidemark.session import scratch
 from tidemark.sources import readers, writers
@@ -135,7 +135,7 @@ def s10(t: Tables) -> DataFrame:
 @query("s10_json_multiline", "SELECT n_name AS name, CAST(n_nationkey AS BIGINT) AS id FROM nation")
 def s10_multi(t: Tables) -> DataFrame:
     out = scratch(t.spark, "s10m")
-    documents = t.nation.groupBy("n_regionkey").agg(json_rows(id=F.col("n_nationkey"), name=F.col("n_name")).alias("value"))
+    documents = rows_as_json(t.nation, ["n_regionkey"], {"id": "n_nationkey", "name": "n_name"}, name="value")
     documents.write.partitionBy("n_regionkey").text(out)
     return readers.read_json(t.spark, f"{out}/*", multiline=True, schema="id bigint, name string")
 

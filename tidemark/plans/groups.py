@@ -299,7 +299,7 @@ def w2_copies(t: Tables) -> DataFrame:
 )
 def w3(t: Tables) -> DataFrame:
     gaps = t.events.select("event_id", F.when(F.col("value") > 20, F.col("value")).alias("value"))
-    return windows.forward_fill(gaps, "value", ["event_id"])
+    return windows.forward_fill(gaps, "value", ["event_id"], unique=True)
 
 
 @query(
@@ -318,7 +318,7 @@ def w3_key(t: Tables) -> DataFrame:
 )
 def w4(t: Tables) -> DataFrame:
     marked = t.events.select("event_id", F.when(F.col("event_type") == "purchase", F.col("value")).alias("value"))
-    return windows.running_count(marked, "value", ["event_id"], "n").select("event_id", "n")
+    return windows.running_count(marked, "value", ["event_id"], "n", unique=True).select("event_id", "n")
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, documents, text, values
+from tidemark.operators import aggregates
 from tidemark.plans.registry import Tables, query
 
 
@@ -189,8 +190,7 @@ def f13(t: Tables) -> DataFrame:
        FROM lineitem GROUP BY 1""",
 )
 def f14(t: Tables) -> DataFrame:
-    rows = documents.json_rows(line=F.col("l_linenumber"), part=F.col("l_partkey"))
-    return t.lineitem.groupBy("l_orderkey").agg(rows.alias("body"))
+    return aggregates.rows_as_json(t.lineitem, ["l_orderkey"], {"line": "l_linenumber", "part": "l_partkey"})
 
 
 @query(

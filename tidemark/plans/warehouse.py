@@ -288,7 +288,7 @@ def _journal(t: Tables) -> DataFrame:
         updates.alias("updates"),
         F.expr("timestamp_ntz'2024-03-01 09:00:00' + make_dt_interval(CAST(page_id DIV 40 AS INT), CAST(page_id % 7 AS INT))").alias("submitted_time"),
         F.concat(host, F.lit(".writer@example.com")).alias("employee_email"),
-        F.lit("chief.reader@example.com").alias("view_email"),
+        F.concat(F.lit("chief."), F.substring(host, 1, 1), F.lit("@example.com")).alias("view_email"),
     )
 
 
@@ -301,7 +301,8 @@ _STATUS = "CASE WHEN url LIKE 'https%' THEN CASE WHEN url LIKE '%?%' THEN 'Amber
     f"SELECT DISTINCT 'project' AS kind, ' ' || {_HOST} AS name FROM pages UNION ALL SELECT DISTINCT 'status', {_STATUS} FROM pages WHERE {_STATUS} <> 'Green'",
 )
 def d12(t: Tables) -> DataFrame:
-    known = t.region.select(F.lit("Green").alias("name"))
+    green = t.pages.filter("url LIKE 'https%' AND url NOT LIKE '%?%'").select("page_id")
+    known = _journal(t).join(green, "page_id", "left_semi").select(facts.journal_status("updates").alias("name"))
     projects = dims.text_dim(_journal(t), facts.journal_project("updates"), "name")
     statuses = dims.text_dim(_journal(t), facts.journal_status("updates"), "name", known)
     return projects.select(F.lit("project").alias("kind"), "name").unionByName(statuses.select(F.lit("status").alias("kind"), "name"))
@@ -386,7 +387,7 @@ _TIME = "TIMESTAMP '2024-03-01 09:00:00' + to_days(CAST(page_id // 40 AS INTEGER
              statuses AS (SELECT status, row_number() OVER (ORDER BY status) AS id FROM (SELECT DISTINCT status FROM p))
         SELECT DISTINCT body AS updates, sent AS submitted_time,
                'Service ' || p.host || chr(13) || chr(10) || ' -Update ' || html || CASE WHEN status = 'unknown' THEN '' ELSE 'Service Health RAG ' || status END AS updates_rich_text,
-               CAST(strftime(sent, '%Y%m%d') AS INTEGER) AS fk_date, projects.id AS fk_project, projects.id AS fk_employee, CAST(0 AS BIGINT) AS fk_viewer, statuses.id AS fk_status
+               CAST(strftime(sent, '%Y%m%d') AS INTEGER) AS fk_date, projects.id AS fk_project, projects.id AS fk_employee, CAST(ascii(p.host) AS BIGINT) AS fk_viewer, statuses.id AS fk_status
         FROM p JOIN projects ON projects.host = p.host JOIN statuses USING (status)
         WHERE NOT (p.url LIKE '%#%')""",
 )
@@ -397,7 +398,7 @@ def d15(t: Tables) -> DataFrame:
     writers = projects.select(
         F.concat(F.trim("project_name"), F.lit(".writer@example.com")).alias("email"), F.col("project_id").alias("person_id")
     )
-    readers = t.region.groupBy().agg(F.lit("chief.reader@example.com").alias("email"), F.lit(0).cast("bigint").alias("person_id"))
+    readers = staged.select(F.col("view_email").alias("email"), F.ascii(F.substring("view_email", 7, 1)).cast("bigint").alias("person_id")).distinct()
     calendar = dims.date_dim(t.spark, dt.date(2024, 1, 1), 3650)
     anchored = staged.join(t.pages.filter(F.contains("url", F.lit("#"))), "page_id", "left_semi")
     loaded = anchored.select(facts.journal_body("updates").alias("updates"), "submitted_time")

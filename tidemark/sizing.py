@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CONTROL_ROWS = 10_000
+GROUP_ROWS = 1_000_000
 SMALL_ROWS = 2_000_000
 SMALL_BYTES = 64 * 1024 * 1024
 
@@ -43,3 +44,17 @@ def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_B
 def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
     """Hint a broadcast after measuring; a larger side stays a shuffle join (AQE splits its skew)."""
     return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
+
+
+def bounded_groups(df: DataFrame, keys: list[str], limit: int = GROUP_ROWS) -> DataFrame:
+    """The same rows, but a group of more than ``limit`` rows is an error before anything is collected.
+
+    The groups are counted with partial sums; as a rule none is too large, and AQE then drops the join.
+    """
+    names = {k: f"_group_{k}" for k in keys}
+    large = df.groupBy(*[F.col(f"`{k}`").alias(n) for k, n in names.items()]).agg(F.count(F.lit(1)).alias("_rows"))
+    large = large.filter(F.col("_rows") > limit)
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"`{n}`")) for k, n in names.items()]
+    message = F.lit(f"a group holds more than {limit} rows, too many for one value")
+    checked = F.when(F.col("_rows").isNotNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return df.join(large, same, "left").filter(checked).select(*[F.col(f"`{c}`") for c in df.columns])
