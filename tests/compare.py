@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import sys
 import time
 from collections import Counter
@@ -37,6 +39,14 @@ def sql_rows(con, sql: str):
     return [names[i] for i in order], [tuple(row[i] for i in order) for row in cur.fetchall()]
 
 
+def explained(df) -> str:
+    """The formatted physical plan as text."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
 def types_of(rows):
     return [sorted({type(v).__name__ for v in column if v is not None}) for column in zip(*rows)]
 
