@@ -21,8 +21,9 @@ def parse_timestamp(c: Column | str, fmt: str) -> Column:
 
 
 def month_key(c: Column | str) -> Column:
-    """``yyyyMM`` text."""
-    return F.date_format(_col(c), "yyyyMM")
+    """``yyyyMM`` text, by arithmetic (``date_format`` would format every row)."""
+    c = _col(c)
+    return F.lpad((F.year(c) * 100 + F.month(c)).cast("string"), 6, "0")
 
 
 def date_key(c: Column | str) -> Column:

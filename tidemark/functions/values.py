@@ -51,6 +51,16 @@ def any_missing(df: DataFrame, columns: list[str] | None = None) -> Column:
     return reduce(lambda a, b: a | b, [is_missing(df.schema[c]) for c in wanted])
 
 
+def exploded(df: DataFrame, items: Column, name: str) -> DataFrame:
+    """One more column with the members of an array; rows with no members drop out.
+
+    A plain ``explode`` makes Spark test the array's size in a filter below, which computes a costly
+    array expression a second time.
+    """
+    rows = df.select("*", F.posexplode_outer(items).alias("_at", name))
+    return rows.filter("_at IS NOT NULL").drop("_at")
+
+
 def fill_values(df: DataFrame, text: str = "unknown", number: float = 0) -> dict[str, object]:
     """Fill value per column, from the schema: text for strings, number for numerics."""
     out: dict[str, object] = {}

@@ -151,7 +151,8 @@ def scd2_tagged(
         .when(new & changed, F.array(row(CLOSE), row(INSERT)))
         .otherwise(F.array(row(KEEP)))
     )
-    return closed.unionByName(joined.select(F.inline(rows)))
+    # Never empty, so the outer form only spares the size filter that ``inline`` adds below itself.
+    return closed.unionByName(joined.select(F.inline_outer(rows)))
 
 
 def scd2(dim: DataFrame, stg: DataFrame, keys: list[str], tracked: list[str], as_of: dt.datetime | dt.date, **options) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import blank_to, one_line, plain_text, text_after, text_before, text_between
-from tidemark.functions.values import quoted
+from tidemark.functions.values import exploded, quoted
 from tidemark.operators.dimensions import moment
 from tidemark.operators.joins import lookup
 
@@ -156,8 +156,13 @@ def flatten_people(df: DataFrame, column: str = "body") -> DataFrame:
     schema = (
         "response struct<result: array<map<string, array<struct<FirstName: string, LastName: string, EmailID: string>>>>>"
     )
-    records = df.select(F.explode(F.from_json(quoted(column), schema)["response"]["result"]).alias("record"))
-    people = records.select(F.explode("record").alias("record_key", "people")).select(F.inline("people"))
-    return people.select(
-        F.col("FirstName").alias("first_name"), F.col("LastName").alias("last_name"), F.col("EmailID").alias("email")
-    ).dropna()
+    parsed = df.select(F.from_json(quoted(column), schema)["response"]["result"].alias("_records"))
+    records = exploded(parsed, F.col("_records"), "_record").select(F.flatten(F.map_values("_record")).alias("_people"))
+    person = F.col("_person")
+    return (
+        exploded(records, F.col("_people"), "_person")
+        .select(
+            person["FirstName"].alias("first_name"), person["LastName"].alias("last_name"), person["EmailID"].alias("email")
+        )
+        .dropna()
+    )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import quoted
+from tidemark.functions.values import exploded, quoted
 from tidemark.sizing import broadcast_if_small
 
 
@@ -69,10 +69,15 @@ def assemble(spark: SparkSession, **single: DataFrame) -> DataFrame:
 
 
 def explode_json(df: DataFrame, column: str, schema: str, outer: bool = False) -> DataFrame:
-    """One row per element of a JSON array column, its fields as columns."""
-    expand = F.inline_outer if outer else F.inline
+    """One row per element of a JSON array column, its fields as columns.
+
+    With ``outer`` a row without elements is kept, its fields NULL.
+    """
     rest = [quoted(c) for c in df.columns if c != column]
-    return df.select(*rest, expand(F.from_json(quoted(column), schema)))
+    parsed = df.select(*rest, F.from_json(quoted(column), schema).alias("_items"))
+    if outer:
+        return parsed.select(*rest, F.inline_outer("_items"))
+    return exploded(parsed, F.col("_items"), "_item").select(*rest, "_item.*")
 
 
 def lookup_id(df: DataFrame, parents: DataFrame, on: dict[str, str], id_: str, name: str) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import month_key
 from tidemark.functions.values import exact, number_prefix, quoted
 from tidemark.operators.aggregates import sum_by_code
-from tidemark.operators.joins import pre_aggregate_join
 from tidemark.operators.projections import any_column_equals, classify_in_list, filter_last_days
 
 
@@ -32,39 +31,53 @@ def revenue_mart(
     status_code, incur_date, amount), tag_set (tag_set_id, unit, account, location, product),
     source (``on``, source_type, suffix; optional match) and customer (customer_id, customer_name).
 
-    ``pre_aggregate`` sums the amounts by the finer keys before any join. It returns the same rows,
-    because months are formed from the same dates afterwards.
+    Months are formed before the joins, on the shortest rows, and the joins on ``on`` come first, so
+    they share one partitioning. ``pre_aggregate`` sums the amounts by the finer keys before any
+    join and returns the same rows.
     """
     keys = list(on)
-    wanted = header.filter(number_prefix("period", 4) >= since_year)
-    nonzero = amounts.filter("amount <> 0").withColumn("amount", exact("amount"))
+    wanted = header.filter(number_prefix("period", 4) >= since_year).select(
+        *dict.fromkeys([*keys, "period", "customer_id", "type_code", "activity_code", "fund_code"]),
+        month_key("process_date").alias("process_month"),
+        month_key("fiscal_date").alias("fiscal_month"),
+    )
+    nonzero = amounts.filter("amount <> 0").select(
+        *keys,
+        "tag_set_id",
+        "offset_code",
+        "status_code",
+        month_key("incur_date").alias("incur_month"),
+        exact("amount").alias("amount"),
+    )
     if pre_aggregate:
-        fine = [*keys, "tag_set_id", "offset_code", "status_code", "incur_date"]
+        fine = [*keys, "tag_set_id", "offset_code", "status_code", "incur_month"]
         nonzero = nonzero.groupBy(*fine).agg(F.sum("amount").alias("amount"))
+    tags = tag_set.withColumn("location", F.substring("location", 1, 5))
     joined = (
-        wanted.join(revenue, keys)
-        .join(nonzero, keys)
-        .join(tag_set, "tag_set_id")
+        nonzero.join(wanted, keys)
+        .join(revenue, keys)
         .join(source, keys, "left")
+        .join(tags, "tag_set_id")
         .join(customer, "customer_id", "left")
+        .withColumn("fund_code", F.coalesce("revenue_fund_code", "fund_code"))
     )
     return joined.groupBy(
         "period",
         "customer_id",
         "type_code",
         "activity_code",
-        F.coalesce("revenue_fund_code", "fund_code").alias("fund_code"),
-        month_key("process_date").alias("process_month"),
-        month_key("fiscal_date").alias("fiscal_month"),
+        "fund_code",
+        "process_month",
+        "fiscal_month",
         "data_type",
         "source_type",
         "suffix",
         "offset_code",
         "status_code",
-        month_key("incur_date").alias("incur_month"),
+        "incur_month",
         "unit",
         "account",
-        F.substring("location", 1, 5).alias("location"),
+        "location",
         "product",
         "customer_name",
     ).agg(F.sum("amount").cast("double").alias("amount"))
@@ -105,6 +118,3 @@ def claim_mart(
         *[F.sum(quoted(n)).cast("double").alias(n) for n in names.values()],
         F.sum(unit_count).alias("units"),
     )
-
-
-__all__ = ["claim_mart", "pre_aggregate_join", "revenue_mart"]

@@ -141,7 +141,7 @@ def f10(t: Tables) -> DataFrame:
     "SELECT word, COUNT(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY 1",
 )
 def f10_explode(t: Tables) -> DataFrame:
-    words = t.documents.select(F.explode(F.split("text", " ")).alias("word"))
+    words = values.exploded(t.documents.select(F.split("text", " ").alias("words")), F.col("words"), "word")
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
