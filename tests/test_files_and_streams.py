@@ -17,27 +17,33 @@ def land(spark, folder, rows, schema=COUNTRIES):
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").option("header", True).csv(folder)
 
 
-def test_files_are_loaded_once(spark, folder):
-    src, target, log = f"{folder}/in", f"{folder}/out", f"{folder}/log"
+@pytest.fixture
+def table(spark, folder):
+    name = f"tidemark_{folder.rsplit('-', 1)[1]}"
+    ingest.create_target(spark, name, COUNTRIES, f"{folder}/table")
+    return name
+
+
+def test_files_are_loaded_once(spark, folder, table):
+    src, log = f"{folder}/in", f"{folder}/log"
     land(spark, src, [("A", 1), ("B", 2)])
-    assert ingest.copy_into(spark, src, target, log, COUNTRIES, "csv") == 2
-    assert ingest.copy_into(spark, src, target, log, COUNTRIES, "csv") == 0
+    assert ingest.copy_into(spark, src, table, log, COUNTRIES, "csv") == 2
+    assert ingest.copy_into(spark, src, table, log, COUNTRIES, "csv") == 0
     land(spark, src, [("C", 3)])
-    assert ingest.copy_into(spark, src, target, log, COUNTRIES, "csv") == 1
-    assert sorted(r["Country"] for r in ingest.read_target(spark, target).collect()) == ["A", "B", "C"]
+    assert ingest.copy_into(spark, src, table, log, COUNTRIES, "csv") == 1
+    assert sorted(r["Country"] for r in spark.table(table).collect()) == ["A", "B", "C"]
 
 
-def test_new_columns_need_schema_merge(spark, folder):
-    src, target, log = f"{folder}/in", f"{folder}/out", f"{folder}/log"
+def test_new_columns_need_schema_merge(spark, folder, table):
+    src, log = f"{folder}/in", f"{folder}/log"
     land(spark, src, [("A", 1)])
-    ingest.copy_into(spark, f"{src}", target, log, COUNTRIES, "csv")
+    ingest.copy_into(spark, src, table, log, COUNTRIES, "csv")
     wide = f"{COUNTRIES}, Year int"
     land(spark, src, [("B", 2, 2020)], wide)
     with pytest.raises(ValueError, match="Year"):
-        ingest.copy_into(spark, src, target, log, wide, "csv", enforceSchema="false")
-    ingest.copy_into(spark, src, target, log, wide, "csv", merge_schema=True, enforceSchema="false")
-    rows = {r["Country"]: r["Year"] for r in ingest.read_target(spark, target).collect()}
-    assert rows == {"A": None, "B": 2020}
+        ingest.copy_into(spark, src, table, log, wide, "csv", enforceSchema="false")
+    ingest.copy_into(spark, src, table, log, wide, "csv", merge_schema=True, enforceSchema="false")
+    assert {r["Country"]: r["Year"] for r in spark.table(table).collect()} == {"A": None, "B": 2020}
 
 
 def test_a_stream_needs_a_folder(spark, folder):

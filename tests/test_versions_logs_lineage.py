@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tests.compare import spark_rows
+from tests.compare import explained, spark_rows
 from tidemark.functions import text
 from tidemark.operators import joins, lineage, loadlog, projections, quality, querylog, versioned
 from tidemark.plans.catalog import queries
@@ -105,6 +105,20 @@ def test_temporary_names_are_found(spark):
     assert row["n"] == ["TMP_ONE", "VT_TWO"]
 
 
+def test_keys_that_are_no_plain_words(spark):
+    sql = "select a.id from a join b on a.id = b.id and to_date(b.ts) = a.day where a.idx = 1"
+    queries = spark.createDataFrame([(1, sql)], "query_id int, sql_text string")
+    keys = spark.createDataFrame([(1, k) for k in ("id", "ID", "idx", "to_date(b.ts)", "b.id", "day")], "query_id int, key string")
+    rows = {r["key"]: (r["present"], r["in_join"], r["in_where"], r["in_select"]) for r in querylog.key_usage(queries, keys).collect()}
+    assert rows == {
+        "ID": (True, True, False, True),
+        "IDX": (True, False, True, False),
+        "TO_DATE(B.TS)": (False, False, False, False),
+        "B.ID": (True, True, False, False),
+        "DAY": (True, True, False, False),
+    }
+
+
 def test_signature_ignores_blanks_and_case(spark):
     rows = [("  select\n\t 1  from  t ",), ("SELECT 1 FROM T",)]
     out = spark.createDataFrame(rows, "q string").select(querylog.signature("q").alias("s")).distinct().collect()
@@ -162,7 +176,12 @@ def test_measured_broadcast(spark):
 
     dim = spark.range(1000).selectExpr("id AS k", "repeat('x', 100) AS v")
     assert is_small(dim) and not is_small(dim, max_rows=999) and not is_small(dim, max_bytes=100_000)
-    assert "broadcast" in broadcast_if_small(dim)._jdf.queryExecution().logical().toString().lower()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in explained(spark.range(10).toDF("k").join(broadcast_if_small(dim), "k"))
+        assert "BroadcastHashJoin" not in explained(spark.range(10).toDF("k").join(broadcast_if_small(dim, max_rows=9), "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     with pytest.raises(ValueError, match="more than 10 rows"):
         control_rows(dim, 10)
     assert joins.join_small(spark.range(10).toDF("k"), dim, ["k"]).count() == 10

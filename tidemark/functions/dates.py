@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,15 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def moment(value: dt.datetime | dt.date | None) -> Column:
+    """A timestamp literal without zone; it is folded, so comparisons with it reach the scan."""
+    if value is None:
+        return F.lit(None).cast("timestamp_ntz")
+    if not isinstance(value, dt.datetime):
+        value = dt.datetime.combine(value, dt.time())
+    return F.to_timestamp_ntz(F.lit(value.isoformat(sep=" ")))
+
+
 def parse_date(c: Column | str, fmt: str) -> Column:
     """Date by format; NULL when the text does not parse."""
     return F.try_to_date(_col(c), fmt)

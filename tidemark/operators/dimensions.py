@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates
+from tidemark.functions.dates import moment
 from tidemark.functions.text import email_first_name, email_last_name, initial_capital
 from tidemark.functions.values import quoted
 from tidemark.operators.windows import number_rows
@@ -22,15 +23,6 @@ from tidemark.sizing import control_rows
 KEEP, CLOSE, INSERT = "keep", "close", "insert"
 
 
-def moment(value: dt.datetime | dt.date | None) -> Column:
-    """A timestamp literal without zone."""
-    if value is None:
-        return F.lit(None).cast("timestamp_ntz")
-    if not isinstance(value, dt.datetime):
-        value = dt.datetime.combine(value, dt.time())
-    return F.to_timestamp_ntz(F.lit(value.isoformat(sep=" ")))
-
-
 def one_per_key(stg: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """One staged row per key: the last by ``order``, or the only one.
 

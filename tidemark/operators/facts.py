@@ -8,9 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import moment
 from tidemark.functions.text import blank_to, one_line, plain_text, text_after, text_before, text_between
 from tidemark.functions.values import exploded, quoted
-from tidemark.operators.dimensions import moment
 from tidemark.operators.joins import lookup
 
 UNKNOWN_KEY = -1

@@ -7,9 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import moment
 from tidemark.functions.text import file_date
-from tidemark.functions.values import quoted
-from tidemark.operators.dimensions import CLOSE, INSERT, moment
+from tidemark.operators.dimensions import CLOSE, INSERT
 
 # Load states.
 QUEUED, RUNNING, FAILED, SUCCESSFUL = "Queued", "Running", "Failed", "Successful"

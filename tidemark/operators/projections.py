@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.dates import moment
 from tidemark.functions.text import list_items
 from tidemark.functions.values import quoted
 from tidemark.sizing import control_rows
@@ -109,9 +110,8 @@ def drop_sentinel(df: DataFrame, columns: list[str] | None = None, sentinel: str
 
 def filter_last_days(df: DataFrame, column: str, days: int, as_of: dt.date) -> DataFrame:
     """Rows of the last days; the bound is a literal, so it reaches the scan."""
-    bound = dt.datetime.combine(as_of - dt.timedelta(days=days), dt.time())
-    kind = df.schema[column].dataType
-    return df.filter(quoted(column) >= F.lit(bound).cast("timestamp_ntz").cast(kind))
+    bound = moment(as_of - dt.timedelta(days=days)).cast(df.schema[column].dataType)
+    return df.filter(quoted(column) >= bound)
 
 
 def classify_in_list(df: DataFrame, column: str, codes: DataFrame, yes: str, no: str, name: str) -> DataFrame:

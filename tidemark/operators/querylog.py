@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.documents import json_value
 from tidemark.functions.values import exploded, gib, quoted, whole_percent
 from tidemark.operators.windows import first_per_key
+from tidemark.sizing import bounded_groups
 
 # Patterns for names in a statement, and words that are never table names.
 LINE_COMMENT = r"--[^\n]*"
@@ -87,27 +88,29 @@ def _words(pieces: Column) -> Column:
 def key_usage(queries: DataFrame, keys: DataFrame, query_id: str = "query_id", text: str = "sql_text") -> DataFrame:
     """For every (query, key): present or not, and whether in a join condition, a filter or a select list.
 
-    ``keys`` has (query_id, key). A key is found as a whole word, case-insensitively. Each statement
-    is cut at its clause words and split into words once; a key is then looked up, and only a key
-    that is not a plain word is searched with its own pattern.
+    ``keys`` has (query_id, key). A key is found as a whole word, case-insensitively. The keys of a
+    statement join it as one array, so its text is shuffled once, cut at its clause words once and
+    split into words once. Only a key that is not a plain word is searched with its own pattern.
     """
-    cut = queries.select(quoted(query_id), F.split(F.upper(without_comments(text)), CLAUSE_START).alias("_all"))
+    wanted = bounded_groups(keys.select(query_id, F.upper("key").alias("_key")), [query_id])
+    listed = wanted.groupBy(query_id).agg(F.collect_set("_key").alias("_keys"))
+    texts = queries.select(quoted(query_id), F.col(text).alias("_text")).join(listed, query_id)
+    cut = texts.select(query_id, "_keys", F.split(F.upper(without_comments("_text")), CLAUSE_START).alias("_all"))
 
     def starting(word: str) -> Column:
         return F.filter("_all", lambda p: F.startswith(p, F.lit(word)))
 
     conditions = F.transform(starting("JOIN"), lambda p: F.coalesce(F.regexp_substr(p, F.lit(r"(?s)\bON\b.*")), F.lit("")))
     clauses = {"present": F.col("_all"), "in_join": conditions, "in_where": starting("WHERE"), "in_select": starting("SELECT")}
-    cut = cut.select(query_id, *[c.alias(f"_{n}") for n, c in clauses.items()])
+    cut = cut.select(query_id, "_keys", *[c.alias(f"_{n}") for n, c in clauses.items()])
     split = cut.select("*", *[_words(F.col(f"_{n}")).alias(f"_{n}_words") for n in clauses])
-    upper = keys.select(quoted(query_id), F.upper("key").alias("key"))
     pattern = F.concat(F.lit(r"\b\Q"), F.col("key"), F.lit(r"\E\b"))
 
     def found(name: str) -> Column:
         plain = F.array_contains(F.col(f"_{name}_words"), F.col("key"))
         return F.when(F.rlike("key", F.lit(r"^\w+$")), plain).otherwise(F.exists(f"_{name}", lambda p: F.rlike(p, pattern)))
 
-    return upper.join(split, query_id).select(query_id, "key", *[found(n).alias(n) for n in clauses])
+    return exploded(split, F.col("_keys"), "key").select(query_id, "key", *[found(n).alias(n) for n in clauses])
 
 
 def key_usage_summary(usage: DataFrame, query_id: str = "query_id") -> DataFrame:

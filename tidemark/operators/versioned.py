@@ -13,8 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import moment
 from tidemark.functions.values import quoted
-from tidemark.operators.dimensions import moment
 from tidemark.operators.windows import first_per_key
 
 META = ["_op", "_version", "_ts"]

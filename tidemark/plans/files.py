@@ -13,7 +13,7 @@ from tidemark.operators.aggregates import rows_as_json
 from tidemark.plans.registry import Tables, query
 from tidemark.session import scratch
 from tidemark.sources import readers, writers
-from tidemark.streaming.ingest import copy_into, read_target
+from tidemark.streaming.ingest import copy_into, create_target
 
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
 KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -201,18 +201,34 @@ def s15(t: Tables) -> DataFrame:
 
 @query("s16_copy_into", "SELECT event_id, user_id, event_type, value FROM events")
 def s16(t: Tables) -> DataFrame:
-    base = scratch(t.spark, "s16")
-    src, target, checkpoint = f"{base}/landing", f"{base}/table", f"{base}/checkpoint"
+    base, table = scratch(t.spark, "s16"), _table_name("s16")
+    src, checkpoint = f"{base}/landing", f"{base}/checkpoint"
     ddl = "event_id bigint, user_id bigint, event_type string, value double"
     rows = t.events.select("event_id", "user_id", "event_type", "value")
+    create_target(t.spark, table, ddl, f"{base}/table")
     rows.filter("event_type IN ('click', 'view')").write.parquet(src)
-    copy_into(t.spark, src, target, checkpoint, ddl)
+    copy_into(t.spark, src, table, checkpoint, ddl)
     rows.filter("event_type NOT IN ('click', 'view')").write.mode("append").parquet(src)
-    copy_into(t.spark, src, target, checkpoint, ddl)
-    again = copy_into(t.spark, src, target, checkpoint, ddl)
+    copy_into(t.spark, src, table, checkpoint, ddl)
+    again = copy_into(t.spark, src, table, checkpoint, ddl)
     if again:
         raise AssertionError(f"a third run loaded {again} rows again")
-    return read_target(t.spark, target)
+    return t.spark.table(table)
+
+
+@query(
+    "s16_copy_into_merge_schema",
+    "SELECT event_id, event_type, CASE WHEN event_type <> 'view' THEN value END AS value FROM events",
+)
+def s16_merge(t: Tables) -> DataFrame:
+    base, table = scratch(t.spark, "s16m"), _table_name("s16m")
+    narrow, wide = "event_id bigint, event_type string", "event_id bigint, event_type string, value double"
+    create_target(t.spark, table, narrow, f"{base}/table")
+    t.events.filter("event_type = 'view'").select("event_id", "event_type").write.parquet(f"{base}/landing")
+    copy_into(t.spark, f"{base}/landing", table, f"{base}/checkpoint", narrow)
+    t.events.filter("event_type <> 'view'").select("event_id", "event_type", "value").write.mode("append").parquet(f"{base}/landing")
+    copy_into(t.spark, f"{base}/landing", table, f"{base}/checkpoint", wide, merge_schema=True)
+    return t.spark.table(table)
 
 
 @query("s17_list_files", "SELECT DISTINCT 'o_orderstatus=' || o_orderstatus AS folder FROM orders")

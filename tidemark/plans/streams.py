@@ -104,4 +104,4 @@ def r7(t: Tables) -> DataFrame:
     write_files(dated, wide, "csv")
     widened = ingest.stream_files(t.spark, f"{src}/*", f"{EVENTS}, year int, month string", enforceSchema="false")
     ingest.run_to_end(ingest.stream_append(widened, target, checkpoint))
-    return ingest.read_target(t.spark, target)
+    return ingest.read_target(t.spark, target, merge_schema=True)

@@ -59,10 +59,20 @@ def run_to_end(query: StreamingQuery) -> int:
     return sum(p.numInputRows for p in query.recentProgress)
 
 
+def create_target(spark: SparkSession, table: str, schema: str | T.StructType, path: str | None = None) -> None:
+    """Create the table that files are loaded into, unless it exists."""
+    if not spark.catalog.tableExists(table):
+        spark.catalog.createTable(table, path=path, source="parquet", schema=_struct(schema))
+
+
+def _struct(schema: str | T.StructType) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+
+
 def copy_into(
     spark: SparkSession,
     src: str,
-    target: str,
+    table: str,
     checkpoint: str,
     schema: str | T.StructType,
     fmt: str = "parquet",
@@ -71,27 +81,21 @@ def copy_into(
 ) -> int:
     """Load each file of a folder once; returns the rows loaded by this run (0 when nothing is new).
 
-    The source schema must match the target's, unless ``merge_schema`` lets it add columns.
+    The source schema must match the table's, unless ``merge_schema`` lets it add columns. The
+    table's schema is kept by the catalog, so no footers of earlier files are read.
     """
-    stream = stream_files(spark, src, schema, fmt, **options)
-    existing = _target_schema(spark, target)
-    if existing is not None:
-        stream = conform(existing, stream, merge_schema)
-    return run_to_end(stream_append(stream, target, checkpoint))
-
-
-def _target_schema(spark: SparkSession, target: str) -> T.StructType | None:
-    try:
-        return read_target(spark, target).schema
-    except Exception as error:  # nothing has been written yet
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-            return None
-        raise
-
-
-def read_target(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
-    """The target with the union of the columns of all loads."""
-    return spark.read.option("mergeSchema", True).format(fmt).load(target)
+    stream = conform(spark.table(table).schema, stream_files(spark, src, schema, fmt, **options), merge_schema)
+    known = {c.lower() for c in spark.table(table).columns}
+    added = [f for f in stream.schema.fields if f.name.lower() not in known]
+    if added:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+    return run_to_end(stream_append(stream, table, checkpoint, table=True))
+
+
+def read_target(spark: SparkSession, target: str, fmt: str = "parquet", merge_schema: bool = False) -> DataFrame:
+    """What a stream has written to a path; ``merge_schema`` unites the columns of files of different runs."""
+    return spark.read.option("mergeSchema", merge_schema).format(fmt).load(target)
 
 
 def reprocess(
