@@ -55,6 +55,12 @@ def test_number_rows_starts_where_told(spark):
     assert sorted((r["id"], r["n"]) for r in out.collect()) == [(i, 1000 + i) for i in range(50)]
 
 
+def test_numbering_nothing(spark):
+    empty = spark.createDataFrame([], "k string, o int")
+    assert windows.number_rows(empty, ["o"], "n").count() == 0
+    assert windows.number_rows(empty, ["o"], "n", partition=["k"], unique=True).count() == 0
+
+
 def test_copies_are_numbered(df, rows):
     out = windows.number_copies(df, "c").groupBy("k", "o", "v").agg(F.max("c").alias("m"), F.count("*").alias("n"), F.count_distinct("c").alias("d"))
     assert all(r["m"] == r["n"] == r["d"] for r in out.collect())

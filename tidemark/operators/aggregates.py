@@ -98,6 +98,12 @@ def status_summary(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), column)
 
 
+def distinct_count(df: DataFrame, keys: list[str], column: str, name: str = "n_values") -> DataFrame:
+    """Different values per group, or of the whole table without keys; pairs are merged before the shuffle."""
+    pairs = df.filter(quoted(column).isNotNull()).select(*keys, column).distinct()
+    return pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+
 def pivot_max(df: DataFrame, keys: list[str], column: str, values: list[object], value: str) -> DataFrame:
     """Listed values as columns, holding the largest ``value``."""
     return df.groupBy(*keys).pivot(column, values).agg(F.max(value))

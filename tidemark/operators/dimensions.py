@@ -18,6 +18,7 @@ from tidemark.functions.dates import moment
 from tidemark.functions.text import email_first_name, email_last_name, initial_capital
 from tidemark.functions.values import quoted
 from tidemark.operators.windows import number_rows
+from tidemark.session import cut
 from tidemark.sizing import control_rows
 
 KEEP, CLOSE, INSERT = "keep", "close", "insert"
@@ -94,7 +95,13 @@ class History:
         return end.isNull() if self.open_end is None else end == moment(self.open_end)
 
 
-def scd2_tagged(
+def scd2_tagged(dim: DataFrame, stg: DataFrame, keys: list[str], tracked: list[str], as_of: dt.datetime | dt.date, **options) -> DataFrame:
+    """Type 2 as one plan, each result row with its ``_action``: keep, close or insert."""
+    closed, current = scd2_parts(dim, stg, keys, tracked, as_of, **options)
+    return closed.unionByName(current)
+
+
+def scd2_parts(
     dim: DataFrame,
     stg: DataFrame,
     keys: list[str],
@@ -103,12 +110,13 @@ def scd2_tagged(
     history: History = History(),
     by_hash: bool = False,
     order: list[str] | None = None,
-) -> DataFrame:
-    """Type 2 as one plan, each result row with its ``_action``: keep, close or insert.
+) -> tuple[DataFrame, DataFrame]:
+    """The tagged rows in two parts: versions closed earlier, and everything that was or becomes open.
 
-    Closed rows pass through without a shuffle. Open rows meet the staged rows in one full join, and
-    a changed key yields two rows: the closed old one and the open new one. All comparisons of
-    tracked columns are null-safe. ``by_hash`` compares 64-bit hashes of the tracked columns.
+    Closed rows pass through without a shuffle; a table partitioned by open and closed rows need not
+    rewrite them. Open rows meet the staged rows in one full join, and a changed key yields two rows:
+    the closed old one and the open new one. All comparisons of tracked columns are null-safe.
+    ``by_hash`` compares 64-bit hashes of the tracked columns.
     """
     attributes = [c for c in dim.columns if c in stg.columns]
     staged = one_per_key(stg.select(*attributes), keys, order)
@@ -144,7 +152,7 @@ def scd2_tagged(
         .otherwise(F.array(row(KEEP)))
     )
     # Never empty, so the outer form only spares the size filter that ``inline`` adds below itself.
-    return closed.unionByName(joined.select(F.inline_outer(rows)))
+    return closed, joined.select(F.inline_outer(rows))
 
 
 def scd2(dim: DataFrame, stg: DataFrame, keys: list[str], tracked: list[str], as_of: dt.datetime | dt.date, **options) -> DataFrame:
@@ -236,7 +244,7 @@ def scd1_from_control(dim: DataFrame, stg: DataFrame, control: DataFrame, table:
     merged = scd1(dim, staged_for(stg, roles), roles.keys)
     if not roles.surrogate:
         return merged
-    return fill_surrogates(merged, roles.surrogate, roles.keys, next_key(dim, roles.surrogate))
+    return fill_surrogates(cut(merged), roles.surrogate, roles.keys, next_key(dim, roles.surrogate))
 
 
 def scd2_from_control(
@@ -250,11 +258,12 @@ def scd2_from_control(
     out = {}
     for table, dim in dims.items():
         roles = roles_from_control(control, table)
-        merged = scd2(dim, staged_for(stgs[roles.source], roles), roles.keys, roles.tracked, as_of, history=history)
+        staged = staged_for(stgs[roles.source], roles)
+        closed, current = scd2_parts(dim, staged, roles.keys, roles.tracked, as_of, history=history)
         if roles.surrogate:
             order = [*roles.keys, history.start]
-            merged = fill_surrogates(merged, roles.surrogate, order, next_key(dim, roles.surrogate))
-        out[table] = merged
+            current = fill_surrogates(cut(current), roles.surrogate, order, next_key(dim, roles.surrogate))
+        out[table] = closed.unionByName(current).drop("_action")
     return out
 
 
@@ -295,7 +304,10 @@ def next_key(dim: DataFrame, name: str) -> Column:
 
 
 def fill_surrogates(df: DataFrame, name: str, order: list[str], start: int | Column) -> DataFrame:
-    """Give rows without a surrogate key the next ones from ``start``; only those rows are sorted."""
+    """Give rows without a surrogate key the next ones from ``start``; only those rows are sorted.
+
+    ``df`` is read several times: cut its lineage first when it is the result of a join.
+    """
     columns = df.columns
     known, fresh = df.filter(quoted(name).isNotNull()), df.filter(quoted(name).isNull())
     numbered = assign_keys(fresh.drop(name), order, name, start=start)

@@ -25,17 +25,18 @@ def lineage(edges: DataFrame, roots: DataFrame, max_levels: int = 1000) -> DataF
     """Everything reachable from each root: (root, parent, object, object_type, level, label).
 
     ``edges`` has (parent, object, object_type), ``roots`` has (root). All roots advance together, one
-    join and one checkpoint per level. An object is expanded once per root, so cycles end; its level
-    is its smallest depth. Only views are expanded.
+    join, one grouping and one written table of the new pairs per level. An object is expanded once per
+    root, so cycles end; its level is its smallest depth. Only views are expanded.
     """
     links = cut(edges.select("parent", "object", "object_type").distinct())
     views = links.filter("object_type = 'VIEW'").select(F.col("parent").alias("object"), F.col("object").alias("next"))
     frontier = cut(roots.select("root", F.col("root").alias("object"), F.lit(0).alias("level")).distinct())
     visited = frontier
     for level in range(1, max_levels + 1):
-        step = frontier.select("root", "object").join(views, "object").select("root", F.col("next").alias("object")).distinct()
-        unseen = step.join(visited.select("root", "object"), ["root", "object"], "left_anti")
-        frontier = cut(unseen.withColumn("level", F.lit(level)))
+        step = frontier.select("root", "object").join(views, "object").select("root", F.col("next").alias("object"))
+        reached = visited.unionByName(step.withColumn("level", F.lit(level)))
+        first = reached.groupBy("root", "object").agg(F.min("level").alias("level"))
+        frontier = cut(first.filter(F.col("level") == level))
         if frontier.isEmpty():
             break
         visited = visited.unionByName(frontier)
@@ -56,6 +57,12 @@ def lineage_summary(found: DataFrame, excluded: list[str] | None = None, schema_
     return objects.groupBy("root", "object_type").agg(F.count(F.lit(1)).alias("n_objects"))
 
 
+def objects_per_parent(found: DataFrame) -> DataFrame:
+    """How many different objects each parent reads, per root."""
+    links = found.select("root", "parent", "object").distinct()
+    return links.groupBy("root", "parent").agg(F.count(F.lit(1)).alias("n_objects"))
+
+
 def consolidate_keys(objects: DataFrame, columns: DataFrame) -> DataFrame:
     """Partition columns of each object as an ordered list; a placeholder where there are none.
 

@@ -94,7 +94,7 @@ def dedup_files(
     reader = spark.read.option("header", True)
     name = F.when(F.lit(False), F.lit(None).cast("string"))
     for source, folder in sources.items():
-        name = name.when(F.contains(F.col("_metadata.file_path"), F.lit(folder)), F.lit(source))
+        name = name.when(F.contains(F.col("_metadata.file_path"), F.lit(folder.rstrip("/") + "/")), F.lit(source))
     rows = reader.format(fmt).load(list(sources.values())).select(*columns, name.alias("source")).distinct()
     dated = rows.select(
         "*", F.lit(run_date.year).alias("year"), F.lit(run_date.month).alias("month"), F.lit(run_date.day).alias("day")

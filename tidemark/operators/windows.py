@@ -85,9 +85,9 @@ def number_rows(
 ) -> DataFrame:
     """Dense row numbers over the whole table, or within ``partition``.
 
-    The table is sorted by range and checkpointed, each row gets its position in its range, and the
-    sizes of the ranges (one row each) give the offsets. ``unique`` says that ``order`` has no ties;
-    otherwise all columns and a copy number break them, so equal rows also spread over ranges.
+    The table is sorted by range and written with each row's position in its range, and the sizes of
+    the ranges (one row each) give the offsets. ``unique`` says that ``order`` has no ties; otherwise
+    all columns and a copy number break them, so equal rows also spread over ranges.
     """
     partition = partition or []
     columns = df.columns

@@ -63,6 +63,11 @@ def l2(t: Tables) -> DataFrame:
     return lineage.lineage_summary(_found(t), ["CRM"], F.split_part("object", F.lit("."), F.lit(1)))
 
 
+@query("l2_objects_per_parent", f"{_WALK} SELECT root, parent, COUNT(DISTINCT object) AS n_objects FROM found GROUP BY 1, 2")
+def l2_parents(t: Tables) -> DataFrame:
+    return lineage.objects_per_parent(_found(t))
+
+
 @query(
     "l3_consolidate_keys",
     """WITH f AS (SELECT o_custkey, o_orderpriority, MIN(o_orderkey) AS p FROM orders WHERE o_totalprice > 200000 GROUP BY 1, 2),

@@ -249,6 +249,16 @@ def a13(t: Tables) -> DataFrame:
     return aggregates.status_summary(t.events, "event_type")
 
 
+@query("a13_distinct_count", "SELECT event_type, COUNT(DISTINCT user_id) AS n_values FROM events GROUP BY 1")
+def a13_distinct(t: Tables) -> DataFrame:
+    return aggregates.distinct_count(t.events, ["event_type"], "user_id")
+
+
+@query("a13_distinct_count_all", "SELECT COUNT(DISTINCT l_partkey) AS n_values FROM lineitem")
+def a13_distinct_all(t: Tables) -> DataFrame:
+    return aggregates.distinct_count(t.lineitem, [], "l_partkey")
+
+
 @query(
     "a14_pivot_max",
     """SELECT user_id, MAX(value) FILTER (event_type = 'click') AS click, MAX(value) FILTER (event_type = 'purchase') AS purchase,

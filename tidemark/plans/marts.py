@@ -33,7 +33,8 @@ def revenue_mart(
 
     Months are formed before the joins, on the shortest rows, and the joins on ``on`` come first, so
     they share one partitioning. ``pre_aggregate`` sums the amounts by the finer keys before any
-    join and returns the same rows.
+    join, looks the customer up after the grouping, and returns the same rows (customers are unique
+    by customer_id).
     """
     keys = list(on)
     wanted = header.filter(number_prefix("period", 4) >= since_year).select(
@@ -58,10 +59,9 @@ def revenue_mart(
         .join(revenue, keys)
         .join(source, keys, "left")
         .join(tags, "tag_set_id")
-        .join(customer, "customer_id", "left")
         .withColumn("fund_code", F.coalesce("revenue_fund_code", "fund_code"))
     )
-    return joined.groupBy(
+    groups = [
         "period",
         "customer_id",
         "type_code",
@@ -79,8 +79,11 @@ def revenue_mart(
         "account",
         "location",
         "product",
-        "customer_name",
-    ).agg(F.sum("amount").cast("double").alias("amount"))
+    ]
+    total = F.sum("amount").cast("double").alias("amount")
+    if pre_aggregate:
+        return joined.groupBy(*groups).agg(total).join(customer, "customer_id", "left")
+    return joined.join(customer, "customer_id", "left").groupBy(*groups, "customer_name").agg(total)
 
 
 def claim_mart(

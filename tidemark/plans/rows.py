@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.values import exact
 from tidemark.operators import joins, projections, sets
+from tidemark.operators.aggregates import rows_as_json
 from tidemark.plans.registry import Tables, query
 
 
@@ -68,13 +69,29 @@ def p4(t: Tables) -> DataFrame:
        UNION ALL SELECT c_name, 2, 'n' || c_nationkey, 'key', 'int' FROM customer""",
 )
 def p5(t: Tables) -> DataFrame:
-    meta = t.customer.select(
+    return projections.explode_column_map(_mapping(t))
+
+
+@query(
+    "p5_column_map_json",
+    """WITH m AS (SELECT c_name AS file_name, 1 AS position, c_mktsegment AS source, upper(c_name) AS target FROM customer
+                  UNION ALL SELECT c_name, 2, 'n' || c_nationkey, 'key' FROM customer)
+       SELECT file_name, CAST(to_json(list({'position': position, 'source': source, 'target': target} ORDER BY position)) AS VARCHAR) AS body FROM m GROUP BY 1""",
+)
+def p5_json(t: Tables) -> DataFrame:
+    pairs = projections.explode_column_map(_mapping(t))
+    names = {"position": "position", "source": "source_column", "target": "target_column"}
+    return rows_as_json(pairs, ["file_name"], names)
+
+
+def _mapping(t: Tables) -> DataFrame:
+    """Bracketed column lists per file, one per customer."""
+    return t.customer.select(
         F.col("c_name").alias("file_name"),
         F.format_string("[%s, n%d]", "c_mktsegment", "c_nationkey").alias("source_columns"),
         F.format_string("[%s ,key]", F.upper("c_name")).alias("target_columns"),
         F.lit("[string, int]").alias("column_types"),
     )
-    return projections.explode_column_map(meta)
 
 
 @query("p6_trim_all", "SELECT p_partkey, p_name, p_type FROM part")

@@ -49,6 +49,12 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint; the result survives a lost executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage: write the rows to the shared folder and read them from there.
+
+    The written table survives a lost executor. It is columnar, so later steps read only what they
+    use, and its size is known to the optimizer.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
