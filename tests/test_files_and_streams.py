@@ -135,3 +135,6 @@ def test_zorder_splits_a_hot_cell(spark):
     sizes = writers.partition_sizes(layout.zorder(hot, ["a", "b"], files=8)).collect()
     assert sum(r["count"] for r in sizes) == 4000
     assert max(r["count"] for r in sizes) < 1400
+    copies = spark.range(4000).selectExpr("5 AS a", "5 AS b", "id AS row_no")
+    spread = layout.zorder(copies, ["a", "b"], files=8, spread=F.col("row_no"))
+    assert max(r["count"] for r in writers.partition_sizes(spread).collect()) < 1400

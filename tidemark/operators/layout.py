@@ -50,15 +50,17 @@ def z_value(columns: list[Column], bounds: list[list[float]], bits: int) -> Colu
     return z
 
 
-def zorder(df: DataFrame, columns: list[str], files: int, bits: int = 4, name: str | None = None) -> DataFrame:
+def zorder(
+    df: DataFrame, columns: list[str], files: int, bits: int = 4, name: str | None = None, spread: Column | None = None
+) -> DataFrame:
     """Cluster rows over several numeric columns.
 
-    The remaining order by a hash of the whole row splits a z-value that holds very many rows over
-    several files.
+    A z-value that holds very many rows is split over several files by ``spread``: a hash of the whole
+    row, or an expression that also tells exact copies apart (such as the row index of a scan).
     """
     bounds = quantile_bounds(df, columns, bits)
     z = z_value([quoted(c) for c in columns], [bounds[c] for c in columns], bits)
-    spread = F.xxhash64(*[quoted(c) for c in df.columns])
+    spread = F.xxhash64(*[quoted(c) for c in df.columns]) if spread is None else spread
     placed = df.withColumn("_z", z).repartitionByRange(files, "_z", spread).sortWithinPartitions("_z", *columns)
     return placed.withColumnRenamed("_z", name) if name else placed.drop("_z")
 

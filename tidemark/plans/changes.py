@@ -160,8 +160,9 @@ def v8(t: Tables) -> DataFrame:
 @query("v9_zorder", "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity FROM lineitem")
 def v9(t: Tables) -> DataFrame:
     out = scratch(t.spark, "v9")
-    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
-    layout.zorder(rows, ["l_orderkey", "l_partkey"], files=8).write.parquet(out)
+    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", F.col("_metadata.row_index").alias("row_no"))
+    placed = layout.zorder(rows, ["l_orderkey", "l_partkey"], files=8, spread=F.col("row_no"))
+    placed.drop("row_no").write.parquet(out)
     return t.spark.read.parquet(out)
 
 

@@ -58,7 +58,7 @@ def _mart(t: Tables, pre_aggregate: bool) -> DataFrame:
         F.col("l_returnflag").alias("offset_code"),
         F.col("l_linestatus").alias("status_code"),
         F.col("l_shipdate").alias("incur_date"),
-        F.col("l_extendedprice").alias("amount"),
+        exact("l_extendedprice").alias("amount"),
     )
     tags = t.part.selectExpr(
         "p_partkey AS tag_set_id", "p_brand AS unit", "p_type AS account", "p_name AS location", "p_size AS product"
@@ -67,9 +67,10 @@ def _mart(t: Tables, pre_aggregate: bool) -> DataFrame:
         F.col("o_orderkey").alias("trans_id"), priority.alias("source_type"), F.substring(priority, 3, 2).alias("suffix")
     )
     customer = t.customer.selectExpr("c_custkey AS customer_id", "c_name AS customer_name")
-    return revenue_mart(
+    mart = revenue_mart(
         header, revenue, amounts, tags, source, customer, 1997, on=("trans_id",), pre_aggregate=pre_aggregate
     )
+    return mart.withColumn("amount", F.col("amount").cast("double"))
 
 
 @query("a1_revenue_mart", _MART_SQL)
@@ -136,10 +137,13 @@ def a3(t: Tables) -> DataFrame:
         F.col("l_linestatus").alias("mod_1"),
         F.col("l_returnflag").alias("mod_2"),
     )
-    amounts = t.lineitem.selectExpr(
-        "l_orderkey AS claim_id", "l_linenumber AS line_no", "l_returnflag AS code", "l_extendedprice AS amount"
+    amounts = t.lineitem.select(
+        F.col("l_orderkey").alias("claim_id"),
+        F.col("l_linenumber").alias("line_no"),
+        F.col("l_returnflag").alias("code"),
+        exact("l_extendedprice").alias("amount"),
     )
-    return claim_mart(
+    mart = claim_mart(
         header,
         line,
         amounts,
@@ -153,6 +157,7 @@ def a3(t: Tables) -> DataFrame:
         modifier="F",
         modifiers=["mod_1", "mod_2"],
     )
+    return mart.withColumns({n: F.col(n).cast("double") for n in _FLAGS.values()})
 
 
 @query(

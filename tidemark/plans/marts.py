@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import month_key
-from tidemark.functions.values import exact, number_prefix, quoted
+from tidemark.functions.values import number_prefix, quoted
 from tidemark.operators.aggregates import sum_by_code
 from tidemark.operators.projections import any_column_equals, classify_in_list, filter_last_days
 
@@ -34,7 +34,7 @@ def revenue_mart(
     Months are formed before the joins, on the shortest rows, and the joins on ``on`` come first, so
     they share one partitioning. ``pre_aggregate`` sums the amounts by the finer keys before any
     join, looks the customer up after the grouping, and returns the same rows (customers are unique
-    by customer_id).
+    by customer_id). Decimal amounts give sums that do not depend on the order of addition.
     """
     keys = list(on)
     wanted = header.filter(number_prefix("period", 4) >= since_year).select(
@@ -48,7 +48,7 @@ def revenue_mart(
         "offset_code",
         "status_code",
         month_key("incur_date").alias("incur_month"),
-        exact("amount").alias("amount"),
+        "amount",
     )
     if pre_aggregate:
         fine = [*keys, "tag_set_id", "offset_code", "status_code", "incur_month"]
@@ -80,7 +80,7 @@ def revenue_mart(
         "location",
         "product",
     ]
-    total = F.sum("amount").cast("double").alias("amount")
+    total = F.sum("amount").alias("amount")
     if pre_aggregate:
         return joined.groupBy(*groups).agg(total).join(customer, "customer_id", "left")
     return joined.join(customer, "customer_id", "left").groupBy(*groups, "customer_name").agg(total)
@@ -111,13 +111,13 @@ def claim_mart(
     recent = filter_last_days(header, "paid_date", days, as_of).filter(header_ok)
     lines = line.filter(line_ok & any_column_equals(modifiers, modifier))
     keys = ["claim_id", "line_no"]
-    summed = sum_by_code(amounts, keys, "code", exact("amount"), names).filter(at_least)
+    summed = sum_by_code(amounts, keys, "code", F.col("amount"), names).filter(at_least)
     joined = recent.join(lines, "claim_id").join(summed, keys)
     labelled = classify_in_list(joined, "contract", codes, "listed", "other", "contract_group")
     unit_count = F.coalesce("units_a", "units_b", F.lit(0))
     return labelled.groupBy(
         *keys, "claim_type", "contract", "paid_date", "service_code", "contract_group"
     ).agg(
-        *[F.sum(quoted(n)).cast("double").alias(n) for n in names.values()],
+        *[F.sum(quoted(n)).alias(n) for n in names.values()],
         F.sum(unit_count).alias("units"),
     )

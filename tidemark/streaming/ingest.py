@@ -55,8 +55,13 @@ def stream_append(
 
 def run_to_end(query: StreamingQuery) -> int:
     """Wait for an ``available_now`` query; returns the rows it read, and raises what it failed with."""
-    query.awaitTermination()
-    return sum(p.numInputRows for p in query.recentProgress)
+    rows: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(5)
+        for p in query.recentProgress:
+            rows[p.batchId] = max(rows.get(p.batchId, 0), p.numInputRows)
+    return sum(rows.values())
 
 
 def create_target(spark: SparkSession, table: str, schema: str | T.StructType, path: str | None = None) -> None:
