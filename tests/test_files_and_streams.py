@@ -78,6 +78,19 @@ def test_append_rejects_extra_columns_and_changed_types(spark):
     assert {r["Country"]: r["Citizens"] for r in short.collect()} == {"A": 1, "C": None}
 
 
+def test_sources_keep_their_own_headers(spark, folder):
+    land(spark, f"{folder}/in/a", [("A", 1)])
+    land(spark, f"{folder}/in/ab", [("B", 2)])
+    land(spark, f"{folder}/in/c", [(3, "C")], "Citizens int, Country string")
+    sources = {n: f"{folder}/in/{n}" for n in ("a", "ab", "c")}
+    writers.land_to_bronze(spark, sources, f"{folder}/out", dt.date(2024, 3, 1))
+    got = {n: writers.read_layer(spark, f"{folder}/out", n).select("Country", "Citizens").collect() for n in sources}
+    assert {n: tuple(r[0]) for n, r in got.items()} == {"a": ("A", "1"), "ab": ("B", "2"), "c": ("C", "3")}
+    land(spark, f"{folder}/in/a", [(9, "Z")], "Citizens int, Country string")
+    with pytest.raises(Exception, match="header"):
+        writers.land_to_bronze(spark, sources, f"{folder}/out2", dt.date(2024, 3, 1))
+
+
 def test_one_day_of_a_layer_is_overwritten(spark, folder):
     day = spark.createDataFrame([("A", 1), ("B", 2)], COUNTRIES)
     writers.write_layer(day, folder, dt.date(2024, 3, 1))
@@ -130,6 +143,16 @@ def test_compaction_keeps_rows(spark, folder):
     assert spark.read.parquet(f"{folder}/b").count() == 1000
 
 
+def test_layout_depth_of_files(spark, folder):
+    rows = spark.range(4000).selectExpr("id", "hash(id) AS h")
+    rows.repartitionByRange(8, "id").write.parquet(f"{folder}/sorted")
+    rows.repartition(8, "h").write.parquet(f"{folder}/mixed")
+    tidy = layout.layout_depth(spark.read.parquet(f"{folder}/sorted"), "id").first()
+    mixed = layout.layout_depth(spark.read.parquet(f"{folder}/mixed"), "id").first()
+    assert (tidy["n_files"], tidy["avg_overlaps"], tidy["avg_depth"]) == (8, 0.0, 1.0)
+    assert (mixed["n_files"], mixed["avg_overlaps"], mixed["avg_depth"]) == (8, 7.0, 8.0)
+
+
 def test_zorder_splits_a_hot_cell(spark):
     hot = spark.range(4000).selectExpr("CASE WHEN id % 3 < 2 THEN 5 ELSE id END AS a", "5 AS b", "id AS c")
     sizes = writers.partition_sizes(layout.zorder(hot, ["a", "b"], files=8)).collect()

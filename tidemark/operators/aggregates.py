@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.values import is_missing, quoted
 from tidemark.operators.windows import number_rows
-from tidemark.sizing import bounded_groups
+from tidemark.sizing import GROUP_ROWS, bounded_groups
 
 
 def code_sums(code: str, amount: Column, names: dict[object, str]) -> list[Column]:
@@ -75,7 +75,11 @@ def string_agg(
     )
     items = F.array_sort(F.collect_list(F.struct("_v", "_n")))
     item = (lambda x: x["_v"]) if distinct else (lambda x: F.array_join(F.array_repeat(x["_v"], x["_n"]), sep))
-    return bounded_groups(merged, keys).groupBy(*keys).agg(F.array_join(F.transform(items, item), sep).alias(name))
+    text = F.array_join(F.transform(items, item), sep)
+    if not distinct:
+        too_long = F.raise_error(F.lit(f"a text of more than {GROUP_ROWS} items"))
+        text = F.when(F.sum("_n") > GROUP_ROWS, too_long).otherwise(text)
+    return bounded_groups(merged, keys).groupBy(*keys).agg(text.alias(name))
 
 
 def ordered_distinct(df: DataFrame, keys: list[str], column: str, position: str, sep: str = ", ", name: str = "items") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import moment
 from tidemark.functions.text import file_date
 from tidemark.operators.dimensions import CLOSE, INSERT
+from tidemark.sizing import CONTROL_ROWS
 
 # Load states.
 QUEUED, RUNNING, FAILED, SUCCESSFUL = "Queued", "Running", "Failed", "Successful"
@@ -135,10 +136,12 @@ def register_children(
 def _pairs(parents: DataFrame, items: DataFrame) -> DataFrame:
     """Every active item of each parent: the output is this product, one log row per pair.
 
-    The items are one sorted array (control rows, bounded by the check), not a cross join.
+    The items are one sorted array of control rows, checked to be few, and not a cross join.
     """
     names = items.columns
-    listed = items.groupBy().agg(F.array_sort(F.collect_set(F.struct(*names))).alias("items")).scalar()
+    too_many = F.raise_error(F.lit(f"control table holds more than {CONTROL_ROWS} rows"))
+    rows = F.array_sort(F.collect_set(F.struct(*names)))
+    listed = items.groupBy().agg(F.when(F.count(F.lit(1)) > CONTROL_ROWS, too_many).otherwise(rows).alias("items")).scalar()
     return parents.withColumn("_items", listed).select(*parents.columns, F.inline("_items"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.values import any_missing, fill_values, quoted
 from tidemark.operators.projections import normalise_name
 from tidemark.operators.windows import dedup_by_key
+from tidemark.sources.readers import read_sources
 from tidemark.sources.writers import split_good_bad, write_partitioned
 
 
@@ -84,23 +85,16 @@ def clean(df: DataFrame, text: str = "unknown", number: float = 0) -> tuple[Data
     return filled, before, after
 
 
-def dedup_files(
-    spark: SparkSession, sources: dict[str, str], columns: list[str], out: str, run_date: dt.date, fmt: str = "csv"
-) -> DataFrame:
-    """Drop duplicates inside every listed source, in one read and one write.
+def dedup_files(spark: SparkSession, sources: dict[str, str], out: str, run_date: dt.date, **options: str) -> None:
+    """Drop exact duplicates inside every listed source and write it to its dated folder.
 
-    ``sources`` maps a source name to its folder; all must share ``columns``.
+    ``sources`` maps a source to its folder or file; there is one read and one write per header layout.
     """
-    reader = spark.read.option("header", True)
-    name = F.when(F.lit(False), F.lit(None).cast("string"))
-    for source, folder in sources.items():
-        name = name.when(F.contains(F.col("_metadata.file_path"), F.lit(folder.rstrip("/") + "/")), F.lit(source))
-    rows = reader.format(fmt).load(list(sources.values())).select(*columns, name.alias("source")).distinct()
-    dated = rows.select(
-        "*", F.lit(run_date.year).alias("year"), F.lit(run_date.month).alias("month"), F.lit(run_date.day).alias("day")
-    )
-    write_partitioned(dated, out, ["source", "year", "month", "day"], "parquet")
-    return spark.read.parquet(out)
+    for rows in read_sources(spark, sources, **options):
+        dated = rows.distinct().select(
+            "*", F.lit(run_date.year).alias("year"), F.lit(run_date.month).alias("month"), F.lit(run_date.day).alias("day")
+        )
+        write_partitioned(dated, out, ["source", "year", "month", "day"], "parquet")
 
 
 def reconcile_counts(steps: dict[str, DataFrame]) -> DataFrame:

@@ -125,9 +125,10 @@ def q6(t: Tables) -> DataFrame:
 def q7(t: Tables) -> DataFrame:
     base = scratch(t.spark, "q7")
     write_files(t.orders.selectExpr("o_custkey AS k", "o_orderstatus AS v"), f"{base}/in/orders", "csv")
-    write_files(t.events.selectExpr("user_id AS k", "event_type AS v"), f"{base}/in/events", "csv")
+    write_files(t.events.selectExpr("event_type AS v", "user_id AS k"), f"{base}/in/events", "csv")
     sources = {"orders": f"{base}/in/orders", "events": f"{base}/in/events"}
-    return quality.dedup_files(t.spark, sources, ["k", "v"], f"{base}/out", dt.date(2024, 3, 9))
+    quality.dedup_files(t.spark, sources, f"{base}/out", dt.date(2024, 3, 9))
+    return t.spark.read.parquet(f"{base}/out").select("k", "v", "source", "year", "month", "day")
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -254,15 +255,20 @@ def s18(t: Tables) -> DataFrame:
 
 @query(
     "k1_land_to_bronze",
-    """SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, 'customers' AS source, 2024 AS year, 3 AS month, 9 AS day FROM customer
-       UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, 'suppliers', 2024, 3, 9 FROM supplier""",
+    """SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, NULL AS region, 'customers' AS source, 2024 AS year, 3 AS month, 9 AS day FROM customer
+       UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, NULL, 'suppliers', 2024, 3, 9 FROM supplier
+       UNION ALL SELECT CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR), 'nations', 2024, 3, 9 FROM nation""",
 )
 def k1(t: Tables) -> DataFrame:
     base = scratch(t.spark, "k1")
-    writers.write_files(t.customer.selectExpr("c_custkey AS id", "c_name AS name"), f"{base}/landing/customers", "csv")
-    writers.write_files(t.supplier.selectExpr("s_suppkey AS id", "s_name AS name"), f"{base}/landing/suppliers", "csv")
-    folder = path_segment(F.col("_metadata.file_path"), -2)
-    return writers.land_to_bronze(t.spark, f"{base}/landing", f"{base}/bronze", dt.date(2024, 3, 9), folder)
+    landing = {name: f"{base}/landing/{name}" for name in ("customers", "suppliers", "nations")}
+    writers.write_files(t.customer.selectExpr("c_custkey AS id", "c_name AS name"), landing["customers"], "csv")
+    writers.write_files(t.supplier.selectExpr("s_suppkey AS id", "s_name AS name"), landing["suppliers"], "csv")
+    nations = t.nation.selectExpr("n_regionkey AS region", "n_name AS name", "n_nationkey AS id")
+    writers.write_files(nations, landing["nations"], "csv")
+    writers.land_to_bronze(t.spark, landing, f"{base}/bronze", dt.date(2024, 3, 9))
+    layers = [writers.read_layer(t.spark, f"{base}/bronze", name).withColumn("source", F.lit(name)) for name in landing]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), layers)
 
 
 @query(

@@ -50,6 +50,35 @@ def read_files(
     return reader.load([paths] if isinstance(paths, str) else paths)
 
 
+def from_source(path: str) -> Column:
+    """Whether a row's file is the given file or lies in the given folder."""
+    at = F.replace(F.col("_metadata.file_path"), F.lit("%20"), F.lit(" "))
+    whole = path.rstrip("/")
+    return F.endswith(at, F.lit(whole)) | F.contains(at, F.lit(whole + "/"))
+
+
+def read_sources(spark: SparkSession, sources: dict[str, str], name: str = "source", **options: str) -> list[DataFrame]:
+    """CSV sources with their own headers: one DataFrame per layout, with the source as a column.
+
+    ``sources`` maps a source to its folder or file. One CSV read gives all files the first header, so
+    only sources with equal headers are read together. A file whose header differs from that of its
+    source is an error.
+    """
+    reader = spark.read.option("header", True).option("recursiveFileLookup", True).options(**options)
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for source, path in sources.items():
+        layouts.setdefault(tuple(reader.csv(path).columns), []).append(source)
+    out = []
+    for columns, members in layouts.items():
+        text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        rows = reader.schema(text).option("enforceSchema", False).csv([sources[m] for m in members])
+        tag = F.when(F.lit(False), F.lit(None).cast("string"))
+        for member in members:
+            tag = tag.when(from_source(sources[member]), F.lit(member))
+        out.append(rows.select("*", tag.alias(name)))
+    return out
+
+
 def read_partitioned(
     spark: SparkSession,
     base: str,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.values import quoted
+from tidemark.sources.readers import read_sources
 
 
 def _dated(run_date: dt.date) -> list[Column]:
@@ -20,24 +21,21 @@ def _dated(run_date: dt.date) -> list[Column]:
 
 
 def land_to_bronze(
-    spark: SparkSession,
-    src: str | list[str],
-    out: str,
-    run_date: dt.date,
-    source: Column | None = None,
-    fmt: str = "parquet",
-    **options: str,
-) -> DataFrame:
-    """Copy every landed CSV file to ``source=/year=/month=/day=`` folders in one job.
-
-    The source is the file name without its extension unless given. Rows are rebalanced by source, so
-    small sources are merged and a source that holds most rows is spread over many tasks.
+    spark: SparkSession, sources: dict[str, str], out: str, run_date: dt.date, fmt: str = "parquet", **options: str
+) -> None:
+    """Copy landed CSV files, all columns as text, to ``source=/year=/month=/day=`` folders.
+
+    ``sources`` maps a source to its folder or file. There is one job per header layout, not one per
+    file. Rows are rebalanced by source, so small sources are merged and a source that holds most rows
+    is spread over many tasks.
     """
-    landed = spark.read.option("header", True).option("recursiveFileLookup", True).options(**options).csv(src)
-    source = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "") if source is None else source
-    named = landed.select("*", source.alias("source"), *_dated(run_date))
-    write_partitioned(named, out, ["source", "year", "month", "day"], fmt)
-    return spark.read.format(fmt).option("header", True).load(out)
+    for rows in read_sources(spark, sources, **options):
+        write_partitioned(rows.select("*", *_dated(run_date)), out, ["source", "year", "month", "day"], fmt)
+
+
+def read_layer(spark: SparkSession, base: str, source: str, fmt: str = "parquet") -> DataFrame:
+    """One source of a layer, with its dates as columns."""
+    return spark.read.format(fmt).option("header", True).load(f"{base}/source={source}")
 
 
 def write_partitioned(df: DataFrame, out: str, parts: list[str], fmt: str = "parquet", **options: str) -> None:
