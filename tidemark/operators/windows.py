@@ -21,10 +21,15 @@ def _columns(order: list[str | Column]) -> list[Column]:
     return [quoted(o) if isinstance(o, str) else o for o in order]
 
 
+def _total(df: DataFrame, leading: list[str], order: list[str | Column]) -> list[Column]:
+    """An order without ties between different rows: the given one, then all columns it does not name."""
+    named = {*leading, *[o for o in order if isinstance(o, str)]}
+    return [*_columns(order), *[quoted(c) for c in df.columns if c not in named]] or [quoted(leading[0])]
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
     """The first row of each key. All columns break ties, so the survivor does not depend on the plan."""
-    total = [*_columns(order), *[quoted(c) for c in df.columns]]
-    w = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(*total)
+    w = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(*_total(df, keys, order))
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
@@ -95,7 +100,7 @@ def number_rows(
         total = [*[quoted(p) for p in partition], *_columns(order)]
     else:
         df = number_copies(df, "_copy")
-        total = [*[quoted(p) for p in partition], *_columns(order), *[quoted(c) for c in df.columns]]
+        total = [*[quoted(p) for p in partition], *_total(df, partition, order)]
     placed = cut(df.orderBy(*total).withColumn("_pos", F.monotonically_increasing_id()))
     position_mask = F.lit((1 << _POSITION_BITS) - 1)
     ranged = placed.select(
