@@ -66,8 +66,12 @@ def digested(docs: DataFrame, text: str = "text", bits: int = BITS) -> DataFrame
 
 
 def _groups(rows: DataFrame, id_column: str) -> DataFrame:
-    """One row per digest that occurs twice or more. Partial sums keep a huge group of copies cheap."""
-    return (
+    """One row per digest that occurs twice or more, written once.
+
+    Partial sums keep a huge group of copies cheap; a join with the written table can be split where one
+    digest has very many rows.
+    """
+    return cut(
         rows.groupBy("__digest")
         .agg(F.max(f"`{id_column}`").alias("__best"), F.count(F.lit(1)).alias("__size"))
         .filter(F.col("__size") > 1)

@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import bpe_decode, bpe_encode
 from tidemark.llm.common import ascii_lower, text_of
 from tidemark.llm.exact_dedup import exact_groups
+from tidemark.llm.mixing import mix
 from tidemark.llm.quality import BASE, MEASURES, STRICT, fails, quality_ledger
 from tidemark.llm.sharding import histogram_shards
+from tidemark.llm.simhash import simhash_components
+from tidemark.llm.url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,6 +38,49 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+#: The rules of the query: a host with its subdomains, and the beginning of the path.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+@query("op2_link_propagation")
+def op2_link_propagation(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(table(spark, folder, "pages"), URL_RULES)
+
+
+def tokenizer_file(path: str | None = None) -> str:
+    """The content of a tokenizer file, by default the byte-level vocabulary of 50,257 tokens."""
+    return Path(path or public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
+
+
+@query("op3_bpe_transducer")
+def op3_bpe_transducer(spark: SparkSession, folder: str) -> DataFrame:
+    definition = tokenizer_file()
+    tokens = bpe_encode(table(spark, folder, "documents").select("doc_id", "text"), definition).drop("text")
+    return bpe_decode(tokens, definition).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query("op5_pfair_mixing")
+def op5_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents").select("doc_id", "source"))
+
+
+@query("op6_simhash_tiles")
+def op6_simhash_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash_components(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query(
     "op7_exact_dedup",
     """
