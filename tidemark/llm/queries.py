@@ -6,12 +6,13 @@ from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import bpe_decode, bpe_encode
 from tidemark.llm.common import ascii_lower, text_of
 from tidemark.llm.exact_dedup import exact_groups
+from tidemark.llm.hmm import hmm_scores
 from tidemark.llm.mixing import mix
 from tidemark.llm.quality import BASE, MEASURES, STRICT, fails, quality_ledger
 from tidemark.llm.sharding import histogram_shards
@@ -38,6 +39,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def remainder(id_column: str, parts: int) -> Column:
+    """A fixed part of an id: the checksum of its digits modulo ``parts``."""
+    return F.pmod(F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")), F.lit(parts))
+
+
+@query("op1_hidden_markov")
+def op1_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
+    return hmm_scores(table(spark, folder, "documents"), remainder("doc_id", 10) == 0)
+
+
 #: The rules of the query: a host with its subdomains, and the beginning of the path.
 URL_RULES = [
     ("allow", "com/"),
