@@ -17,6 +17,7 @@ from tidemark.llm.mixing import mix
 from tidemark.llm.quality import BASE, MEASURES, STRICT, fails, quality_ledger
 from tidemark.llm.sharding import histogram_shards
 from tidemark.llm.simhash import simhash_components
+from tidemark.llm.toxicity import toxicity_scores, train_toxicity
 from tidemark.llm.url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +82,17 @@ def op3_bpe_transducer(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op4_positive_unlabelled")
+def op4_positive_unlabelled(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "toxic")
+    learnt = remainder("doc_id", 3) != 1
+    weights = train_toxicity(docs.filter(learnt), labels.filter(learnt))
+    return toxicity_scores(docs, weights).select(
+        "doc_id", (~learnt).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 @query("op5_pfair_mixing")
 def op5_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents").select("doc_id", "source"))
