@@ -14,6 +14,7 @@ from tidemark.llm.common import ascii_lower, text_of
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.hmm import hmm_scores
 from tidemark.llm.mixing import mix
+from tidemark.llm.passages import repeated_passages
 from tidemark.llm.quality import BASE, MEASURES, STRICT, fails, quality_ledger
 from tidemark.llm.sharding import histogram_shards
 from tidemark.llm.simhash import simhash_components
@@ -127,6 +128,11 @@ def op8_histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
     return histogram_shards(table(spark, folder, "documents"))
 
 
+@query("op9_paragraph_minhash")
+def op9_paragraph_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(table(spark, folder, "documents"))
+
+
 @query(
     "op10_quality_rules",
     """
