@@ -30,7 +30,7 @@ CLASSES = 256
 STATES = 8
 WARM_ROUNDS, WARM_SHARE = 4, 8  # first rounds over one of eight training texts: a start, not a statistic
 ROUNDS = 3  # rounds over all training texts
-PULL = 50.0  # weight of the corpus distribution in each state's emissions
+PULL = 2.0  # pseudo-counts for each symbol, spread like the corpus, in the emissions of each state
 SEGMENT = 256  # tokens of a training segment
 GROUP = 2_048  # segments at a time
 BLOCK = 512  # tokens of a block of a long text
@@ -301,7 +301,7 @@ def baum_welch_round(encoded: DataFrame, model: Model, vocab: Vocabulary) -> Mod
     emit[keys[keys >= 0]] = rows[keys >= 0]
     special = np.zeros((model.states + 2, model.states))
     special[-1 - keys[keys < 0]] = rows[keys < 0]
-    emit = emit + PULL * vocab.base[:, None]
+    emit = emit + PULL * size * vocab.base[:, None]
     moves = special[: model.states] + 1.0
     start, inner = special[model.states] + 1.0, special[model.states + 1] + 1.0
     return Model(start / start.sum(), inner / inner.sum(), moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
