@@ -1,6 +1,6 @@
 """A hidden Markov language model, trained by Baum-Welch counts that Spark sums over all partitions.
 
-Symbols are the ``head`` most frequent words, the end of a text, and classes of all other words by their
+Symbols are the most frequent words, about ``head``, the end of a text, and classes of all other words by their
 last bytes; within a class a word follows its count in the corpus. So the model's tables are bounded by
 parameters, while word counts cover every training text and stay distributed: words outside the head meet
 their counts in a join, never on the driver.
@@ -36,6 +36,7 @@ GROUP = 2_048  # segments at a time
 BLOCK = 512  # tokens of a block of a long text
 FLUSH = 1 << 20  # distinct words a task holds before it hands its counts on
 ADDED = 0.1
+LEVEL = 1.02  # ratio of the count ranges from which the head is found
 END = b""
 
 
@@ -135,36 +136,43 @@ def log_likelihood(model: Model, ids: np.ndarray, offsets: np.ndarray) -> np.nda
             a[:rows] /= norm[:, None]
             total[:rows] += np.log10(norm)
         out[chosen] = total
-    for text in np.nonzero(size > 2 * BLOCK)[0]:
-        out[text] = _long_likelihood(model, ids[offsets[text] : offsets[text + 1]])
+    long = np.nonzero(size > 2 * BLOCK)[0]
+    for k in range(0, len(long), GROUP):
+        out[long[k : k + GROUP]] = _long_likelihoods(model, ids, offsets[long[k : k + GROUP]], size[long[k : k + GROUP]])
     return out
 
 
-def _long_likelihood(model: Model, ids: np.ndarray) -> float:
-    """One long text: transfer matrices of its blocks, side by side, then multiplied in order."""
-    a = model.start * model.emit[ids[0]]
-    total = float(np.log10(a.sum()))
-    a = a / a.sum()
-    rest = ids[1:]
-    for k in range(0, len(rest), BLOCK * GROUP // 8):
-        piece = rest[k : k + BLOCK * GROUP // 8]
-        whole = len(piece) // BLOCK
-        blocks = piece[: whole * BLOCK].reshape(whole, BLOCK)
-        matrix = np.repeat(np.eye(model.states)[None], whole, axis=0)
-        logs = np.zeros(whole)
-        for t in range(BLOCK if whole else 0):
-            matrix = (matrix @ model.moves) * model.emit[blocks[:, t]][:, None, :]
-            norm = matrix.max(axis=(1, 2))
-            matrix /= norm[:, None, None]
-            logs += np.log10(norm)
-        for m, log in zip(matrix, logs):
-            a = a @ m
-            total += float(log + np.log10(a.sum()))
-            a = a / a.sum()
-        for symbol in piece[whole * BLOCK :]:
-            a = (a @ model.moves) * model.emit[symbol]
-            total += float(np.log10(a.sum()))
-            a = a / a.sum()
+def _long_likelihoods(model: Model, ids: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Long texts: the transfer matrices of all their blocks, side by side, then multiplied in order by text."""
+    states = model.states
+    a = model.start * model.emit[ids[starts]]
+    total = np.log10(a.sum(axis=1))
+    a /= a.sum(axis=1, keepdims=True)
+    per = -(-(size - 1) // BLOCK)  # blocks after the first symbol
+    part = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+    begin = np.repeat(starts + 1, per) + part * BLOCK
+    length = np.minimum(BLOCK, np.repeat(size - 1, per) - part * BLOCK)
+    matrices = np.empty((len(begin), states, states))
+    logs = np.zeros(len(begin))
+    order = np.argsort(-length, kind="stable")
+    for k in range(0, len(order), BLOCK):
+        chosen = order[k : k + BLOCK]
+        matrix = np.repeat(np.eye(states)[None], len(chosen), axis=0)
+        log = np.zeros(len(chosen))
+        for t, rows in enumerate(_active(length[chosen])):
+            moved = (matrix[:rows] @ model.moves) * model.emit[ids[begin[chosen[:rows]] + t]][:, None, :]
+            norm = moved.max(axis=(1, 2))
+            matrix[:rows] = moved / norm[:, None, None]
+            log[:rows] += np.log10(norm)
+        matrices[chosen], logs[chosen] = matrix, log
+    first = np.cumsum(per) - per
+    for step in range(per.max()):
+        going = np.nonzero(per > step)[0]
+        block = first[going] + step
+        moved = np.einsum("ni,nij->nj", a[going], matrices[block])
+        norm = moved.sum(axis=1)
+        a[going] = moved / norm[:, None]
+        total[going] += logs[block] + np.log10(norm)
     return total
 
 
@@ -209,18 +217,24 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame, head: int) -> Vocabulary:
-    """Read ``head`` words and ``CLASSES`` sums to the driver; both are parameters, whatever the corpus."""
-    top = counts.orderBy(F.desc("n"), "word").limit(head)
-    rows = [(bytes(r["word"]), r["n"]) for r in top.collect()]
-    if END not in dict(rows):
-        rows += [(END, r["n"]) for r in counts.filter(F.octet_length("word") == 0).collect()]
+    """Read the head and ``CLASSES`` sums to the driver; both are bounded by parameters, whatever the corpus.
+
+    The head is the words of at least the smallest count that leaves ``head`` words or fewer. It is found
+    from how many words there are in each of about 1,500 geometric ranges of counts.
+    """
+    level = F.floor(F.log("n") / F.lit(np.log(LEVEL))).cast("int")
+    levels = counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("n")).collect()
+    least, room = np.iinfo(np.int64).max, head
+    for row in sorted(levels, reverse=True):
+        room -= row["words"]
+        if room < 0:
+            break
+        least = row["n"]
+    is_head = (F.col("n") >= F.lit(int(least))) | (F.octet_length("word") == 0)
+    rows = sorted(((bytes(r["word"]), r["n"]) for r in counts.filter(is_head).collect()), key=lambda r: (-r[1], r[0]))
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    # the head is a prefix of the order (n falling, word), so its last row is the border
-    words_in = [r for r in rows if r[0] != END]
-    last = words_in[-1] if words_in else (b"", 0)
-    outside = (F.octet_length("word") > 0) & ((F.col("n") < last[1]) | ((F.col("n") == last[1]) & (F.col("word") > F.lit(bytearray(last[0])))))
     group = F.pmod(F.crc32(F.expr("substring(word, -3, 3)")), F.lit(CLASSES)).cast("int").alias("class")
-    sums = counts.filter(outside).groupBy(group).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()
+    sums = counts.filter(~is_head).groupBy(group).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()
     return Vocabulary(rows, totals[0], totals[1], {r["class"]: (r["n"], r["v"]) for r in sums})
 
 
