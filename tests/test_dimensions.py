@@ -128,6 +128,38 @@ def test_control_rows_must_be_complete(spark):
         dims.roles_from_control(two, "dim.a")
 
 
+def test_load_type_decides(spark):
+    schema = "load_type string, source_table string, source_column string, is_key string, is_auto string, target_table string, target_column string, is_tracked string"
+    rows = [(kind, "stg", c, "Y" * (c == "id"), "", table, c, "Y" * (c != "id")) for kind, table in (("SCD1", "one"), ("scd2 ", "two")) for c in ("id", "city")]
+    control = spark.createDataFrame(rows, schema)
+    old = spark.createDataFrame([(1, "a", BEGIN, None)], "id int, city string, start_date timestamp_ntz, end_date timestamp_ntz")
+    new = {"stg": spark.createDataFrame([(1, "b")], "id int, city string")}
+    out = dims.load_by_control({"one": old, "two": old}, new, control, NOW)
+    assert sorted(r["city"] for r in out["one"].collect()) == ["b"]
+    assert sorted(r["city"] for r in out["two"].collect()) == ["a", "b"]
+    with pytest.raises(ValueError, match="loaded as SCD2"):
+        dims.scd1_from_control(old, new["stg"], control, "two")
+    with pytest.raises(ValueError, match="loaded as SCD1"):
+        dims.scd2_from_control({"one": old}, new, control, NOW)
+    with pytest.raises(ValueError, match="one load type"):
+        dims.roles_from_control(control.withColumn("target_table", F.lit("one")), "one")
+
+
+@pytest.mark.parametrize("by_hash", [False, True])
+def test_null_keys_change_nothing_and_null_moves_are_changes(spark, by_hash):
+    columns = "id int, a string, b string, start_date timestamp_ntz, end_date timestamp_ntz"
+    old = spark.createDataFrame([(1, None, "x", BEGIN, None), (None, "k", "k", BEGIN, None)], columns)
+    stg = spark.createDataFrame([(1, "x", None), (None, "p", "q"), (None, "r", "s")], "id int, a string, b string")
+    once = dims.scd2(old, stg, ["id"], ["a", "b"], NOW, by_hash=by_hash)
+    again = dims.scd2(once, stg, ["id"], ["a", "b"], NOW, by_hash=by_hash)
+    for out in (once, again):
+        assert {(r["id"], r["a"], r["b"], r["end_date"]) for r in out.collect()} == {(1, None, "x", NOW), (1, "x", None, None), (None, "k", "k", None)}
+        assert out.count() == 3
+    assert {r["a"] for r in dims.rejected_rows(stg, ["id"]).collect()} == {"p", "r"}
+    merged = dims.merge(old, stg, ["id"], update={"a": F.col("s.a")}, insert={"id": F.col("s.id"), "a": F.col("s.a")})
+    assert merged.count() == 2 and dims.scd2_static(old, stg, ["id"], ["a", "b"], NOW).count() == 3
+
+
 def test_seed_rows_are_added_once(spark):
     start = spark.createDataFrame([("Green", "fine")], "name string, description string")
     seeds = [{"name": "Red", "description": "bad"}, {"name": "Green", "description": "other"}]

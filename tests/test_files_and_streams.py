@@ -47,8 +47,35 @@ def test_new_columns_need_schema_merge(spark, folder, table):
 
 
 def test_a_stream_needs_a_folder(spark, folder):
+    land(spark, f"{folder}/one.csv", [("A", 1)])  # a folder, whatever it is called
+    assert ingest.stream_files(spark, f"{folder}/one.csv", COUNTRIES).isStreaming
+    file = readers.list_files(spark, f"{folder}/one.csv").filter("name LIKE 'part-%'").first()["path"]
     with pytest.raises(ValueError, match="folder"):
-        ingest.stream_files(spark, f"{folder}/one.csv", COUNTRIES)
+        ingest.stream_files(spark, file, COUNTRIES)
+
+
+def test_sources_with_odd_folder_names(spark, folder):
+    """Blanks, plus, hash and percent signs; a folder in a folder; a name that begins like another."""
+    names = ["plain", "plain two", "a+b", "a#b", "100%25", "ü"]
+    sources = {n: f"{folder}/in/{n}" for n in names} | {"inner": f"{folder}/in/plain/inner"}
+    for n, path in sources.items():
+        land(spark, path, [(n, 1)])
+    rows = [r for df in readers.read_sources(spark, sources) for r in df.collect()]
+    assert {r["source"]: r["Country"] for r in rows} == {n: n for n in sources}
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from tidemark.session import shared_dir
+
+    def session(folder):
+        context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: folder), sparkContext=context)
+
+    assert shared_dir(session("hdfs://shared/")) == "hdfs://shared"
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_dir(session(None))
 
 
 def test_a_stream_cannot_be_shown(spark, folder):

@@ -97,6 +97,36 @@ def test_names_of_one_two_and_three_parts(spark):
     ]
 
 
+def references(spark, sql):
+    out = querylog.sql_references(spark.createDataFrame([(1, sql)], "query_id int, sql_text string")).collect()
+    return sorted(".".join(filter(None, (r["database_name"], r["schema_name"], r["object_name"]))) for r in out)
+
+
+@pytest.mark.parametrize(
+    "sql, expected",
+    [
+        ('select * from "Db"."My Table" join `s`.`T2` on 1 = 1 join [a b].[c.d] x on 1 = 1', ["A B.C.D", "DB.MY TABLE", "S.T2"]),
+        ("select 'from lost -- ' as a, 'it''s from here' from kept -- 'join gone", ["KEPT"]),
+        ("select * from (select 1 from a) a_very_long_alias_name join b on 1 = 1", ["A", "B"]),
+        ("with recent as (select 1 from x), later (n) as materialized (select 2 from recent) select * from sales.recent join later", ["SALES.RECENT", "X"]),
+        ("select extract(year from coalesce(t.d, now())), trim(both ' ' from n), substring(a from 2) from t, u", ["T"]),
+        ("select * from srv.db.s.t join generate_series(1, 2) g on true join current_date", ["SRV.DB.S.T"]),
+        ("create temp table if not exists w.tmp as select * from src; select * from tmp join tmp2", ["SRC", "TMP2"]),
+        ("select * from t join T on 1 = 1 /* from c */ where a = 'x' --\n and b in (select c from d)", ["D", "T"]),
+    ],
+)
+def test_names_in_statements(spark, sql, expected):
+    assert references(spark, sql) == expected
+
+
+def test_signatures_compare_whole_statements(spark):
+    long = "select " + "x, " * 100
+    history = spark.createDataFrame([(long + "a", 1, T0, "OK")], "statement_text string, statement_id int, start_time timestamp_ntz, execution_status string")
+    asked = spark.createDataFrame([(1, long.upper() + "  A "), (2, long + "b")], "query_id int, sql_text string")
+    found = lambda **o: {r["query_id"]: r["statement_id"] for r in querylog.match_signature(history, asked, **o).collect()}
+    assert found() == {1: 1, 2: None} and found(length=150) == {1: 1, 2: 1}
+
+
 def test_temporary_names_are_found(spark):
     sql = """create or replace temporary table tmp_one as select 1;
     CREATE MULTISET VOLATILE TABLE lab.vt_two AS select 2; -- create temp table not_me
@@ -137,6 +167,8 @@ def test_snapshot_registration(spark):
     running = spark.createDataFrame([entry(4, "Running"), entry(5, "Successful")], loadlog.SNAPSHOT_LOG)
     row = loadlog.register_snapshot(running, dt.date(2024, 1, 4), T0)[0].filter("status = 'Queued'").collect()
     assert [(r["snapshot_date"].day, r["started"], r["ended"]) for r in row] == [(4, None, None)]
+    finished = running.withColumn("status", F.lit("Successful"))
+    assert loadlog.register_snapshot(finished, dt.date(2024, 1, 4), T0)[1].count() == 0
     done = loadlog.register_snapshot(running, dt.date(2024, 1, 5), T0)[0]
     assert {r["snapshot_date"].day: r["status"] for r in done.collect()} == {4: "Running", 5: "Successful"}
 
@@ -171,22 +203,6 @@ def test_schema_map_errors(spark):
             projections.apply_schema_map(df, names, types)
 
 
-def test_measured_broadcast(spark):
-    from tidemark.sizing import broadcast_if_small, control_rows, is_small
-
-    dim = spark.range(1000).selectExpr("id AS k", "repeat('x', 100) AS v")
-    assert is_small(dim) and not is_small(dim, max_rows=999) and not is_small(dim, max_bytes=100_000)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in explained(spark.range(10).toDF("k").join(broadcast_if_small(dim), "k"))
-        assert "BroadcastHashJoin" not in explained(spark.range(10).toDF("k").join(broadcast_if_small(dim, max_rows=9), "k"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    with pytest.raises(ValueError, match="more than 10 rows"):
-        control_rows(dim, 10)
-    assert joins.join_small(spark.range(10).toDF("k"), dim, ["k"]).count() == 10
-
-
 def test_text_helpers(spark):
     df = spark.createDataFrame([("Service X -Update <div>a&nbsp;b</div>Service Health RAG ", "a.b.c.d.e")], "t string, d string")
     row = df.select(

@@ -120,13 +120,16 @@ def test_grid_places_every_value_once(spark):
         assert [row[f"col_{b}"] for b in range(3)] == [c[row["row_no"] - 1] if row["row_no"] <= len(c) else None for c in cells]
 
 
-def test_too_large_groups_are_an_error(spark):
-    from tidemark.sizing import bounded_groups
-
-    df = spark.range(100).selectExpr("id % 2 AS k", "id")
-    assert bounded_groups(df, ["k"], 50).count() == 100
-    with pytest.raises(Exception, match="more than 49 rows"):
-        bounded_groups(df, ["k"], 49).count()
+def test_groups_of_any_size_become_texts(spark):
+    from tidemark.operators.aggregates import string_agg, string_parts
+
+    df = spark.range(30_000).selectExpr("id % 2 AS k", "lpad(id, 6, '0') AS v")
+    whole = {r["k"]: r["items"] for r in string_agg(df, ["k"], "v").collect()}
+    parts = string_parts(df, ["k"], "v", items=4_000).collect()
+    assert {r["k"]: r["items"] for r in string_agg(df.unionAll(df), ["k"], "v").collect()} == whole
+    for k in (0, 1):
+        texts = [r["items"] for r in sorted(parts, key=lambda r: r["part"]) if r["k"] == k]
+        assert len(texts) == 4 and ",".join(texts) == whole[k]
 
 
 def brute_depth(intervals):

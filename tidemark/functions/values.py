@@ -51,6 +51,12 @@ def any_missing(df: DataFrame, columns: list[str] | None = None) -> Column:
     return reduce(lambda a, b: a | b, [is_missing(df.schema[c]) for c in wanted])
 
 
+def row_hash(*columns: Column | str) -> Column:
+    """64-bit hash of a tuple. Spark's hash passes over NULLs, so it also takes which members are NULL."""
+    members = [_col(c) for c in columns]
+    return F.xxhash64(*[c.isNull() for c in members], *members)
+
+
 def exploded(df: DataFrame, items: Column, name: str) -> DataFrame:
     """One more column with the members of an array; rows with no members drop out.
 

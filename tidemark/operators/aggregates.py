@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.values import is_missing, quoted
 from tidemark.operators.windows import number_rows
-from tidemark.sizing import GROUP_ROWS, bounded_groups
 
 
 def code_sums(code: str, amount: Column, names: dict[object, str]) -> list[Column]:
@@ -67,7 +66,8 @@ def string_agg(
     """Values of a group as one ordered text.
 
     Equal values are merged before the shuffle (with their count unless ``distinct``), so a group is
-    only as large as its number of different values; too many of them are an error, not a cut.
+    only as large as its number of different values. Each text is one cell of the result;
+    ``string_parts`` gives the groups that no cell can hold.
     """
     value = quoted(column).cast("string")
     merged = df.filter(quoted(column).isNotNull()).groupBy(*keys, value.alias("_v")).agg(
@@ -75,11 +75,21 @@ def string_agg(
     )
     items = F.array_sort(F.collect_list(F.struct("_v", "_n")))
     item = (lambda x: x["_v"]) if distinct else (lambda x: F.array_join(F.array_repeat(x["_v"], x["_n"]), sep))
-    text = F.array_join(F.transform(items, item), sep)
-    if not distinct:
-        too_long = F.raise_error(F.lit(f"a text of more than {GROUP_ROWS} items"))
-        text = F.when(F.sum("_n") > GROUP_ROWS, too_long).otherwise(text)
-    return bounded_groups(merged, keys).groupBy(*keys).agg(text.alias(name))
+    return merged.groupBy(*keys).agg(F.array_join(F.transform(items, item), sep).alias(name))
+
+
+def string_parts(
+    df: DataFrame, keys: list[str], column: str, sep: str = ",", items: int = 10_000, name: str = "items"
+) -> DataFrame:
+    """The different values of a group as ordered texts of ``items`` values each: ``(keys, part, text)``.
+
+    The values are numbered by a distributed sort, so a group of any size is spread over tasks.
+    """
+    different = df.filter(quoted(column).isNotNull()).select(*keys, quoted(column).cast("string").alias("_v")).distinct()
+    numbered = number_rows(different, ["_v"], "_no", partition=keys, unique=True)
+    parts = numbered.withColumn("part", F.expr(f"(_no - 1) div {int(items)}"))
+    values = F.array_sort(F.collect_list(F.struct("_no", "_v")))
+    return parts.groupBy(*keys, "part").agg(F.array_join(F.transform(values, lambda x: x["_v"]), sep).alias(name))
 
 
 def ordered_distinct(df: DataFrame, keys: list[str], column: str, position: str, sep: str = ", ", name: str = "items") -> DataFrame:
@@ -87,14 +97,14 @@ def ordered_distinct(df: DataFrame, keys: list[str], column: str, position: str,
     firsts = df.filter(quoted(column).isNotNull()).groupBy(*keys, column).agg(F.min(position).alias("_p"))
     items = F.array_sort(F.collect_list(F.struct("_p", quoted(column).alias("_v"))))
     text = F.array_join(F.transform(items, lambda x: x["_v"]), sep)
-    return bounded_groups(firsts, keys).groupBy(*keys).agg(text.alias(name))
+    return firsts.groupBy(*keys).agg(text.alias(name))
 
 
 def rows_as_json(df: DataFrame, keys: list[str], columns: dict[str, str], name: str = "body") -> DataFrame:
     """The rows of each group as one JSON array, ordered by the listed columns (JSON name to column)."""
     rows = df.select(*keys, F.struct(*[quoted(c).alias(n) for n, c in columns.items()]).alias("_row"))
     body = F.to_json(F.array_sort(F.collect_list("_row")))
-    return bounded_groups(rows, keys).groupBy(*keys).agg(body.alias(name))
+    return rows.groupBy(*keys).agg(body.alias(name))
 
 
 def status_summary(df: DataFrame, column: str) -> DataFrame:

@@ -2,13 +2,15 @@
 
 A staging table is first reduced to one row per key. That grouping combines copies before its
 shuffle, so a key with very many staged rows does no harm, and the join after it uses the same
-partitioning. Keys are compared with plain equality: a NULL key never matches.
+partitioning. Keys are compared with plain equality: a NULL key never matches, so staged rows
+with a NULL key are rejected (``rejected_rows``) and change nothing.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,19 +18,33 @@ from pyspark.sql import functions as F
 from tidemark.functions import dates
 from tidemark.functions.dates import moment
 from tidemark.functions.text import email_first_name, email_last_name, initial_capital
-from tidemark.functions.values import quoted
+from tidemark.functions.values import quoted, row_hash
 from tidemark.operators.windows import number_rows
 from tidemark.session import cut
-from tidemark.sizing import control_rows
 
 KEEP, CLOSE, INSERT = "keep", "close", "insert"
 
+# Load types of a control table.
+SCD1, SCD2 = "SCD1", "SCD2"
+# Fixed values end.
+
+
+def _has_key(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [quoted(k).isNotNull() for k in keys])
+
+
+def rejected_rows(stg: DataFrame, keys: list[str]) -> DataFrame:
+    """Staged rows that no load takes: a part of their key is NULL."""
+    return stg.filter(~_has_key(keys))
+
 
 def one_per_key(stg: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """One staged row per key: the last by ``order``, or the only one.
 
-    Without an order, exact copies are merged and different rows for one key are an error.
+    Without an order, exact copies are merged and different rows for one key are an error. Rows with
+    a NULL key are left out.
     """
+    stg = stg.filter(_has_key(keys))
     rest = [c for c in stg.columns if c not in keys]
     if not rest:
         return stg.distinct()
@@ -127,7 +143,7 @@ def scd2_parts(
     joined = d.join(s, [F.col(f"d.`{k}`") == F.col(f"s.`{k}`") for k in keys], "full")
 
     mine, theirs = [F.col(f"d.`{c}`") for c in tracked], [F.col(f"s.`{c}`") for c in tracked]
-    changed = F.xxhash64(*mine) != F.xxhash64(*theirs) if by_hash else _differs(mine, theirs)
+    changed = row_hash(*mine) != row_hash(*theirs) if by_hash else _differs(mine, theirs)
     old, new = F.col("d._old").isNotNull(), F.col("s._new").isNotNull()
     now, opened = moment(as_of), moment(history.open_end)
 
@@ -212,8 +228,8 @@ class Roles:
 
 
 def roles_from_control(control: DataFrame, table: str) -> Roles:
-    """Read the control rows of one target table (tens of rows; larger is an error)."""
-    rows = control_rows(control.filter(F.lower("target_table") == table.lower()))
+    """Read the different control rows of one target table: one for each of its columns."""
+    rows = control.filter(F.lower("target_table") == table.lower()).distinct().collect()
     if not rows:
         raise ValueError(f"no control rows for {table}")
 
@@ -223,9 +239,12 @@ def roles_from_control(control: DataFrame, table: str) -> Roles:
     sources = {r["source_table"] for r in rows if (r["source_table"] or "").strip()}
     if len(sources) != 1:
         raise ValueError(f"{table} needs one source table, found {sorted(sources)}")
+    kinds = {(r["load_type"] or "").strip().upper() for r in rows}
+    if len(kinds) != 1 or not kinds <= {SCD1, SCD2}:
+        raise ValueError(f"{table} needs one load type, {SCD1} or {SCD2}, found {sorted(kinds)}")
     surrogate = [r["target_column"] for r in rows if yes(r["is_auto"])]
     return Roles(
-        load_type=rows[0]["load_type"],
+        load_type=kinds.pop(),
         source=sources.pop(),
         keys=[r["target_column"] for r in rows if yes(r["is_key"])],
         tracked=[r["target_column"] for r in rows if yes(r["is_tracked"])],
@@ -239,8 +258,21 @@ def staged_for(stg: DataFrame, roles: Roles) -> DataFrame:
 
 
 def scd1_from_control(dim: DataFrame, stg: DataFrame, control: DataFrame, table: str) -> DataFrame:
-    """Type 1 with keys and columns from control rows; a surrogate column is filled for new rows."""
+    """Type 1 with keys and columns from control rows; a surrogate column is filled for new rows.
+
+    Control rows that state another load type are an error.
+    """
+    return _scd1_by_roles(dim, stg, _roles_of_type(control, table, SCD1))
+
+
+def _roles_of_type(control: DataFrame, table: str, kind: str) -> Roles:
     roles = roles_from_control(control, table)
+    if roles.load_type != kind:
+        raise ValueError(f"{table} is loaded as {roles.load_type}, not {kind}")
+    return roles
+
+
+def _scd1_by_roles(dim: DataFrame, stg: DataFrame, roles: Roles) -> DataFrame:
     merged = scd1(dim, staged_for(stg, roles), roles.keys)
     if not roles.surrogate:
         return merged
@@ -254,19 +286,48 @@ def scd2_from_control(
     as_of: dt.datetime | dt.date,
     history: History = History(),
 ) -> dict[str, DataFrame]:
-    """Type 2 for several target tables in one run, each by its own control rows."""
+    """Type 2 for several target tables in one run, each by its own control rows.
+
+    Control rows that state another load type are an error; ``load_by_control`` takes both.
+    """
+    roles = {table: _roles_of_type(control, table, SCD2) for table in dims}
+    return {table: _scd2_by_roles(dim, stgs[roles[table].source], roles[table], as_of, history) for table, dim in dims.items()}
+
+
+def load_by_control(
+    dims: dict[str, DataFrame],
+    stgs: dict[str, DataFrame],
+    control: DataFrame,
+    as_of: dt.datetime | dt.date,
+    history: History = History(),
+) -> dict[str, DataFrame]:
+    """Every target table by the load type, keys and columns that its control rows state."""
     out = {}
     for table, dim in dims.items():
         roles = roles_from_control(control, table)
-        staged = staged_for(stgs[roles.source], roles)
-        closed, current = scd2_parts(dim, staged, roles.keys, roles.tracked, as_of, history=history)
-        if roles.surrogate:
-            order = [*roles.keys, history.start]
-            current = fill_surrogates(cut(current), roles.surrogate, order, next_key(dim, roles.surrogate))
-        out[table] = closed.unionByName(current).drop("_action")
+        stg = stgs[roles.source]
+        out[table] = _scd1_by_roles(dim, stg, roles) if roles.load_type == SCD1 else _scd2_by_roles(dim, stg, roles, as_of, history)
     return out
 
 
+def _scd2_by_roles(dim: DataFrame, stg: DataFrame, roles: Roles, as_of: dt.datetime | dt.date, history: History) -> DataFrame:
+    closed, current = scd2_parts(dim, staged_for(stg, roles), roles.keys, roles.tracked, as_of, history=history)
+    if roles.surrogate:
+        # only new versions get a number, by their unique key: the sort takes the narrow keys of those rows alone
+        current = cut(current)
+        fresh = current.filter(quoted(roles.surrogate).isNull()).select(*roles.keys)
+        numbers = assign_keys(fresh, roles.keys, "_number", next_key(dim, roles.surrogate))
+        numbers = numbers.select(*[quoted(k).alias(f"_key_{k}") for k in roles.keys], "_number")
+        same = [quoted(k) == quoted(f"_key_{k}") for k in roles.keys]
+        new = reduce(lambda a, b: a & b, same) & (F.col("_action") == INSERT)
+        kind = dim.schema[roles.surrogate].dataType
+        number = F.coalesce(quoted(roles.surrogate), F.col("_number").cast(kind)).alias(roles.surrogate)
+        current = current.join(numbers, new, "left").select(
+            *[number if c == roles.surrogate else quoted(c) for c in current.columns]
+        )
+    return closed.unionByName(current).drop("_action")
+
+
 def merge(
     target: DataFrame,
     source: DataFrame,

@@ -1,7 +1,7 @@
 """Lookup, membership and pre-aggregated joins.
 
-No side is broadcast without a size check: joins are left to Spark's own thresholds and to AQE,
-which also splits skewed keys, and only ``join_small`` hints after measuring.
+No side is broadcast by a hint: joins are left to Spark's own size thresholds and to AQE, which also
+splits skewed keys.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import exploded, quoted
-from tidemark.sizing import broadcast_if_small
 
 
 def new_rows(src: DataFrame, tgt: DataFrame, keys: list[str] | None = None, on: Column | None = None) -> DataFrame:
@@ -51,11 +50,6 @@ def join_active(src: DataFrame, dim: DataFrame, keys: list[str], active: Column,
     return src.join(dim.filter(active), keys, how)
 
 
-def join_small(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join with a broadcast of the dimension when its measured size allows it."""
-    return fact.join(broadcast_if_small(dim), keys, how)
-
-
 def pre_aggregate_join(
     fact: DataFrame, detail: DataFrame, keys: list[str], aggregates: dict[str, Column], how: str = "inner"
 ) -> DataFrame:

@@ -50,14 +50,28 @@ def z_value(columns: list[Column], bounds: list[list[float]], bits: int) -> Colu
     return z
 
 
+def zorder_bits(files: int, columns: int) -> int:
+    """Bits for each column so that there are about 16 cells for each file, within a 62-bit z-value.
+
+    Bounds are found by sorting quantiles on the driver, so a column has at most 2^12 buckets.
+    """
+    return max(1, min(12, 62 // columns, math.ceil((math.log2(max(1, files)) + 4) / columns)))
+
+
 def zorder(
-    df: DataFrame, columns: list[str], files: int, bits: int = 4, name: str | None = None, spread: Column | None = None
+    df: DataFrame,
+    columns: list[str],
+    files: int,
+    bits: int | None = None,
+    name: str | None = None,
+    spread: Column | None = None,
 ) -> DataFrame:
-    """Cluster rows over several numeric columns.
+    """Cluster rows over several numeric columns; ``bits`` follows from the number of files.
 
     A z-value that holds very many rows is split over several files by ``spread``: a hash of the whole
     row, or an expression that also tells exact copies apart (such as the row index of a scan).
     """
+    bits = bits or zorder_bits(files, len(columns))
     bounds = quantile_bounds(df, columns, bits)
     z = z_value([quoted(c) for c in columns], [bounds[c] for c in columns], bits)
     spread = F.xxhash64(*[quoted(c) for c in df.columns]) if spread is None else spread

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ NO_PARTITION_KEY = "No partition key specified"
 CUT_EVERY = 16
 
 
-def lineage(edges: DataFrame, roots: DataFrame, max_levels: int = 1000) -> DataFrame:
+def lineage(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Everything reachable from each root: (root, parent, object, object_type, level, label).
 
     ``edges`` has (parent, object, object_type), ``roots`` has (root). All roots advance together, one
@@ -32,7 +34,7 @@ def lineage(edges: DataFrame, roots: DataFrame, max_levels: int = 1000) -> DataF
     views = links.filter("object_type = 'VIEW'").select(F.col("parent").alias("object"), F.col("object").alias("next"))
     frontier = cut(roots.select("root", F.col("root").alias("object"), F.lit(0).alias("level")).distinct())
     visited = frontier
-    for level in range(1, max_levels + 1):
+    for level in count(1):
         step = frontier.select("root", "object").join(views, "object").select("root", F.col("next").alias("object"))
         reached = visited.unionByName(step.withColumn("level", F.lit(level)))
         first = reached.groupBy("root", "object").agg(F.min("level").alias("level"))
@@ -42,8 +44,6 @@ def lineage(edges: DataFrame, roots: DataFrame, max_levels: int = 1000) -> DataF
         visited = visited.unionByName(frontier)
         if level % CUT_EVERY == 0:
             visited = cut(visited)
-    else:
-        raise ValueError(f"more than {max_levels} levels")
     label = F.when(F.col("level") == 0, DIRECT).otherwise(F.concat(F.lit("NESTED-"), F.col("level").cast("string")))
     parents = visited.withColumnRenamed("object", "parent")
     return parents.join(links, "parent").select("root", "parent", "object", "object_type", "level", label.alias("label"))

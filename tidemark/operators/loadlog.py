@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import moment
 from tidemark.functions.text import file_date
 from tidemark.operators.dimensions import CLOSE, INSERT
-from tidemark.sizing import CONTROL_ROWS
 
 # Load states.
 QUEUED, RUNNING, FAILED, SUCCESSFUL = "Queued", "Running", "Failed", "Successful"
@@ -68,7 +67,7 @@ def register_snapshot(log: DataFrame, snapshot: dt.date, as_of: dt.datetime) ->
     """Queue a snapshot date; returns the new log and its queued dates in order.
 
     A failed date invalidates itself and all later dates. The snapshot's own failed or running row
-    loses its times, and a date without a row gets one.
+    loses its times, and a date without a row gets one. A snapshot that is already successful queues nothing.
     """
     first_failed = log.filter(F.col("status") == FAILED).agg(F.min("snapshot_date").alias("d")).scalar()
     requeue = F.coalesce(F.col("snapshot_date") >= first_failed, F.lit(False))
@@ -91,8 +90,10 @@ def register_snapshot(log: DataFrame, snapshot: dt.date, as_of: dt.datetime) ->
     )
     rows_of_day = log.filter(F.col("snapshot_date") == F.lit(snapshot)).agg(F.count(F.lit(1)).alias("n")).scalar()
     result = kept.unionByName(fresh.filter(rows_of_day == 0))
-    queued = result.filter(F.col("status") == QUEUED).select("snapshot_date", "status").orderBy("snapshot_date")
-    return result, queued
+    own_success = (F.col("snapshot_date") == F.lit(snapshot)) & (F.col("status") == SUCCESSFUL)
+    done = log.filter(own_success).agg(F.count(F.lit(1)).alias("n")).scalar()
+    queued = result.filter((F.col("status") == QUEUED) & (done == 0)).select("snapshot_date", "status")
+    return result, queued.orderBy("snapshot_date")
 
 
 def register_children(
@@ -100,17 +101,21 @@ def register_children(
 ) -> tuple[DataFrame, DataFrame]:
     """Queue the active children of all given parents; returns the new log and the queued children.
 
-    ``log`` has (parent, item, created, updated, started, ended, status), ``registry`` has (item,
-    is_active) and optionally the parent; ``parents`` lists the parents to register. Failed and
-    running rows of active children are queued again, active children without a row get one.
+    ``log`` has (parent, item, created, updated, started, ended, status), ``registry`` has (parent, item,
+    is_active); ``parents`` lists the parents to register and may have their ``status``. Failed and
+    running rows of active children are queued again, active children without a row get one. A parent
+    that is failed or running itself queues all its rows again, whatever their state.
     """
-    active = registry.filter("is_active").drop("is_active")
     wanted = parents.select(parent).distinct()
-    pairs = active.join(wanted, parent) if parent in active.columns else _pairs(wanted, active)
-    pairs = pairs.select(parent, item).distinct()
+    pairs = registry.filter("is_active").join(wanted, parent).select(parent, item).distinct()
     mark = pairs.withColumn("_active", F.lit(True))
     again = F.coalesce(F.col("_active"), F.lit(False)) & F.col("status").isin(FAILED, RUNNING)
-    kept = log.join(mark, [parent, item], "left").select(
+    marked = log.join(mark, [parent, item], "left")
+    if "status" in parents.columns:
+        broken = parents.filter(F.col("status").isin(FAILED, RUNNING)).select(parent).distinct().withColumn("_cascade", F.lit(True))
+        marked = marked.join(broken, parent, "left")
+        again = again | F.coalesce(F.col("_cascade"), F.lit(False))
+    kept = marked.select(
         parent,
         item,
         "created",
@@ -133,18 +138,6 @@ def register_children(
     return result, queued
 
 
-def _pairs(parents: DataFrame, items: DataFrame) -> DataFrame:
-    """Every active item of each parent: the output is this product, one log row per pair.
-
-    The items are one sorted array of control rows, checked to be few, and not a cross join.
-    """
-    names = items.columns
-    too_many = F.raise_error(F.lit(f"control table holds more than {CONTROL_ROWS} rows"))
-    rows = F.array_sort(F.collect_set(F.struct(*names)))
-    listed = items.groupBy().agg(F.when(F.count(F.lit(1)) > CONTROL_ROWS, too_many).otherwise(rows).alias("items")).scalar()
-    return parents.withColumn("_items", listed).select(*parents.columns, F.inline("_items"))
-
-
 def apply_status(log: DataFrame, events: DataFrame, keys: list[str]) -> DataFrame:
     """Apply status events in time order: status, update time, start when running, end when finished.
 

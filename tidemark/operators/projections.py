@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from tidemark.functions.dates import moment
 from tidemark.functions.text import list_items
 from tidemark.functions.values import quoted
-from tidemark.sizing import control_rows
 
 # Type names a control table may use.
 TYPE_NAMES: dict[str, str] = {
@@ -31,8 +30,11 @@ TYPE_NAMES: dict[str, str] = {
 
 
 def rename_by_map(df: DataFrame, meta: DataFrame, file: str) -> DataFrame:
-    """Rename by control rows (file_name, file_column, rename_column); a blank new name keeps the old."""
-    rows = control_rows(meta.filter(F.trim("file_name") == file).select("file_column", "rename_column"))
+    """Rename by control rows (file_name, file_column, rename_column); a blank new name keeps the old.
+
+    The driver reads the different rows of the one file: one for each of its columns.
+    """
+    rows = meta.filter(F.trim("file_name") == file).select("file_column", "rename_column").distinct().collect()
     names = {r["file_column"].strip(): r["rename_column"].strip() for r in rows if (r["rename_column"] or "").strip()}
     return df.withColumnsRenamed({c: names[c.strip()] for c in df.columns if c.strip() in names})
 

@@ -105,44 +105,55 @@ def d20_queued(t: Tables) -> DataFrame:
 
 
 def _children(t: Tables) -> DataFrame:
-    """A log row per user and event type seen with a large value."""
-    seen = t.events.filter("value > 40").groupBy("user_id", F.col("event_type").alias("item")).agg(
+    """A log row per user and event type whose largest value is above 40."""
+    seen = t.events.groupBy("user_id", F.col("event_type").alias("item")).agg(
         F.min("ts").alias("created"), F.max("ts").alias("updated"), F.max("value").alias("top")
     )
     state = F.when(F.col("top") > 90, "Failed").when(F.col("top") > 70, "Running").otherwise("Successful")
-    return seen.select(
+    return seen.filter("top > 40").select(
         "user_id", "item", "created", "updated", F.col("created").alias("started"), F.col("updated").alias("ended"), state.alias("status")
     )
 
 
-_CHILDREN = """log AS (SELECT user_id, event_type AS item, MIN(ts) AS created, MAX(ts) AS updated, MIN(ts) AS started, MAX(ts) AS ended,
+def _children_sql(cascade: str = "FALSE") -> str:
+    return f"""log AS (SELECT user_id, event_type AS item, MIN(ts) AS created, MAX(ts) AS updated, MIN(ts) AS started, MAX(ts) AS ended,
     CASE WHEN MAX(value) > 90 THEN 'Failed' WHEN MAX(value) > 70 THEN 'Running' ELSE 'Successful' END AS status
-  FROM events WHERE value > 40 GROUP BY 1, 2),
-  pairs AS (SELECT user_id, item FROM (SELECT DISTINCT user_id FROM events WHERE value > 80), (SELECT DISTINCT event_type AS item FROM events WHERE event_type <> 'signup')),
+  FROM events GROUP BY 1, 2 HAVING MAX(value) > 40),
+  parents AS (SELECT user_id, COUNT(*) AS n FROM events GROUP BY 1 HAVING MAX(value) > 80),
+  pairs AS (SELECT DISTINCT user_id, event_type AS item FROM events WHERE event_type <> 'signup' AND user_id IN (SELECT user_id FROM parents)),
   result AS (
     SELECT log.user_id, log.item, created, CASE WHEN again THEN TIMESTAMP '2024-06-01 12:00:00' ELSE updated END AS updated,
            CASE WHEN NOT again THEN started END AS started, CASE WHEN NOT again THEN ended END AS ended, CASE WHEN again THEN 'Queued' ELSE status END AS status
-    FROM (SELECT log.*, pairs.item IS NOT NULL AND status IN ('Failed', 'Running') AS again FROM log LEFT JOIN pairs ON pairs.user_id = log.user_id AND pairs.item = log.item) log
+    FROM (SELECT log.*, pairs.item IS NOT NULL AND status IN ('Failed', 'Running') OR COALESCE({cascade}, FALSE) AS again
+          FROM log LEFT JOIN pairs ON pairs.user_id = log.user_id AND pairs.item = log.item LEFT JOIN parents ON parents.user_id = log.user_id) log
     UNION ALL SELECT p.user_id, p.item, TIMESTAMP '2024-06-01 12:00:00', TIMESTAMP '2024-06-01 12:00:00', NULL, NULL, 'Queued'
     FROM pairs p LEFT JOIN log ON log.user_id = p.user_id AND log.item = p.item WHERE log.item IS NULL)"""
 
 
-def _registered(t: Tables) -> tuple[DataFrame, DataFrame]:
-    registry = t.events.select(F.col("event_type").alias("item"), (F.col("event_type") != "signup").alias("is_active")).distinct()
-    parents = t.events.filter("value > 80").select("user_id")
+def _registered(t: Tables, states: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Children of the users with a value above 80; a user with three events or fewer counts as failed."""
+    registry = t.events.select("user_id", F.col("event_type").alias("item"), (F.col("event_type") != "signup").alias("is_active")).distinct()
+    parents = t.events.groupBy("user_id").agg(F.max("value").alias("top"), F.count(F.lit(1)).alias("n")).filter("top > 80")
+    state = F.when(F.col("n") <= 3, "Failed").otherwise("Successful").alias("status")
+    parents = parents.select("user_id", *([state] if states else []))
     return loadlog.register_children(_children(t), registry, parents, "user_id", "item", AS_OF)
 
 
-@query("d21_register_children", f"WITH {_CHILDREN} SELECT * FROM result")
+@query("d21_register_children", f"WITH {_children_sql()} SELECT * FROM result")
 def d21(t: Tables) -> DataFrame:
     return _registered(t)[0]
 
 
-@query("d21_queued_children", f"WITH {_CHILDREN} SELECT user_id, item, status FROM result JOIN pairs USING (user_id, item) WHERE status = 'Queued'")
+@query("d21_queued_children", f"WITH {_children_sql()} SELECT user_id, item, status FROM result JOIN pairs USING (user_id, item) WHERE status = 'Queued'")
 def d21_queued(t: Tables) -> DataFrame:
     return _registered(t)[1]
 
 
+@query("d21_cascade", f"WITH {_children_sql('n <= 3')} SELECT * FROM result")
+def d21_cascade(t: Tables) -> DataFrame:
+    return _registered(t, states=True)[0]
+
+
 @query(
     "d22_apply_status",
     f"""WITH log AS (SELECT DISTINCT o_custkey AS user_id FROM orders),

@@ -37,7 +37,9 @@ def revenue_mart(
     by customer_id). Decimal amounts give sums that do not depend on the order of addition.
     """
     keys = list(on)
-    wanted = header.filter(number_prefix("period", 4) >= since_year).select(
+    # The text bound says the same of four-digit years and, unlike the number, reaches the scan.
+    recent = (F.col("period") >= F.lit(f"{since_year:04d}")) & (number_prefix("period", 4) >= since_year)
+    wanted = header.filter(recent).select(
         *dict.fromkeys([*keys, "period", "customer_id", "type_code", "activity_code", "fund_code"]),
         month_key("process_date").alias("process_month"),
         month_key("fiscal_date").alias("fiscal_month"),
@@ -52,7 +54,7 @@ def revenue_mart(
     )
     if pre_aggregate:
         fine = [*keys, "tag_set_id", "offset_code", "status_code", "incur_month"]
-        nonzero = nonzero.groupBy(*fine).agg(F.sum("amount").alias("amount"))
+        nonzero = nonzero.join(wanted.select(*keys), keys, "left_semi").groupBy(*fine).agg(F.sum("amount").alias("amount"))
     tags = tag_set.withColumn("location", F.substring("location", 1, 5))
     joined = (
         nonzero.join(wanted, keys)
@@ -105,14 +107,15 @@ def claim_mart(
     Inputs: header (claim_id, claim_type, contract, paid_date), line (claim_id, line_no, service_code,
     units_a, units_b, modifier columns), amounts (claim_id, line_no, code, amount). Amounts are
     summed by the join keys first, so no line is multiplied by its amount rows. ``at_least`` filters
-    on the summed amounts, ``modifier`` must be in one of the ``modifiers`` columns, and the group
+    on the summed amounts, only amounts of wanted lines are summed, ``modifier`` must be in one of the ``modifiers`` columns, and the group
     label says whether the contract is in ``codes``.
     """
     recent = filter_last_days(header, "paid_date", days, as_of).filter(header_ok)
     lines = line.filter(line_ok & any_column_equals(modifiers, modifier))
     keys = ["claim_id", "line_no"]
-    summed = sum_by_code(amounts, keys, "code", F.col("amount"), names).filter(at_least)
-    joined = recent.join(lines, "claim_id").join(summed, keys)
+    claimed = recent.join(lines, "claim_id")
+    wanted = amounts.join(claimed.select(*keys), keys, "left_semi")
+    joined = claimed.join(sum_by_code(wanted, keys, "code", F.col("amount"), names).filter(at_least), keys)
     labelled = classify_in_list(joined, "contract", codes, "listed", "other", "contract_group")
     unit_count = F.coalesce("units_a", "units_b", F.lit(0))
     return labelled.groupBy(

@@ -274,7 +274,7 @@ def j8(t: Tables) -> DataFrame:
 )
 def j9(t: Tables) -> DataFrame:
     dim = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    joined = joins.join_small(t.lineitem.select("l_partkey", "l_quantity"), dim, ["l_partkey"])
+    joined = t.lineitem.select("l_partkey", "l_quantity").join(dim, "l_partkey")
     return joined.groupBy("p_brand").agg(F.count("*").alias("n"), F.sum(exact("l_quantity")).cast("double").alias("quantity"))
 
 

@@ -318,10 +318,23 @@ def f24(t: Tables) -> DataFrame:
 )
 def f25(t: Tables) -> DataFrame:
     segment = F.when(F.col("c_acctbal") < 0, None).when(F.col("c_acctbal") > 9000, "PREMIUM").otherwise(F.col("c_mktsegment"))
-    changed = F.xxhash64("c_name", "c_mktsegment") != F.xxhash64(F.col("c_name"), segment)
+    changed = values.row_hash("c_name", "c_mktsegment") != values.row_hash("c_name", segment)
     return t.customer.select("c_custkey", changed.alias("changed"))
 
 
+@query(
+    "f25_hash_null_move",
+    "SELECT c_custkey, c_acctbal < 5000 AS changed FROM customer",
+)
+def f25_null_move(t: Tables) -> DataFrame:
+    """A value that moves from one nullable column to the next is a change."""
+    moves = F.col("c_acctbal") < 5000
+    none = F.lit(None).cast("string")
+    before = F.col("c_mktsegment"), none
+    after = F.when(moves, none).otherwise(before[0]), F.when(moves, before[0])
+    return t.customer.select("c_custkey", (values.row_hash(*before) != values.row_hash(*after)).alias("changed"))
+
+
 @query(
     "f26_numbers",
     """SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice * 1000000 / 1073741824, 2) AS gib, CAST(ceil(l_quantity / 3) AS BIGINT) AS thirds,

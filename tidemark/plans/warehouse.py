@@ -72,15 +72,15 @@ _CONTROL = (
 )
 
 
-def _control(t: Tables) -> DataFrame:
+def _control(t: Tables, kinds: tuple[str, str] = ("SCD2", "SCD2")) -> DataFrame:
     def rows(load: str, source: str, target: str, prefix: str, columns: list[tuple[str, str, str]]):
         out = [(load, "", "", "", "Y", target, "row_key", "")]
         return out + [(load, source, f"{prefix}_{c}", key, "", target, c, tracked) for c, key, tracked in columns]
 
     customer = [("custkey", "Y", ""), ("name", "", ""), ("nationkey", "", "Y"), ("mktsegment", "", "Y")]
     supplier = [("suppkey", "Y", ""), ("name", "", ""), ("nationkey", "", "Y")]
-    data = rows("SCD2", "stg.customer", "dim.customer", "c", customer)
-    data += rows("SCD2", "stg.supplier", "dim.supplier", "s", supplier)
+    data = rows(kinds[0], "stg.customer", "dim.customer", "c", customer)
+    data += rows(kinds[1], "stg.supplier", "dim.supplier", "s", supplier)
     return t.spark.createDataFrame(data, _CONTROL)
 
 
@@ -100,7 +100,7 @@ def _plain(df: DataFrame, prefix: str) -> DataFrame:
 )
 def d2(t: Tables) -> DataFrame:
     dim = _plain(_known(t), "c_").select((F.col("custkey") + 5).alias("row_key"), "*")
-    return dims.scd1_from_control(dim, _staged(t), _control(t), "dim.customer")
+    return dims.scd1_from_control(dim, _staged(t), _control(t, ("SCD1", "SCD1")), "dim.customer")
 
 
 def _versions(t: Tables, open_end: dt.date | None) -> DataFrame:
@@ -153,6 +153,40 @@ def d5(t: Tables) -> DataFrame:
     return dims.scd2(flagged, _staged(t), ["c_custkey"], _TRACKED, AS_OF, history=history, by_hash=True)
 
 
+@query(
+    "d5_scd2_hash_null_move",
+    """SELECT c_custkey, c_mktsegment AS home, CAST(NULL AS VARCHAR) AS away, CASE WHEN c_acctbal < 5000 THEN TIMESTAMP '2024-06-01 12:00:00' END AS end_date FROM customer
+       UNION ALL SELECT c_custkey, NULL, c_mktsegment, NULL FROM customer WHERE c_acctbal < 5000""",
+)
+def d5_null_move(t: Tables) -> DataFrame:
+    """A value that moves from one nullable column to the other opens a new version."""
+    none, moves = F.lit(None).cast("string"), F.col("c_acctbal") < 5000
+    dim = t.customer.select(
+        "c_custkey", F.col("c_mktsegment").alias("home"), none.alias("away"), dims.moment(BEGIN).alias("start_date"), dims.moment(None).alias("end_date")
+    )
+    home = F.col("c_mktsegment")
+    staged = t.customer.select("c_custkey", F.when(~moves, home).alias("home"), F.when(moves, home).alias("away"))
+    merged = dims.scd2(dim, staged, ["c_custkey"], ["home", "away"], AS_OF, by_hash=True)
+    return merged.select("c_custkey", "home", "away", "end_date")
+
+
+_KEYLESS_SQL = """SELECT c_custkey, c_mktsegment, 'old' AS state FROM customer WHERE c_acctbal >= 5000
+       UNION ALL SELECT c_custkey, c_mktsegment, 'new' FROM customer WHERE c_acctbal >= 0 AND c_acctbal < 5000
+       UNION ALL SELECT NULL, c_mktsegment, 'rejected' FROM customer WHERE c_acctbal < 0"""
+
+
+@query("d1_null_keys", _KEYLESS_SQL)
+def d1_null_keys(t: Tables) -> DataFrame:
+    """Staged rows without a key are rejected, however many and different they are; a second run adds nothing."""
+    dim = t.customer.filter("c_acctbal >= 5000").select("c_custkey", "c_mktsegment", F.lit("old").alias("state"))
+    key = F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).alias("c_custkey")
+    state = F.when(F.col("c_acctbal") >= 5000, "old").otherwise("new").alias("state")
+    staged = t.customer.select(key, "c_mktsegment", state)
+    twice = dims.scd1(dims.scd1(dim, staged, ["c_custkey"]), staged, ["c_custkey"])
+    rejected = dims.rejected_rows(staged, ["c_custkey"]).withColumn("state", F.lit("rejected"))
+    return twice.unionByName(rejected)
+
+
 @query("d6_scd2_static", _scd2_sql(_NULL_END))
 def d6(t: Tables) -> DataFrame:
     return dims.scd2_static(_versions(t, None), _staged(t), ["c_custkey"], _TRACKED, AS_OF)
@@ -172,6 +206,10 @@ def d6(t: Tables) -> DataFrame:
       UNION ALL SELECT 'supplier', s_suppkey, (SELECT MAX(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY s_suppkey), NULL FROM changed2""",
 )
 def d7(t: Tables) -> DataFrame:
+    return _both_dims(t, ("SCD2", "SCD2"), dims.scd2_from_control)
+
+
+def _both_dims(t: Tables, kinds: tuple[str, str], load) -> DataFrame:
     def dim(rows: DataFrame, prefix: str, key: str) -> DataFrame:
         plain = _plain(rows, prefix)
         return plain.select(
@@ -183,7 +221,7 @@ def d7(t: Tables) -> DataFrame:
         "s_suppkey", "s_name", F.when(F.col("s_acctbal") < 0, 0).otherwise(F.col("s_nationkey")).alias("s_nationkey")
     )
     targets = {"dim.customer": dim(_known(t), "c_", "custkey"), "dim.supplier": dim(suppliers, "s_", "suppkey")}
-    merged = dims.scd2_from_control(targets, {"stg.customer": _staged(t), "stg.supplier": moved}, _control(t), AS_OF)
+    merged = load(targets, {"stg.customer": _staged(t), "stg.supplier": moved}, _control(t, kinds), AS_OF)
     return (
         merged["dim.customer"]
         .select(F.lit("customer").alias("dim"), F.col("custkey").alias("id"), "row_key", "end_date")
@@ -193,6 +231,21 @@ def d7(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "d7_load_by_control",
+    f"""WITH {_KNOWN}, {_STAGED},
+      m AS (SELECT k.c_custkey AS old, COALESCE(s.c_custkey, k.c_custkey) AS custkey FROM known k FULL JOIN stg s ON k.c_custkey = s.c_custkey),
+      changed2 AS (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0 AND s_nationkey <> 0)
+      SELECT 'customer' AS dim, custkey AS id, CASE WHEN old IS NOT NULL THEN old ELSE (SELECT MAX(c_custkey) FROM known)
+                    + row_number() OVER (PARTITION BY old IS NULL ORDER BY custkey) END AS row_key, CAST(NULL AS TIMESTAMP) AS end_date FROM m
+      UNION ALL SELECT 'supplier', s_suppkey, s_suppkey, CASE WHEN s_suppkey IN (SELECT s_suppkey FROM changed2) THEN TIMESTAMP '2024-06-01 12:00:00' END FROM supplier
+      UNION ALL SELECT 'supplier', s_suppkey, (SELECT MAX(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY s_suppkey), NULL FROM changed2""",
+)
+def d7_mixed(t: Tables) -> DataFrame:
+    """Customers by type 1 and suppliers by type 2, as the control rows say."""
+    return _both_dims(t, ("SCD1", "SCD2"), dims.load_by_control)
+
+
 @query(
     "d8_merge",
     """WITH agg AS (SELECT o_custkey AS c_custkey, COUNT(*) AS n, MAX(o_totalprice) AS top FROM orders WHERE o_totalprice > 300000 GROUP BY 1),

@@ -34,10 +34,14 @@ def local_session(cores: int | str = "*", app: str = "tidemark", **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: what the cluster names in ``spark.checkpoint.dir``.
 
-    Only where nothing is set (tests on one machine) a temporary folder is made and registered.
+    Where nothing is set, a session of one machine gets a temporary folder of its own; on a cluster that is
+    an error, because executors would not find each other's files.
     """
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")

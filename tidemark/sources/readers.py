@@ -50,11 +50,28 @@ def read_files(
     return reader.load([paths] if isinstance(paths, str) else paths)
 
 
-def from_source(path: str) -> Column:
-    """Whether a row's file is the given file or lies in the given folder."""
-    at = F.replace(F.col("_metadata.file_path"), F.lit("%20"), F.lit(" "))
-    whole = path.rstrip("/")
-    return F.endswith(at, F.lit(whole)) | F.contains(at, F.lit(whole + "/"))
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it names it."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = there.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system, system.makeQualified(there)
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether a path is one existing file, whatever its name."""
+    system, there = _file_system(spark, path)
+    return system.exists(there) and system.getFileStatus(there).isFile()
+
+
+def from_source(spark: SparkSession, path: str) -> Column:
+    """Whether a row's file is the given file or lies in the given folder.
+
+    Both are compared as decoded paths on one file system, from the root on.
+    """
+    coded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    at = F.regexp_replace(F.url_decode(coded), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    root = _file_system(spark, path)[1].toUri().getPath().rstrip("/")
+    return (at == F.lit(root)) | F.startswith(at, F.lit(root + "/"))
 
 
 def read_sources(spark: SparkSession, sources: dict[str, str], name: str = "source", **options: str) -> list[DataFrame]:
@@ -73,9 +90,11 @@ def read_sources(spark: SparkSession, sources: dict[str, str], name: str = "sour
         text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         rows = reader.schema(text).option("enforceSchema", False).csv([sources[m] for m in members])
         tag = F.when(F.lit(False), F.lit(None).cast("string"))
-        for member in members:
-            tag = tag.when(from_source(sources[member]), F.lit(member))
-        out.append(rows.select("*", tag.alias(name)))
+        # of folders in folders the inner one is the source
+        for member in sorted(members, key=lambda m: -len(sources[m].rstrip("/"))):
+            tag = tag.when(from_source(spark, sources[member]), F.lit(member))
+        lost = F.raise_error(F.concat(F.lit("no source holds "), F.col("_metadata.file_path"))).cast("string")
+        out.append(rows.select("*", tag.otherwise(lost).alias(name)))
     return out
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.sources.readers import is_file
 from tidemark.sources.writers import conform
 
 
@@ -25,7 +26,7 @@ def stream_files(
 
     A path to one file is an error: the source is a folder that grows.
     """
-    if folder.rstrip("/").lower().endswith((".csv", ".json", ".parquet", ".txt")):
+    if is_file(spark, folder):
         raise ValueError("a stream reads a folder, not one file")
     reader = spark.readStream.format(fmt).schema(schema).options(**options)
     if fmt == "csv":
