@@ -7,6 +7,7 @@ another policy, or asking what one rule changes, reads the ledger's integers and
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -14,16 +15,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import BLANK_CLASS, WORD_CLASS, let, text_of, without, words_of
 
-#: Rules in bit order. Measures are columns of the ledger; a condition that holds means the rule failed.
-RULES: dict[str, str] = {
-    "few_words": "n_words < 50",
-    "repeated_words": "100 * n_repeat_words > 50 * n_words",
-    "symbols": "10 * n_symbols > n_words",
-    "duplicate_lines": "10 * n_dup_lines > 4 * n_lines",
-    "short_words": "word_chars < 3 * n_words",
-    "long_words": "word_chars > 10 * n_words",
-    "capitals": "2 * n_capitals > word_chars",
-    "no_words": "n_words = 0",
+#: Rules in bit order. A condition over the measures that holds means the rule failed.
+RULES: dict[str, Callable[[Column], Column]] = {
+    "few_words": lambda m: m["n_words"] < 50,
+    "repeated_words": lambda m: 100 * m["n_repeat_words"] > 50 * m["n_words"],
+    "symbols": lambda m: 10 * m["n_symbols"] > m["n_words"],
+    "duplicate_lines": lambda m: 10 * m["n_dup_lines"] > 4 * m["n_lines"],
+    "short_words": lambda m: m["word_chars"] < 3 * m["n_words"],
+    "long_words": lambda m: m["word_chars"] > 10 * m["n_words"],
+    "capitals": lambda m: 2 * m["n_capitals"] > m["word_chars"],
+    "no_words": lambda m: m["n_words"] == 0,
 }
 BIT = {name: 1 << place for place, name in enumerate(RULES)}
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals")
@@ -78,37 +79,50 @@ def _repeated_words(words: Column) -> Column:
     return F.when(F.size(words) < 4, F.lit(0)).otherwise(let(hashes, count))
 
 
-def quality_ledger(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the measurements and ``failed_bits``.
+def measures(body: Column) -> Column:
+    """All measures of a text and its failed bits as one struct.
 
-    NULL and empty texts have no words and fail ``few_words`` and ``no_words``. A line counts as
-    duplicate where it has a word and equals an earlier line. Columns of ``docs`` with the name of a
-    measure or ``failed_bits`` are replaced. An empty table gives an empty ledger.
+    It is a single expression in which words and lines are bound once, so a filter on the bits parses each
+    text once, too.
     """
-    kept = without(docs, *MEASURES, "failed_bits", "__words", "__lines")
-    body = text_of(text)
     lines = F.filter(F.split(body, "\n", -1), lambda line: line.rlike(WORD_CLASS))
-    parsed = kept.withColumns({"__words": words_of(body), "__lines": lines})
-    words, lines = F.col("__words"), F.col("__lines")
-    measured = parsed.withColumns(
-        {
+
+    def counted(parsed: Column) -> Column:
+        words, lines = parsed["words"], parsed["lines"]
+        values = {
             "n_words": F.size(words),
-            "word_chars": F.char_length(body) - F.regexp_count(body, F.lit(BLANK_CLASS)),
-            "n_symbols": F.regexp_count(body, F.lit("[#*$%&|<>]")),
+            "word_chars": F.char_length(parsed["body"]) - F.regexp_count(parsed["body"], F.lit(BLANK_CLASS)),
+            "n_symbols": F.regexp_count(parsed["body"], F.lit("[#*$%&|<>]")),
             "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
             "n_repeat_words": _repeated_words(words),
             "n_lines": F.size(lines),
-            "n_capitals": F.regexp_count(body, F.lit("[A-Z]")),
+            "n_capitals": F.regexp_count(parsed["body"], F.lit("[A-Z]")),
         }
-    ).drop("__words", "__lines")
-    measured = measured.withColumns({m: F.col(m).cast("bigint") for m in MEASURES})
-    bits = sum((F.when(F.expr(condition), BIT[name]).otherwise(0) for name, condition in RULES.items()), F.lit(0))
-    return measured.withColumn("failed_bits", bits.cast("bigint"))
+        return F.struct(*[values[m].cast("bigint").alias(m) for m in MEASURES])
+
+    def judged(m: Column) -> Column:
+        bits = sum((F.when(failed(m), BIT[name]).otherwise(0) for name, failed in RULES.items()), F.lit(0))
+        return F.struct(*[m[name].alias(name) for name in MEASURES], bits.cast("bigint").alias("failed_bits"))
+
+    parsed = F.struct(body.alias("body"), words_of(body).alias("words"), lines.alias("lines"))
+    return let(let(parsed, counted), judged)
+
+
+def quality_ledger(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with the measurements and ``failed_bits``.
+
+    NULL and empty texts have no words and fail ``few_words`` and ``no_words``. A line counts as
+    duplicate where it has a word and equals an earlier line. Columns of ``docs`` with the name of a
+    measure or ``failed_bits`` are replaced. An empty table gives an empty ledger.
+    """
+    kept = [F.col(f"`{c}`") for c in without(docs, *MEASURES, "failed_bits").columns]
+    return docs.select(*kept, measures(text_of(text)).alias("__measured")).select(*kept, "__measured.*")
 
 
-def fails(policy: Policy) -> Column:
+def fails(policy: Policy, bits: Column | None = None) -> Column:
     """Whether a row of the ledger is rejected by a policy."""
-    return F.col("failed_bits").bitwiseAND(F.lit(policy.mask)) != 0
+    bits = F.col("failed_bits") if bits is None else bits
+    return bits.bitwiseAND(F.lit(policy.mask)) != 0
 
 
 def apply_policies(ledger: DataFrame, *policies: Policy) -> DataFrame:
@@ -117,13 +131,8 @@ def apply_policies(ledger: DataFrame, *policies: Policy) -> DataFrame:
 
 
 def quality_filter(docs: DataFrame, policy: Policy = STRICT, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that a policy keeps, with the columns of ``docs``."""
-    own = without(docs, "failed_bits", *MEASURES)
-    if len(own.columns) == len(docs.columns):
-        return quality_ledger(docs, text).filter(~fails(policy)).select(*[F.col(f"`{c}`") for c in docs.columns])
-    # columns that share a name with a measure are kept aside in one struct
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(f"`{text}`").alias("__text"))
-    return quality_ledger(packed, "__text").filter(~fails(policy)).select("__row.*")
+    """The rows of ``docs`` that a policy keeps, with the columns of ``docs``, whatever they are called."""
+    return docs.filter(~fails(policy, measures(text_of(text))["failed_bits"]))
 
 
 def ablation(ledger: DataFrame, policy: Policy) -> DataFrame:
