@@ -34,7 +34,8 @@ RUNS = (r"\p{L}*", r"\p{N}*", r"[^\s\p{L}\p{N}]*", r"\s*")
 
 SLICE = 1 << 16  # characters fed at a time
 BLOCK = 2_048  # bytes of an endless piece that are settled at a time, beside the lookahead
-CACHE = 1 << 18  # pieces whose tokens a worker remembers
+CACHE = 1 << 17  # pieces whose tokens a worker remembers
+ROWS = 256  # rows that a worker hands on at a time
 NONE = 1 << 31  # no merge
 
 
@@ -272,6 +273,13 @@ def decoder_of(definition: str) -> Decoder:
     return Decoder(MergeList(definition))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, so that a worker never holds the results of a large one."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
 def _with_type(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(name, kind)])
 
@@ -287,7 +295,7 @@ def bpe_encode(docs: DataFrame, definition: str, text: str = "text", ids: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         encoder = encoder_of(definition)
-        for batch in batches:
+        for batch in _slices(batches):
             column = batch.column(batch.schema.get_field_index(text))
             packed = pa.array([encoder.encode(t.as_py() or "") for t in column], pa.binary())
             yield batch.append_column(ids, packed)
@@ -301,8 +309,32 @@ def bpe_decode(tokens: DataFrame, definition: str, ids: str = "ids", text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         decoder = decoder_of(definition)
-        for batch in batches:
+        for batch in _slices(batches):
             column = batch.column(batch.schema.get_field_index(ids))
             yield batch.append_column(text, pa.array([decoder.decode(p.as_py() or b"") for p in column], pa.string()))
 
     return source.mapInArrow(run, _with_type(source.schema, text, T.StringType()))
+
+
+def bpe_round_trip(docs: DataFrame, definition: str, text: str = "text", ids: str = "ids", same: str = "round_trip") -> DataFrame:
+    """``docs`` with ``ids`` in the place of the text, and whether they decode to it.
+
+    One pass of one worker per text: neither the text nor what is decoded is handed on.
+    """
+    kept = without(docs, text, ids, same).schema.fields
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        encoder, decoder = encoder_of(definition), decoder_of(definition)
+        for batch in _slices(batches):
+            packed, equal = [], []
+            for value in batch.column(batch.schema.get_field_index(text)):
+                body = value.as_py() or ""
+                packed.append(encoder.encode(body))
+                equal.append(decoder.decode(packed[-1]) == body)
+            columns = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
+            yield pa.record_batch(
+                [*columns, pa.array(packed, pa.binary()), pa.array(equal, pa.bool_())], names=[*[f.name for f in kept], ids, same]
+            )
+
+    schema = T.StructType([*kept, T.StructField(ids, T.BinaryType()), T.StructField(same, T.BooleanType())])
+    return docs.mapInArrow(run, schema)
