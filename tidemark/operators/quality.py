@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.values import any_missing, fill_values, quoted
 from tidemark.operators.projections import normalise_name
-from tidemark.operators.windows import dedup_by_key
+from tidemark.operators.windows import dedup_by_key, repeat_rows
 from tidemark.sources.readers import read_sources
 from tidemark.sources.writers import split_good_bad, write_partitioned
 
@@ -85,6 +86,74 @@ def clean(df: DataFrame, text: str = "unknown", number: float = 0) -> tuple[Data
     return filled, before, after
 
 
+@dataclass(frozen=True)
+class FileRules:
+    """What control rows say of one file: its columns with their types, its key, its date formats."""
+
+    types: dict[str, str]
+    keys: list[str]
+    formats: dict[str, str]
+
+
+def rules_from_control(control: DataFrame, file: str) -> FileRules:
+    """Read the control rows ``(file_name, column_name, data_type, is_key, date_format)`` of one file: one per column."""
+    rows = control.filter(F.trim("file_name") == file).distinct().collect()
+    if not rows:
+        raise ValueError(f"no control rows for {file}")
+    return FileRules(
+        types={r["column_name"]: r["data_type"] for r in rows if not r["date_format"]},
+        keys=sorted(r["column_name"] for r in rows if (r["is_key"] or "").strip().upper() == "Y"),
+        formats={r["column_name"]: r["date_format"] for r in rows if r["date_format"]},
+    )
+
+
+def judged(df: DataFrame, rules: FileRules) -> DataFrame:
+    """Every row with its ``reasons`` to be rejected: missing, type, date, duplicate; no reason is good.
+
+    Of the rows of one key the smallest stays. Copies are counted before the shuffle and a key is reduced to its
+    smallest row by partial minima, so a key with very many rows does no harm. A file with columns that
+    its control rows do not name is an error.
+    """
+    declared = {*rules.types, *rules.formats}
+    if unknown := sorted(set(df.columns) - declared):
+        raise ValueError(f"columns without control rows: {unknown}")
+    counted = df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    flags = {
+        "missing": any_missing(df),
+        "type": _any([quoted(c).isNotNull() & quoted(c).try_cast(t).isNull() for c, t in rules.types.items() if c in df.columns]),
+        "date": ~dates_ok(rules.formats) if rules.formats else F.lit(False),
+    }
+    reasons = F.array_compact(F.array(*[F.when(flag, F.lit(name)) for name, flag in flags.items()]))
+    if not rules.keys:
+        return repeat_rows(counted.withColumn("reasons", reasons), "_n")
+    rest = F.struct(*[quoted(c) for c in df.columns])
+    first = counted.groupBy(*[quoted(k).alias(f"_key_{k}") for k in rules.keys]).agg(F.min(rest).alias("_first"))
+    same = [quoted(k).eqNullSafe(quoted(f"_key_{k}")) for k in rules.keys]
+    marked = counted.join(first, same).select(*df.columns, "_n", rest.eqNullSafe(F.col("_first")).alias("_is_first"), reasons.alias("reasons"))
+    rows = repeat_rows(marked, "_n", "_copy")
+    again = ~(F.col("_is_first") & (F.col("_copy") == 1))
+    with_copy = F.when(again, F.array_append("reasons", "duplicate")).otherwise(F.col("reasons"))
+    return rows.select(*df.columns, with_copy.alias("reasons"))
+
+
+def _any(flags: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, flags, F.lit(False))
+
+
+def validate_files(spark: SparkSession, sources: dict[str, str], control: DataFrame, out: str, **options: str) -> DataFrame:
+    """Judge the rows of every source by its control rows and write them, one write for each source.
+
+    Good rows go to ``source=/verdict=good``, all others to ``verdict=bad`` with their reasons. Returns what was written.
+    """
+    for source, path in sources.items():
+        rules = rules_from_control(control, source)
+        (rows,) = read_sources(spark, {source: path}, **options)
+        verdict = F.when(F.size("reasons") == 0, "good").otherwise("bad")
+        tagged = judged(rows.drop("source"), rules).select("*", F.lit(source).alias("source"), verdict.alias("verdict"))
+        write_partitioned(tagged, out, ["source", "verdict"], "parquet")
+    return spark.read.option("mergeSchema", True).parquet(out)
+
+
 def dedup_files(spark: SparkSession, sources: dict[str, str], out: str, run_date: dt.date, **options: str) -> None:
     """Drop exact duplicates inside every listed source and write it to its dated folder.
 

@@ -70,20 +70,19 @@ def l2_parents(t: Tables) -> DataFrame:
 
 @query(
     "l3_consolidate_keys",
-    """WITH f AS (SELECT o_custkey, o_orderpriority, MIN(o_orderkey) AS p FROM orders WHERE o_totalprice > 200000 GROUP BY 1, 2),
+    """WITH f AS (SELECT o_custkey, o_orderpriority, MIN(o_orderkey) AS p FROM orders GROUP BY 1, 2),
             k AS (SELECT o_custkey, string_agg(o_orderpriority, ', ' ORDER BY p) AS keys FROM f GROUP BY 1)
        SELECT c_name AS object, COALESCE(keys, 'No partition key specified') AS partition_keys FROM customer LEFT JOIN k ON o_custkey = c_custkey""",
 )
 def l3(t: Tables) -> DataFrame:
     columns = (
-        t.orders.filter("o_totalprice > 200000")
-        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .select(F.col("c_name").alias("object"), F.col("o_orderpriority").alias("column_name"), F.col("o_orderkey").alias("position"))
     )
     return lineage.consolidate_keys(t.customer.select(F.col("c_name").alias("object")), columns)
 
 
-_LISTS = """firsts AS (SELECT user_id, event_type, MIN(event_id) FILTER (value > 55) AS a, MIN(event_id) FILTER (value <= 8) AS b FROM events GROUP BY 1, 2),
+_LISTS = """firsts AS (SELECT user_id, event_type, MIN(event_id) FILTER (value > 55) AS a, MIN(event_id) FILTER (value <= 55) AS b FROM events GROUP BY 1, 2),
   lists AS (SELECT user_id, COALESCE(list(upper(event_type) ORDER BY a) FILTER (a IS NOT NULL), []) AS x,
                    COALESCE(list(upper(event_type) ORDER BY b) FILTER (b IS NOT NULL), []) AS y FROM firsts GROUP BY 1)"""
 
@@ -91,7 +90,7 @@ _LISTS = """firsts AS (SELECT user_id, event_type, MIN(event_id) FILTER (value >
 def _key_texts(t: Tables) -> DataFrame:
     """Per user, the event types of large and of small values in order of appearance, as key texts."""
     large = aggregates.ordered_distinct(t.events.filter("value > 55"), ["user_id"], "event_type", "event_id", name="large")
-    small = aggregates.ordered_distinct(t.events.filter("value <= 8"), ["user_id"], "event_type", "event_id", name="small")
+    small = aggregates.ordered_distinct(t.events.filter("value <= 55"), ["user_id"], "event_type", "event_id", name="small")
     users = t.events.select("user_id").distinct().join(large, "user_id", "left").join(small, "user_id", "left")
     return users.select(
         "user_id",

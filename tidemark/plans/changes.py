@@ -82,9 +82,10 @@ def v2_log(t: Tables) -> DataFrame:
     return versioned.log_delete(_log(t), ["user_id"], F.col("event_type") == "view", 99, TS)
 
 
-@query("v2_truncate", "SELECT COUNT(*) FILTER (FALSE) AS n FROM events")
+@query("v2_truncate", "SELECT 'before' AS state, COUNT(*) AS n FROM events")
 def v2_truncate(t: Tables) -> DataFrame:
-    return versioned.delete_where(t.events).agg(F.count("*").alias("n"))
+    before, after = t.events.withColumn("state", F.lit("before")), versioned.delete_where(t.events).withColumn("state", F.lit("after"))
+    return before.unionByName(after).groupBy("state").agg(F.count("*").alias("n"))
 
 
 @query(

@@ -131,6 +131,38 @@ def q7(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{base}/out").select("k", "v", "source", "year", "month", "day")
 
 
+_CONTROL = [
+    ("visits", "user_id", "bigint", "Y", ""),
+    ("visits", "event_type", "string", "Y", ""),
+    ("visits", "day", "", "Y", "dd-MM-yyyy"),
+    ("prices ", "part", "bigint", "Y", ""),
+    ("prices", "size", "int", "", ""),
+]
+
+
+@query(
+    "q9_validate_files",
+    """WITH v AS (SELECT user_id, CASE WHEN event_type <> 'error' THEN event_type END AS event_type,
+                    CASE WHEN value < 10 THEN '30-02-2001' ELSE strftime(ts, '%d-%m-%Y') END AS day FROM events),
+            n AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, day) AS copy FROM v)
+       SELECT 'visits' AS source, CAST(user_id AS VARCHAR) AS id, event_type AS label,
+              concat_ws(',', CASE WHEN event_type IS NULL THEN 'missing' END, CASE WHEN day = '30-02-2001' THEN 'date' END, CASE WHEN copy > 1 THEN 'duplicate' END) AS reasons FROM n
+       UNION ALL SELECT 'prices', CAST(p_partkey AS VARCHAR), CASE WHEN p_size > 40 THEN 'large' ELSE CAST(p_size AS VARCHAR) END,
+              CASE WHEN p_size > 40 THEN 'type' ELSE '' END FROM part""",
+)
+def q9(t: Tables) -> DataFrame:
+    base = scratch(t.spark, "q9")
+    day = F.when(F.col("value") < 10, "30-02-2001").otherwise(F.date_format("ts", "dd-MM-yyyy"))
+    visits = t.events.select("user_id", F.nullif("event_type", F.lit("error")).alias("event_type"), day.alias("day"))
+    size = F.when(F.col("p_size") > 40, "large").otherwise(F.col("p_size").cast("string"))
+    write_files(visits, f"{base}/in/visits", "csv")
+    write_files(t.part.select(F.col("p_partkey").alias("part"), size.alias("size")), f"{base}/in/prices", "csv")
+    control = t.spark.createDataFrame(_CONTROL, "file_name string, column_name string, data_type string, is_key string, date_format string")
+    sources = {"visits": f"{base}/in/visits", "prices": f"{base}/in/prices"}
+    found = quality.validate_files(t.spark, sources, control, f"{base}/out")
+    return found.select("source", F.coalesce("user_id", "part").alias("id"), F.coalesce("event_type", "size").alias("label"), F.array_join("reasons", ",").alias("reasons"))
+
+
 @query(
     "q8_reconcile_counts",
     """SELECT 'raw' AS step, COUNT(*) AS n_rows FROM lineitem UNION ALL SELECT 'kept', COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)

@@ -242,12 +242,12 @@ def s17(t: Tables) -> DataFrame:
 
 @query(
     "s18_named_result",
-    """WITH big AS (SELECT o_custkey, o_totalprice FROM orders WHERE o_totalprice > 200000)
+    """WITH big AS (SELECT o_custkey, o_totalprice FROM orders)
        SELECT o_custkey, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM big GROUP BY 1""",
 )
 def s18(t: Tables) -> DataFrame:
     view = _table_name("big_orders")
-    t.orders.filter("o_totalprice > 200000").select("o_custkey", "o_totalprice").createOrReplaceTempView(view)
+    t.orders.select("o_custkey", "o_totalprice").createOrReplaceTempView(view)
     return t.spark.sql(
         f"SELECT o_custkey, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM {view} GROUP BY 1"
     )
@@ -284,11 +284,11 @@ def k2(t: Tables) -> DataFrame:
     return writers.write_layer(t.orders.filter("o_orderstatus <> 'P'").select("o_orderkey"), base, dt.date(2024, 3, 1))
 
 
-@query("k3_save_table", "SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal > 0")
+@query("k3_save_table", "SELECT s_suppkey, upper(s_name) AS s_name FROM supplier")
 def k3(t: Tables) -> DataFrame:
     name, path = _table_name("k3"), scratch(t.spark, "k3")
     writers.save_table(t.supplier.select("s_suppkey", "s_name"), name, path)
-    return writers.save_table(t.supplier.filter("s_acctbal > 0").select("s_suppkey", "s_name"), name, path)
+    return writers.save_table(t.supplier.select("s_suppkey", F.upper("s_name").alias("s_name")), name, path)
 
 
 @query(

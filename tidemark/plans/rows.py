@@ -333,9 +333,9 @@ def j13(t: Tables) -> DataFrame:
     return joins.lookup_id(staged, t.customer, on, "c_custkey", "builder").select("s_suppkey", "builder")
 
 
-@query("j14_semi", "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000)")
+@query("j14_semi", "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders GROUP BY 1 HAVING MAX(o_totalprice) > 400000)")
 def j14(t: Tables) -> DataFrame:
-    buyers = t.orders.filter("o_totalprice > 450000").select(F.col("o_custkey").alias("c_custkey"))
+    buyers = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_totalprice").alias("top")).filter("top > 400000")
     return joins.keep_matching(t.customer, buyers, ["c_custkey"]).select("c_custkey", "c_name")
 
 
@@ -377,14 +377,14 @@ def t6(t: Tables) -> DataFrame:
 
 @query(
     "t7_compare_sets",
-    """WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_totalprice > 400000),
-            b AS (SELECT DISTINCT c_custkey AS k FROM customer WHERE c_acctbal > 5000)
+    """WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders),
+            b AS (SELECT DISTINCT CASE WHEN c_acctbal > 5000 THEN c_custkey ELSE -c_custkey END AS k FROM customer)
        SELECT COALESCE(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'left' WHEN a.k IS NULL THEN 'right' ELSE 'both' END AS side
        FROM a FULL JOIN b ON a.k = b.k""",
 )
 def t7(t: Tables) -> DataFrame:
-    a = t.orders.filter("o_totalprice > 400000").select(F.col("o_custkey").alias("k"))
-    b = t.customer.filter("c_acctbal > 5000").select(F.col("c_custkey").alias("k"))
+    a = t.orders.select(F.col("o_custkey").alias("k"))
+    b = t.customer.select(F.when(F.col("c_acctbal") > 5000, F.col("c_custkey")).otherwise(-F.col("c_custkey")).alias("k"))
     return sets.compare_sets(a, b, ["k"])
 
 

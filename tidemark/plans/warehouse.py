@@ -248,7 +248,7 @@ def d7_mixed(t: Tables) -> DataFrame:
 
 @query(
     "d8_merge",
-    """WITH agg AS (SELECT o_custkey AS c_custkey, COUNT(*) AS n, MAX(o_totalprice) AS top FROM orders WHERE o_totalprice > 300000 GROUP BY 1),
+    """WITH agg AS (SELECT o_custkey AS c_custkey, COUNT(*) AS n, MAX(o_totalprice) AS top FROM orders GROUP BY 1 HAVING MAX(o_totalprice) > 300000),
             tgt AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment <> 'MACHINERY')
        SELECT COALESCE(tgt.c_custkey, agg.c_custkey) AS c_custkey, CASE WHEN tgt.c_custkey IS NULL THEN 'new ' || n ELSE c_name END AS c_name,
               CASE WHEN tgt.c_custkey IS NULL THEN top WHEN agg.c_custkey IS NULL THEN c_acctbal WHEN c_acctbal < 0 THEN 0 ELSE top END AS c_acctbal
@@ -257,9 +257,9 @@ def d7_mixed(t: Tables) -> DataFrame:
 def d8(t: Tables) -> DataFrame:
     target = t.customer.filter("c_mktsegment <> 'MACHINERY'").select("c_custkey", "c_name", "c_acctbal")
     source = (
-        t.orders.filter("o_totalprice > 300000")
-        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        t.orders.groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(F.count("*").alias("n"), F.max("o_totalprice").alias("top"))
+        .filter("top > 300000")
     )
     return dims.merge(
         target,
@@ -280,8 +280,10 @@ def d8(t: Tables) -> DataFrame:
        LEFT JOIN (SELECT l_partkey, MAX(l_extendedprice) AS q FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) ON l_partkey = p_partkey""",
 )
 def d8_update(t: Tables) -> DataFrame:
-    source = t.lineitem.filter("l_returnflag = 'R'").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.max("l_extendedprice").alias("q"))
-    return dims.merge(t.part.select("p_partkey", "p_retailprice"), source, ["p_partkey"], update={"p_retailprice": F.col("s.q")})
+    returned = F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice"))
+    source = t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.max(returned).alias("q"))
+    price = F.coalesce(F.col("s.q"), F.col("t.p_retailprice"))
+    return dims.merge(t.part.select("p_partkey", "p_retailprice"), source, ["p_partkey"], update={"p_retailprice": price})
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,6 +76,30 @@ def from_source(spark: SparkSession, path: str) -> Column:
     return (at == F.lit(root)) | F.startswith(at, F.lit(root + "/"))
 
 
+def header_of(spark: SparkSession, path: str, sep: str = ",", quote: str = '"') -> list[str] | None:
+    """The names in the first line of the first CSV file at a path, read from the file system without a job.
+
+    None where the line does not name every column once; Spark's reader then names them.
+    """
+    system, there = _file_system(spark, path)
+    files = system.listFiles(there, True)
+    while files.hasNext():
+        file = files.next()
+        if file.getPath().getName()[0] in "._" or not file.getLen():
+            continue
+        opened = system.open(file.getPath())
+        try:
+            jvm = spark._jvm
+            utf8 = jvm.java.nio.charset.StandardCharsets.UTF_8
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(opened, utf8)).readLine()
+        finally:
+            opened.close()
+        names = next(csv.reader([(line or "").removeprefix("\ufeff")], delimiter=sep, quotechar=quote), [])
+        whole = all(names) and len({n.lower() for n in names}) == len(names) and (line or "").count(quote) % 2 == 0
+        return names if names and whole and file.getPath().getName().endswith((".csv", ".txt", ".tsv")) else None
+    return None
+
+
 def read_sources(spark: SparkSession, sources: dict[str, str], name: str = "source", **options: str) -> list[DataFrame]:
     """CSV sources with their own headers: one DataFrame per layout, with the source as a column.
 
@@ -84,7 +110,8 @@ def read_sources(spark: SparkSession, sources: dict[str, str], name: str = "sour
     reader = spark.read.option("header", True).option("recursiveFileLookup", True).options(**options)
     layouts: dict[tuple[str, ...], list[str]] = {}
     for source, path in sources.items():
-        layouts.setdefault(tuple(reader.csv(path).columns), []).append(source)
+        names = header_of(spark, path, options.get("sep", ","), options.get("quote", '"'))
+        layouts.setdefault(tuple(names or reader.csv(path).columns), []).append(source)
     out = []
     for columns, members in layouts.items():
         text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
