@@ -160,6 +160,26 @@ def test_null_keys_change_nothing_and_null_moves_are_changes(spark, by_hash):
     assert merged.count() == 2 and dims.scd2_static(old, stg, ["id"], ["a", "b"], NOW).count() == 3
 
 
+def test_rows_are_judged_by_control_rows(spark):
+    from tidemark.operators import quality
+
+    control = spark.createDataFrame(
+        [("f", "id", "int", "Y", ""), ("f ", "n", "int", "", ""), ("f", "day", "", "", "dd-MM-yyyy"), ("g", "x", "int", "", "")],
+        "file_name string, column_name string, data_type string, is_key string, date_format string",
+    )
+    rules = quality.rules_from_control(control, "f")
+    assert (rules.keys, rules.formats, rules.types) == (["id"], {"day": "dd-MM-yyyy"}, {"id": "int", "n": "int"})
+    good = ("1", "5", "01-02-2024")
+    rows = [good, good, ("1", "6", "01-02-2024"), ("2", "x", "01-02-2024"), ("3", None, "2024-02-01"), (None, "1", "01-02-2024")]
+    out = quality.judged(spark.createDataFrame(rows, "id string, n string, day string"), rules).collect()
+    found = sorted((r["id"] or "", r["n"] or "", ",".join(r["reasons"])) for r in out)
+    assert found == [("", "1", "missing"), ("1", "5", ""), ("1", "5", "duplicate"), ("1", "6", "duplicate"), ("2", "x", "type"), ("3", "", "missing,date")]
+    with pytest.raises(ValueError, match="without control rows"):
+        quality.judged(spark.createDataFrame([("1", "2")], "id string, extra string"), rules)
+    with pytest.raises(ValueError, match="no control rows"):
+        quality.rules_from_control(control, "h")
+
+
 def test_seed_rows_are_added_once(spark):
     start = spark.createDataFrame([("Green", "fine")], "name string, description string")
     seeds = [{"name": "Red", "description": "bad"}, {"name": "Green", "description": "other"}]

@@ -64,6 +64,17 @@ def test_sources_with_odd_folder_names(spark, folder):
     assert {r["source"]: r["Country"] for r in rows} == {n: n for n in sources}
 
 
+def test_headers_are_read_without_jobs(spark, folder):
+    sources = {f"s{k}": f"{folder}/in/s{k}" for k in range(6)}
+    for k, path in enumerate(sources.values()):
+        land(spark, path, [("A, b", k)], COUNTRIES if k % 2 else "`Land, \"x\"` string, Citizens int")
+    spark.sparkContext.setJobGroup("headers", "headers")
+    layouts = readers.read_sources(spark, sources)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    assert {tuple(df.columns) for df in layouts} == {("Country", "Citizens", "source"), ('Land, "x"', "Citizens", "source")}
+    assert sum(df.count() for df in layouts) == 6
+
+
 def test_a_cluster_needs_a_shared_folder():
     from types import SimpleNamespace
 

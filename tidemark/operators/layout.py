@@ -13,10 +13,10 @@ from tidemark.sources.readers import list_files
 
 
 def compact(spark: SparkSession, path: str, out: str, target_mb: int = 128, fmt: str = "parquet") -> int:
-    """Rewrite a folder as files of about the target size; returns their number."""
+    """Rewrite a folder as files of about the target size, without a shuffle; returns their number."""
     size = list_files(spark, path).filter(~F.startswith("name", F.lit("_"))).agg(F.sum("size")).first()[0] or 0
     files = max(1, math.ceil(size / (target_mb * 1024 * 1024)))
-    spark.read.format(fmt).load(path).repartition(files).write.mode("overwrite").format(fmt).save(out)
+    spark.read.format(fmt).load(path).coalesce(files).write.mode("overwrite").format(fmt).save(out)
     return files
 
 

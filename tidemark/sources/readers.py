@@ -76,7 +76,7 @@ def from_source(spark: SparkSession, path: str) -> Column:
     return (at == F.lit(root)) | F.startswith(at, F.lit(root + "/"))
 
 
-def header_of(spark: SparkSession, path: str, sep: str = ",", quote: str = '"') -> list[str] | None:
+def header_of(spark: SparkSession, path: str, sep: str = ",", quote: str = '"', escape: str = "\\") -> list[str] | None:
     """The names in the first line of the first CSV file at a path, read from the file system without a job.
 
     None where the line does not name every column once; Spark's reader then names them.
@@ -94,8 +94,9 @@ def header_of(spark: SparkSession, path: str, sep: str = ",", quote: str = '"')
             line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(opened, utf8)).readLine()
         finally:
             opened.close()
-        names = next(csv.reader([(line or "").removeprefix("\ufeff")], delimiter=sep, quotechar=quote), [])
-        whole = all(names) and len({n.lower() for n in names}) == len(names) and (line or "").count(quote) % 2 == 0
+        how = {"doublequote": True} if escape == quote else {"escapechar": escape, "doublequote": False}
+        names = next(csv.reader([(line or "").removeprefix("\ufeff")], delimiter=sep, quotechar=quote, **how), [])
+        whole = all(names) and len({n.lower() for n in names}) == len(names)
         return names if names and whole and file.getPath().getName().endswith((".csv", ".txt", ".tsv")) else None
     return None
 
@@ -110,7 +111,7 @@ def read_sources(spark: SparkSession, sources: dict[str, str], name: str = "sour
     reader = spark.read.option("header", True).option("recursiveFileLookup", True).options(**options)
     layouts: dict[tuple[str, ...], list[str]] = {}
     for source, path in sources.items():
-        names = header_of(spark, path, options.get("sep", ","), options.get("quote", '"'))
+        names = header_of(spark, path, options.get("sep", ","), options.get("quote", '"'), options.get("escape", "\\"))
         layouts.setdefault(tuple(names or reader.csv(path).columns), []).append(source)
     out = []
     for columns, members in layouts.items():
