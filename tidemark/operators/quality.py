@@ -13,7 +13,7 @@ from tidemark.functions.values import any_missing, fill_values, quoted
 from tidemark.operators.projections import normalise_name
 from tidemark.operators.windows import dedup_by_key, repeat_rows
 from tidemark.sources.readers import read_sources
-from tidemark.sources.writers import split_good_bad, write_partitioned
+from tidemark.sources.writers import split_good_bad, tag_good_bad, write_partitioned
 
 
 def _normal(c: Column | str) -> Column:
@@ -60,6 +60,11 @@ def split_nulls(df: DataFrame, columns: list[str] | None = None) -> tuple[DataFr
     return split_good_bad(df, ~any_missing(df, columns))
 
 
+def tag_nulls(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The same verdict as a column, from one read."""
+    return tag_good_bad(df, ~any_missing(df, columns))
+
+
 def split_duplicates(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
     """The first row of each key, and the rest."""
     return dedup_by_key(df, keys, order)
@@ -74,6 +79,11 @@ def split_bad_dates(df: DataFrame, formats: dict[str, str]) -> tuple[DataFrame,
     return split_good_bad(df, dates_ok(formats))
 
 
+def tag_bad_dates(df: DataFrame, formats: dict[str, str]) -> DataFrame:
+    """The same verdict as a column, from one read."""
+    return tag_good_bad(df, dates_ok(formats))
+
+
 def clean(df: DataFrame, text: str = "unknown", number: float = 0) -> tuple[DataFrame, Observation, Observation]:
     """Fill missing values by type and drop exact duplicates.
 

@@ -36,23 +36,16 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) ->
 def repeat_rows(df: DataFrame, times: str, index: str | None = None) -> DataFrame:
     """Each row ``times`` times (optionally numbered from 1).
 
-    A row with very many copies is first cut into chunks that are spread over all tasks.
+    Every row is cut into chunks of copies first, and the chunks are dealt over all tasks.
     """
-    names = [c for c in df.columns if c != times]
-    kept = [quoted(c) for c in names]
-    few = df.filter(quoted(times).between(1, COPY_CHUNK)).select(
-        *kept, F.explode(F.sequence(F.lit(1).cast("bigint"), quoted(times).cast("bigint"))).alias("_i")
-    )
-    chunks = df.filter(quoted(times) > COPY_CHUNK).select(
-        *kept,
-        quoted(times).cast("bigint").alias("_t"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((quoted(times) - 1) / COPY_CHUNK).cast("bigint"))).alias("_c"),
-    )
+    kept = [quoted(c) for c in df.columns if c != times]
+    wanted = quoted(times).cast("bigint")
+    last_chunk = F.floor((wanted - 1) / COPY_CHUNK).cast("bigint")
+    chunks = df.filter(wanted > 0).select(*kept, wanted.alias("_t"), F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)).alias("_c"))
     first = F.col("_c") * COPY_CHUNK + 1
     last = F.least(first + (COPY_CHUNK - 1), F.col("_t"))
-    many = chunks.repartition(*kept, F.col("_c")).select(*kept, F.explode(F.sequence(first, last)).alias("_i"))
-    both = few.unionByName(many)
-    return both.withColumnRenamed("_i", index) if index else both.drop("_i")
+    copies = chunks.repartition(*kept, F.col("_c")).select(*kept, F.explode(F.sequence(first, last)).alias("_i"))
+    return copies.withColumnRenamed("_i", index) if index else copies.drop("_i")
 
 
 def number_copies(df: DataFrame, name: str) -> DataFrame:

@@ -71,7 +71,7 @@ def _marked(good: DataFrame, bad: DataFrame) -> DataFrame:
               CASE WHEN event_type = 'error' OR value < 10 THEN 'bad' ELSE 'good' END AS verdict FROM events""",
 )
 def q3(t: Tables) -> DataFrame:
-    return _marked(*quality.split_nulls(_gaps(t)))
+    return quality.tag_nulls(_gaps(t))
 
 
 @query(
@@ -99,8 +99,7 @@ def q5(t: Tables) -> DataFrame:
         .when(F.col("o_orderpriority") != "1-URGENT", due)
         .alias("due"),
     )
-    good, bad = quality.split_bad_dates(rows, {"placed": "dd-MM-yyyy", "due": "yyyy/MM/dd"})
-    return _marked(good, bad).select("o_orderkey", "verdict")
+    return quality.tag_bad_dates(rows, {"placed": "dd-MM-yyyy", "due": "yyyy/MM/dd"}).select("o_orderkey", "verdict")
 
 
 @query(

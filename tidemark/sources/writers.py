@@ -117,11 +117,15 @@ def split_good_bad(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
     return df.filter(verdict), df.filter(~verdict)
 
 
+def tag_good_bad(df: DataFrame, ok: Column) -> DataFrame:
+    """Every row with its ``verdict``, good or bad, in one read."""
+    return df.withColumn("verdict", F.when(F.coalesce(ok, F.lit(False)), "good").otherwise("bad"))
+
+
 def write_good_bad(df: DataFrame, ok: Column, out: str, fmt: str = "parquet") -> DataFrame:
     """Both halves in one job and one read, as ``verdict=good`` and ``verdict=bad`` folders."""
-    verdict = F.when(F.coalesce(ok, F.lit(False)), "good").otherwise("bad")
     (
-        df.withColumn("verdict", verdict)
+        tag_good_bad(df, ok)
         .write.mode("overwrite")
         .option("header", True)
         .partitionBy("verdict")
