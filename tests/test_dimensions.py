@@ -180,6 +180,18 @@ def test_rows_are_judged_by_control_rows(spark):
         quality.rules_from_control(control, "h")
 
 
+def test_two_current_rows_would_double_facts(spark):
+    from tidemark.operators.facts import Lookup, load_fact
+
+    stg = spark.createDataFrame([(1, "a", 5), (2, "z", 6)], "order_id int, code string, amount int")
+    rows = [("a", 10, True), ("a", 11, False), (None, 12, True)]
+    dim = spark.createDataFrame(rows, "code string, row_key int, is_current boolean")
+    load = lambda d, current: load_fact(stg, [Lookup(d, {"code": "code"}, "row_key", "fk", current)], None, ["order_id"], ["amount"])
+    assert {(r["order_id"], r["fk"]) for r in load(dim, F.col("is_current")).collect()} == {(1, 10), (2, None)}
+    with pytest.raises(Exception, match="several current dimension rows"):
+        load(dim, None).collect()
+
+
 def test_seed_rows_are_added_once(spark):
     start = spark.createDataFrame([("Green", "fine")], "name string, description string")
     seeds = [{"name": "Red", "description": "bad"}, {"name": "Green", "description": "other"}]

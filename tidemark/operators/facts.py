@@ -40,7 +40,8 @@ def load_fact(
     """New fact rows: rows already loaded are dropped first, then the keys are looked up.
 
     ``unmatched`` says what happens to rows without a dimension row: ``keep`` (NULL key), ``drop``,
-    or ``unknown`` (key -1).
+    or ``unknown`` (key -1). Two current dimension rows for one key are an error: they would double
+    facts.
     """
     if unmatched not in ("keep", "drop", "unknown"):
         raise ValueError(f"unknown option {unmatched}")
@@ -48,7 +49,7 @@ def load_fact(
     if fact is not None:
         rows = rows.join(fact.select(*business_key), business_key, "left_anti")
     for item in lookups:
-        rows = lookup(rows, item.dim, item.on, item.key, item.fk, item.current, "inner" if unmatched == "drop" else "left")
+        rows = lookup(rows, _current_rows(item), item.on, item.key, item.fk, how="inner" if unmatched == "drop" else "left")
         if unmatched == "unknown":
             rows = rows.withColumn(item.fk, F.coalesce(item.fk, F.lit(UNKNOWN_KEY)))
     columns = [quoted(c) for c in dict.fromkeys([*business_key, *measures, *[x.fk for x in lookups]])]
@@ -58,6 +59,18 @@ def load_fact(
     return out.distinct() if distinct else out
 
 
+def _current_rows(item: Lookup) -> DataFrame:
+    """The looked-up columns of the current dimension rows, one row for each key."""
+    rows = item.dim if item.current is None else item.dim.filter(item.current)
+    keys = [*dict.fromkeys(item.on.values())]
+    if item.key in keys:
+        return rows.select(*keys).distinct()
+    found = rows.dropna(subset=keys).groupBy(*keys).agg(F.min(quoted(item.key)).alias(item.key), F.max(quoted(item.key)).alias("_other"))
+    clash = F.raise_error(F.lit(f"several current dimension rows for one key of {item.fk}"))
+    one = F.when(quoted(item.key).eqNullSafe(F.col("_other")), quoted(item.key)).otherwise(clash.cast(rows.schema[item.key].dataType))
+    return found.select(*keys, one.alias(item.key))
+
+
 # Markers inside a journal text.
 JOURNAL_PREFIX = "Service"
 JOURNAL_BODY = "Update"
