@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.common import without
+from tidemark.llm.common import map_batches, without
 
 # The pattern that splits text before byte-level merging, and its longest look ahead.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -300,7 +300,7 @@ def bpe_encode(docs: DataFrame, definition: str, text: str = "text", ids: str =
             packed = pa.array([encoder.encode(t.as_py() or "") for t in column], pa.binary())
             yield batch.append_column(ids, packed)
 
-    return source.mapInArrow(run, _with_type(source.schema, ids, T.BinaryType()))
+    return map_batches(source, run, _with_type(source.schema, ids, T.BinaryType()))
 
 
 def bpe_decode(tokens: DataFrame, definition: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -313,7 +313,7 @@ def bpe_decode(tokens: DataFrame, definition: str, ids: str = "ids", text: str =
             column = batch.column(batch.schema.get_field_index(ids))
             yield batch.append_column(text, pa.array([decoder.decode(p.as_py() or b"") for p in column], pa.string()))
 
-    return source.mapInArrow(run, _with_type(source.schema, text, T.StringType()))
+    return map_batches(source, run, _with_type(source.schema, text, T.StringType()))
 
 
 def bpe_round_trip(docs: DataFrame, definition: str, text: str = "text", ids: str = "ids", same: str = "round_trip") -> DataFrame:
@@ -337,4 +337,4 @@ def bpe_round_trip(docs: DataFrame, definition: str, text: str = "text", ids: st
             )
 
     schema = T.StructType([*kept, T.StructField(ids, T.BinaryType()), T.StructField(same, T.BooleanType())])
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)

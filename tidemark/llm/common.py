@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 from string import ascii_lowercase, ascii_uppercase
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+PACKAGE = Path(__file__).resolve().parents[1]
 
 # Fixed value: white space between words is blank, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\f\r"
@@ -46,3 +52,25 @@ def without(df: DataFrame, *names: str) -> DataFrame:
 def unsigned_hex(value: Column) -> Column:
     """16 hexadecimal digits of a long whose order as text is the order of the signed number."""
     return F.lpad(F.hex(value.bitwiseXOR(F.lit(-(2**63)))), 16, "0")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for a context, as ``--py-files`` would.
+
+    Workers need not find it on a path of their own then. Spark's file server hands the archive on.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_sent", False) or not PACKAGE.is_dir():  # sent before, or itself read from an archive
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tidemark-")) / "tidemark_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(PACKAGE.rglob("*.py")):
+            out.write(file, file.relative_to(PACKAGE.parent))
+    context.addPyFile(str(archive))
+    context._tidemark_sent = True
+
+
+def map_batches(df: DataFrame, run: Callable, schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` by workers that have this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)

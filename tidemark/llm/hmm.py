@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import map_batches
 from tidemark.session import cut
 
 HEAD = 65_536
@@ -193,7 +194,7 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
                     seen.clear()
         yield out()
 
-    return docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return map_batches(docs.select(F.col(f"`{text}`").cast("string")), count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 class Vocabulary:
@@ -265,7 +266,7 @@ def encode(docs: DataFrame, vocab, text: str) -> DataFrame:
             yield pa.record_batch(columns, names=[*kept, "ids", "tail"])
 
     kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in kept)
-    return docs.mapInArrow(run, f"{kinds}, ids array<int>, tail array<binary>")
+    return map_batches(docs, run, f"{kinds}, ids array<int>, tail array<binary>")
 
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -306,7 +307,7 @@ def baum_welch_round(encoded: DataFrame, model: Model, vocab: Vocabulary) -> Mod
 
     # few wide tasks: each hands on one table of counts
     tasks = encoded.select("ids").coalesce(max(1, 2 * context.defaultParallelism))
-    counted = tasks.mapInArrow(run, ", ".join(["symbol int", *[f"{n} double" for n in names]]))
+    counted = map_batches(tasks, run, ", ".join(["symbol int", *[f"{n} double" for n in names]]))
     summed = counted.groupBy("symbol").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
     keys = summed.column(0).to_numpy()
     rows = np.stack([summed.column(n).to_numpy() for n in names], axis=1)
@@ -376,7 +377,7 @@ def hmm_scores(
             )
 
     kind = docs.schema[id_column].dataType.simpleString()
-    scored = encoded.select("row", "__id", "held_out", "ids").mapInArrow(
+    scored = map_batches(encoded.select("row", "__id", "held_out", "ids"), 
         score, f"row long, __id {kind}, held_out boolean, n_tokens long, head_known long, head_base double, head_score double"
     )
     n = F.coalesce("n", F.lit(0)) + F.lit(ADDED)

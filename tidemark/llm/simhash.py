@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import without
+from tidemark.llm.common import map_batches, without
 from tidemark.llm.components import components
 from tidemark.session import cut
 
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, text: str = "text", out: str = "fingerprint")
             values = np.fromiter((fingerprint(t.as_py() or "") for t in column), np.uint64, len(column))
             yield batch.append_column(out, pa.array(values.view(np.int64)))
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(out, T.LongType())]))
+    return map_batches(source, run, T.StructType([*source.schema.fields, T.StructField(out, T.LongType())]))
 
 
 def forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -142,7 +142,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
                 if len(members):
                     yield pa.record_batch({"a": pa.array(members.view(np.int64)), "b": pa.array(roots.view(np.int64))})
 
-    return tasks.mapInArrow(compare, "a long, b long")
+    return map_batches(tasks, compare, "a long, b long")
 
 
 def simhash_components(docs: DataFrame, text: str = "text", id_column: str = "doc_id", radius: int = RADIUS) -> DataFrame:

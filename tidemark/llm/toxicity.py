@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import without
+from tidemark.llm.common import map_batches, without
 from tidemark.session import cut
 
 POSITIVES = 8_000  # confirmed toxic texts in the sample, about, at most
@@ -127,7 +127,7 @@ def train_toxicity(
             yield pa.record_batch(columns, names=["__id", "positive", "unlabelled", "found"])
 
     kind = sample.schema["__id"].dataType.simpleString()
-    numbered = sample.mapInArrow(number, f"__id {kind}, positive boolean, unlabelled boolean, found array<int>")
+    numbered = map_batches(sample, number, f"__id {kind}, positive boolean, unlabelled boolean, found array<int>")
     third = F.pmod(F.xxhash64("__id"), F.lit(MODELS))
     dealt = numbered.withColumn("model", F.explode(F.sequence(F.lit(0), F.lit(MODELS - 1)))).filter(F.col("model") != third)
 
@@ -159,7 +159,7 @@ def _select(sample: DataFrame) -> list[str]:
         yield pa.record_batch([pa.array(both, pa.string()), *counts], names=["feature", "p", "u"])
 
     sizes = sample.agg(F.count_if("positive"), F.count_if("unlabelled")).first()
-    counted = sample.select("text", "positive", "unlabelled").mapInArrow(count, "feature string, p long, u long")
+    counted = map_batches(sample.select("text", "positive", "unlabelled"), count, "feature string, p long, u long")
     summed = counted.groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).filter(F.col("p") >= RARE)
     lift = F.log(F.col("p") / F.lit(float(sizes[0]))) - F.log((F.col("u") + 0.5) / F.lit(sizes[1] + 1.0))
     surely = lift - DEVIATIONS * F.sqrt(1 / F.col("p") + 1 / (F.col("u") + 0.5)) >= math.log(LIFT)
@@ -184,4 +184,4 @@ def toxicity_scores(docs: DataFrame, weights: dict[str, float], text: str = "tex
             scores = 1 / (1 + np.exp(-np.clip(sums + known[""], -50, 50))) if known else np.zeros(len(column))
             yield batch.append_column(out, pa.array(scores, pa.float64()))
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(out, T.DoubleType())]))
+    return map_batches(source, run, T.StructType([*source.schema.fields, T.StructField(out, T.DoubleType())]))
