@@ -2,26 +2,32 @@
 
 The rows of a source form blocks. Block ``i`` (from 1) of a source with weight ``w`` is released at slot
 ``floor((i - 1) / w)`` and due at ``ceil(i / w)``; of the released blocks the one with the earliest deadline
-takes the next slot. Weights are whole parts of one cycle, so the windows repeat with the cycle: one cycle is
-scheduled (a fold over its slots, in SQL functions), and every block finds its slot by arithmetic. No
-source is ever a whole block ahead of or behind its share, up to the slot at which the first source runs out.
+takes the next slot. Weights are exact fractions, never rounded to parts of a cycle, so no source is ever a whole
+block ahead of or behind its given share, up to the slot at which the first source runs out. One task reads
+a row of control data and places block after block, in time linear in the blocks; rows then find their block
+in a join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from fractions import Fraction
+from heapq import heapify, heappop, heappush
+from itertools import islice
+from math import inf, lcm
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import without
+from tidemark.llm.common import map_batches, without
 from tidemark.session import cut
 
 BLOCK_ROWS = 16
-PARTS = 1_024  # parts that the weights are rounded to
 TEMPERATURE = 0.5  # weights follow the row counts to this power where none are given
 BUCKETS = 1_024  # per source; rows are numbered bucket by bucket, so a hot source has as many tasks
-OWN = ("__key", "__hash", "__bucket", "__place", "__offset", "__parts", "__kth")
+PLACED = 8_192  # blocks that are handed on at a time
+OWN = ("__key", "__hash", "__bucket", "__place", "__offset")
 
 
 def _keyed(docs: DataFrame, source: str, id_column: str) -> DataFrame:
@@ -37,57 +43,74 @@ def _keyed(docs: DataFrame, source: str, id_column: str) -> DataFrame:
     )
 
 
-def _parts(counts: DataFrame, weights: Mapping[str | None, float] | None, temperature: float) -> DataFrame:
-    """``(key, parts)``: target weights as whole parts, at least one for each source."""
+def _shares(counts: DataFrame, weights: Mapping[str | None, float] | None, temperature: float, block_rows: int) -> DataFrame:
+    """``(key, share, blocks)``: weight, not yet divided by their sum, and number of blocks of each source."""
     sizes = counts.groupBy("__key").agg(F.sum("n").alias("rows"))
     if weights is None:
-        share = F.pow(F.col("rows").cast("double"), F.lit(temperature))
+        share = F.pow(F.col("rows").cast("double"), F.lit(float(temperature)))
     else:
         given = {("-" if k is None else f"+{k}"): float(v) for k, v in weights.items()}
+        if not all(0 <= v < inf for v in given.values()):
+            raise ValueError("weights must be finite and not negative")
         named = F.create_map(*[F.lit(x) for pair in given.items() for x in pair]) if given else F.create_map().cast("map<string,double>")
         share = F.coalesce(named[F.col("__key")], F.lit(0.0))
-    total = sizes.agg(F.sum(share).alias("total")).first()["total"] or 1.0
-    return sizes.select("__key", F.greatest(F.lit(1), F.round(share / total * PARTS)).cast("bigint").alias("__parts"))
+    return sizes.select("__key", share.alias("share"), F.ceil(F.col("rows") / block_rows).cast("bigint").alias("blocks"))
 
 
-def _release(i: Column, parts: Column, cycle: Column) -> Column:
-    """Slot from which block ``i`` (from 1) may run: ``floor((i - 1) * cycle / parts)``."""
-    return ((i - 1) * cycle - F.pmod((i - 1) * cycle, parts)) / parts
+def earliest_deadlines(shares: list[float], blocks: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
+    """``(source, block, release, deadline, slot)`` of every block in order of slots; ties go to the earlier source.
 
-
-def _deadline(i: Column, parts: Column, cycle: Column) -> Column:
-    """Slot before which block ``i`` must have run: ``ceil(i * cycle / parts)``."""
-    return (i * cycle + F.pmod(-(i * cycle), parts)) / parts
+    Only blocks that exist are visited: where none is released the slots stay free. Blocks of sources with
+    weight 0 follow after all others. If every weight is 0 all are equal.
+    """
+    exact = [Fraction(x) for x in shares] if any(shares) else [Fraction(1)] * len(shares)
+    unit = lcm(*[x.denominator for x in exact])
+    parts = [int(x * unit) for x in exact]
+    cycle = sum(parts)
+    waiting = [(0, k, 0) for k, n in enumerate(blocks) if n and parts[k]]  # release, source, block
+    heapify(waiting)
+    ready: list[tuple[int, int, int, int]] = []  # deadline, source, block, release
+    slot = 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
+        while waiting and waiting[0][0] <= slot:
+            release, k, block = heappop(waiting)
+            heappush(ready, (-(-(block + 1) * cycle // parts[k]), k, block, release))
+        deadline, k, block, release = heappop(ready)
+        yield k, block, release, deadline, slot
+        slot += 1
+        if block + 1 < blocks[k]:
+            heappush(waiting, ((block + 1) * cycle // parts[k], k, block + 1))
+    for k, n in enumerate(blocks):
+        if not parts[k]:
+            for block in range(n):
+                yield k, block, slot, slot + 1, slot
+                slot += 1
+
+
+def block_schedule(shares: DataFrame) -> DataFrame:
+    """``(key, target_weight, block, release, deadline, at)``, a row for each block of ``(key, share, blocks)``."""
+    gathered = shares.agg(F.array_sort(F.collect_list(F.struct("__key", "share", "blocks"))).alias("sources"))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.column(0).to_pylist():
+                keys, given, blocks = ([s[name] for s in row] for name in ("__key", "share", "blocks"))
+                total = sum(map(Fraction, given))
+                target = [float(Fraction(x) / total) if total else 1 / len(given) for x in given]
+                placed = earliest_deadlines(given, blocks)
+                while some := list(islice(placed, PLACED)):
+                    source, *times = zip(*some)
+                    columns = [[keys[k] for k in source], [target[k] for k in source], *times]
+                    yield pa.record_batch([pa.array(c) for c in columns], names=["__key", "target_weight", "block", "release", "deadline", "at"])
+
+    return map_batches(gathered, place, "__key string, target_weight double, block long, release long, deadline long, at long")
 
 
 def cycle_schedule(parts: DataFrame) -> DataFrame:
-    """One cycle: ``(key, parts, cycle, kth, slot)``, a row for each of its slots.
-
-    A fold over the slots keeps the next block of each source; the sources are control data.
-    """
-    gathered = parts.agg(
-        F.array_sort(F.collect_list(F.struct("__key", "__parts"))).alias("sources"), F.sum("__parts").alias("cycle")
-    ).filter("cycle > 0")
-    # earliest deadline among the released, ties to the earlier source
-    pick = """
-        array_min(transform(sources, (s, k) -> struct(
-            CASE WHEN (acc.next[k] - 1) * cycle div s.__parts <= t
-                 THEN -(-(acc.next[k] * cycle) div s.__parts) + IF(acc.next[k] * cycle % s.__parts = 0, 0, 1)
-                 ELSE 9223372036854775807 END AS deadline,
-            k AS k))).k
-    """
-    step = f"""
-        transform(array({pick}), c -> named_struct(
-            'next', transform(acc.next, (n, k) -> IF(k = c, n + 1, n)),
-            'order', array_append(acc.`order`, named_struct('k', c, 'kth', acc.next[c] - 1))))[0]
-    """
-    start = "named_struct('next', transform(sources, s -> 1L), 'order', CAST(array() AS array<struct<k:int,kth:bigint>>))"
-    order = F.expr(f"aggregate(sequence(0L, cycle - 1), {start}, (acc, t) -> {step}).`order`")
-    slots = gathered.select("sources", "cycle", F.posexplode(order).alias("slot", "run"))
-    chosen = F.col("sources")[F.col("run.k")]
-    return slots.select(
-        chosen["__key"].alias("__key"), chosen["__parts"].alias("__parts"), "cycle", F.col("run.kth").alias("__kth"), F.col("slot").cast("bigint").alias("at")
-    )
+    """One cycle of the schedule for weights that are whole ``(key, parts)``: as many slots as parts."""
+    return block_schedule(parts.select("__key", F.col("__parts").cast("double").alias("share"), F.col("__parts").alias("blocks")))
 
 
 def mix(
@@ -101,8 +124,8 @@ def mix(
     """Every row of ``docs`` with ``target_weight, block, place, release, deadline, slot``.
 
     ``slot`` orders the blocks of the mixture, ``place`` the rows of a block. Without ``weights`` a source
-    weighs its row count to the power ``temperature``; with them a source that is not named gets one
-    part of 1,024. Within a source rows follow a hash of their id. No row is dropped or repeated: the slots of
+    weighs its row count to the power ``temperature``; with them a source that is not named weighs 0, and
+    the blocks of sources that weigh 0 follow after all others. Within a source rows follow a hash of their id. No row is dropped or repeated: the slots of
     a source that has run out stay free, and the others keep their shares among themselves. A NULL source
     is a source of its own; NULL or repeated ids stand next to each other; an empty table gives an empty result.
     Columns of ``docs`` that are called as the results are replaced.
@@ -111,27 +134,17 @@ def mix(
     keyed = _keyed(without(docs, *results), source, id_column)
     narrow = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([source, id_column])])
     counts = cut(_keyed(narrow, source, id_column).groupBy("__key", "__bucket").agg(F.count(F.lit(1)).alias("n")))
-    schedule = cut(cycle_schedule(_parts(counts, weights, temperature)))
+    schedule = cut(block_schedule(_shares(counts, weights, temperature, int(block_rows))))
     before = F.sum("n").over(Window.partitionBy("__key").orderBy("__bucket")) - F.col("n")
     offsets = counts.select("__key", "__bucket", before.alias("__offset"))
     in_bucket = Window.partitionBy("__key", "__bucket").orderBy("__hash", F.col(f"`{id_column}`"))
     placed = keyed.withColumn("__place", F.row_number().over(in_bucket) - 1).join(offsets, ["__key", "__bucket"])
     placed = placed.withColumn("__place", F.col("__place") + F.col("__offset"))
-    parts = schedule.select("__key", "__parts", "cycle").distinct()
-    placed = placed.join(parts, "__key").withColumn("block", F.expr(f"__place div {int(block_rows)}"))
-    placed = placed.withColumn("__kth", F.pmod("block", F.col("__parts")))
-    timed = placed.join(schedule.select("__key", "__kth", "at"), ["__key", "__kth"])
-    number, size, cycle = F.col("block") + 1, F.col("__parts"), F.col("cycle")
+    placed = placed.withColumn("block", F.expr(f"__place div {int(block_rows)}"))
+    timed = placed.join(schedule, ["__key", "block"])
     kept = [F.col(f"`{c}`") for c in without(docs, *results).columns]
-    return timed.select(
-        *kept,
-        (size / cycle).alias("target_weight"),
-        "block",
-        F.pmod("__place", F.lit(block_rows)).cast("int").alias("place"),
-        _release(number, size, cycle).cast("bigint").alias("release"),
-        _deadline(number, size, cycle).cast("bigint").alias("deadline"),
-        (F.expr("block div __parts") * cycle + F.col("at")).alias("slot"),
-    )
+    place = F.pmod("__place", F.lit(block_rows)).cast("int").alias("place")
+    return timed.select(*kept, "target_weight", "block", place, "release", "deadline", F.col("at").alias("slot"))
 
 
 def mixed_order(docs: DataFrame, source: str = "source", id_column: str = "doc_id", **options) -> DataFrame:
