@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.bpe import bpe_decode, bpe_encode
 from tidemark.llm.common import ascii_lower, text_of
 from tidemark.llm.exact_dedup import exact_groups
+from tidemark.llm.filter_audit import audit, mask_cells
 from tidemark.llm.hmm import hmm_scores
 from tidemark.llm.mixing import mix
 from tidemark.llm.passages import repeated_passages
@@ -20,6 +21,7 @@ from tidemark.llm.sharding import histogram_shards
 from tidemark.llm.simhash import simhash_components
 from tidemark.llm.toxicity import toxicity_scores, train_toxicity
 from tidemark.llm.url_filter import judge_urls
+from tidemark.session import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -174,3 +176,63 @@ def op9_paragraph_minhash(spark: SparkSession, folder: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     ledger = quality_ledger(table(spark, folder, "documents").select("doc_id", "text"))
     return ledger.select("doc_id", *MEASURES, "failed_bits", fails(BASE).alias("base_failed"), (~fails(STRICT)).alias("kept"))
+
+
+@query(
+    "op12_filter_audit",
+    """
+    WITH t AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+               regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+        FROM documents
+    ),
+    l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+    judged AS (
+        SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+               (len(words) < 200)::INT AS a,
+               (100 * len(list_distinct(words)) < 50 * len(words))::INT AS b,
+               (100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g'))) > 3 * length(body))::INT AS c,
+               regexp_matches(body, '[#$%&*|]')::INT AS d,
+               coalesce(doc_id > min(doc_id) OVER (PARTITION BY body), false)::INT AS e
+        FROM t LEFT JOIN l USING (doc_id)
+    ),
+    cells AS (
+        SELECT part, {'A': a, 'B': b, 'C': c, 'D': d, 'E': e} AS fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+        FROM judged GROUP BY ALL
+    ),
+    orders AS (
+        SELECT v.l || w.l || x.l || y.l || z.l AS filter_order
+        FROM (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) v, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) w,
+             (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) x, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) y,
+             (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) z
+        WHERE len(list_distinct([v.l, w.l, x.l, y.l, z.l])) = 5
+    ),
+    failing AS (
+        SELECT part, n, good, toxic, list_filter(['A', 'B', 'C', 'D', 'E'],
+               lambda k: (k = 'A' AND fails['A'] = 1) OR (k = 'B' AND fails['B'] = 1) OR (k = 'C' AND fails['C'] = 1)
+                   OR (k = 'D' AND fails['D'] = 1) OR (k = 'E' AND fails['E'] = 1)) AS letters
+        FROM cells
+    ),
+    stepped AS (
+        SELECT part, filter_order, step, substr(filter_order, step, 1) AS letter, letters, n, good, toxic,
+               list_contains(letters, substr(filter_order, step, 1)) AS fails,
+               len(list_filter(letters, lambda k: contains(substr(filter_order, 1, step - 1), k))) > 0 AS gone
+        FROM failing, orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+    ),
+    m AS (
+        SELECT part, filter_order, step, letter,
+               sum(n) FILTER (NOT fails AND NOT gone) AS kept, sum(n) FILTER (fails AND NOT gone) AS removed,
+               sum(n) FILTER (fails AND gone) AS redundant, sum(n) FILTER (letters = [letter]) AS unique_fails,
+               sum(good) FILTER (fails AND NOT gone) AS good_lost, sum(toxic) FILTER (fails AND NOT gone) AS toxic_lost
+        FROM stepped GROUP BY ALL
+    )
+    SELECT part, filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+           coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+           coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+           (sum(coalesce(removed, 0)) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+    FROM m
+    """,
+)
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    # The cells are a small table that three branches read: written once, so that texts are read once.
+    return audit(cut(mask_cells(table(spark, folder, "documents"), table(spark, folder, "labels"))))
