@@ -13,6 +13,7 @@ from tidemark.llm.bpe import bpe_decode, bpe_encode
 from tidemark.llm.common import ascii_lower, text_of
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.filter_audit import audit, mask_cells
+from tidemark.llm.hard_negatives import hard_negatives
 from tidemark.llm.hmm import hmm_scores
 from tidemark.llm.mixing import mix
 from tidemark.llm.passages import repeated_passages
@@ -236,3 +237,37 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     # The cells are a small table that three branches read: written once, so that texts are read once.
     return audit(cut(mask_cells(table(spark, folder, "documents"), table(spark, folder, "labels"))))
+
+
+@query(
+    "op13_hard_negatives",
+    """
+    WITH r AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    s AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+        FROM r a, r b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+    ),
+    p AS (
+        SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+    )
+    SELECT anchor_id, positive_id,
+           (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other))::INT AS rank,
+           other AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+    QUALIFY rank <= 5
+    """,
+)
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vec_id, component = F.col("vec_id"), F.col("embedding")
+    # A whole number of a large double is the double itself; ``floor`` gives a long.
+    floors = F.transform(component, lambda x: F.when(F.abs(x) < 2.0**44, F.floor(x.cast("double") * 256).cast("double")).otherwise(x.cast("double") * 256))
+    label = F.when(vec_id % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    return hard_negatives(table(spark, folder, "embeddings").select("vec_id", label, floors.alias("vector")), vec_id % 100 == 0)
