@@ -17,6 +17,7 @@ from tidemark.llm.hard_negatives import hard_negatives
 from tidemark.llm.hmm import hmm_scores
 from tidemark.llm.mixing import mix
 from tidemark.llm.passages import repeated_passages
+from tidemark.llm.pii import KINDS, find_pii, train_tagger
 from tidemark.llm.quality import BASE, MEASURES, STRICT, fails, quality_ledger
 from tidemark.llm.sharding import histogram_shards
 from tidemark.llm.simhash import simhash_components
@@ -179,6 +180,14 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return ledger.select("doc_id", *MEASURES, "failed_bits", fails(BASE).alias("base_failed"), (~fails(STRICT)).alias("kept"))
 
 
+@query("op11_personal_data")
+def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = find_pii(docs, train_tagger(docs)).drop("text")
+    counts = [f"n_{k}" for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans", "n_added")
+
+
 @query(
     "op12_filter_audit",
     """
