@@ -3,7 +3,7 @@
 A text is judged once. Its failures are the bits of a mask, and all later work is on the counts of equal
 masks (at most ``2^filters`` cells for each part). A recursive common table expression extends filter
 prefixes by the letters that they do not hold yet and carries the bits applied so far, for every mask; each level of the
-recursion says for each mask what its step does to such a document. These steps meet the cells of a part
+recursion says for each mask what its step does to such a document. These steps meet the cells of each part
 in one join on the mask.
 """
 
@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_of, words_of
+from tidemark.session import cut
 
 LETTERS = "ABCDE"
 COPY = 16  # the bit of filter E
@@ -88,16 +89,15 @@ def mask_cells(docs: DataFrame, labels: DataFrame, text: str = "text", part: str
     )
 
 
-def filter_steps(cells: DataFrame, letters: str = LETTERS) -> DataFrame:
-    """``(prefix, step, letter, mask, kept, removed, redundant, unique_fails)`` of every filter prefix and mask of the cells.
+def filter_steps(spark: SparkSession, letters: str = LETTERS) -> DataFrame:
+    """``(prefix, step, letter, mask, kept, removed, redundant, unique_fails)`` of every filter prefix and mask.
 
-    The recursion starts from the masks that occur, so it holds at most ``2^filters`` rows for each prefix.
+    The recursion holds ``2^filters`` rows for each prefix, whatever the data.
     """
-    spark = cells.sparkSession
     bits = ", ".join(f"named_struct('letter', '{x}', 'bit', {1 << k})" for k, x in enumerate(letters))
     return spark.sql(
         f"""
-        WITH RECURSIVE masks AS (SELECT DISTINCT mask FROM {{cells}}),
+        WITH RECURSIVE masks AS (SELECT explode(sequence(0, {(1 << len(letters)) - 1})) AS mask),
         walk(prefix, applied, step, letter, mask, kept, removed, redundant, unique_fails) MAX RECURSION LEVEL {len(letters) + 1} AS (
             SELECT CAST('' AS STRING), 0, 0, CAST('' AS STRING), mask, true, false, false, false FROM masks
             UNION ALL
@@ -110,8 +110,7 @@ def filter_steps(cells: DataFrame, letters: str = LETTERS) -> DataFrame:
             WHERE step < {len(letters)}
         )
         SELECT prefix, step, letter, mask, kept, removed, redundant, unique_fails FROM walk WHERE step > 0
-        """,
-        cells=cells,
+        """
     )
 
 
@@ -120,7 +119,7 @@ def audit(cells: DataFrame, letters: str = LETTERS) -> DataFrame:
 
     An empty table has no parts and gives no rows.
     """
-    steps = filter_steps(cells, letters)
+    steps = cut(filter_steps(cells.sparkSession, letters))  # the levels run once; three branches read them
     n = F.col("n")
     lost = F.col("removed")
     sums = {
