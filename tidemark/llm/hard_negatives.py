@@ -92,7 +92,7 @@ class PackedTree:
     def intervals(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The lowest and the highest inner product of each anchor with anything in each box."""
         up, down = np.maximum(anchors, 0), np.minimum(anchors, 0)
-        return up @ self.lo.T + down @ self.hi.T, up @ self.hi.T + down @ self.lo.T
+        return held(up @ self.lo.T + down @ self.hi.T), held(up @ self.hi.T + down @ self.lo.T)
 
 
 def integers(values: np.ndarray, kind: type) -> np.ndarray:
@@ -101,6 +101,11 @@ def integers(values: np.ndarray, kind: type) -> np.ndarray:
     return np.array([[int(x) for x in row] for row in values.tolist()], dtype=object).reshape(values.shape)
 
 
+def held(scores: np.ndarray) -> np.ndarray:
+    """Scores within the longs; floats are exact, so they are within them anyway."""
+    return np.minimum(np.maximum(scores, LOW), HIGH) if scores.dtype == object else scores
+
+
 def better(found: list[tuple], score, row_id: int, k: int) -> None:
     """Put a candidate among the best ``k``: higher scores first, then smaller ids."""
     entry = (-score, row_id)
@@ -142,7 +147,7 @@ def search(tree: PackedTree, anchor: np.ndarray, anchor_id: int, label: int, low
                     heappush(queue, (-tops[child], child))
             continue
         a, b = tree.spans[node]
-        scores = tree.rows[a:b] @ anchor
+        scores = held(tree.rows[a:b] @ anchor)
         near = np.flatnonzero((scores >= worst) & (scores <= ceiling))
         labels, ids = tree.labels[a:b], tree.ids[a:b]
         for r in near:
@@ -217,7 +222,7 @@ def searcher(k: int, least: tuple[int, int], same: bool):
             else:  # 80 p <= 100 s means s >= ceil(80 p / 100)
                 windows = [(-((-above * p["score"]) // below), p["score"]) for p in known]
             for w, best in enumerate(search(tree, anchors[n], anchor_id, label, low[n], high[n], windows, k, same)):
-                rows += [(anchor_id, None if same else known[w]["id"], other, int(min(max(-s, LOW), HIGH))) for s, other in best]
+                rows += [(anchor_id, None if same else known[w]["id"], other, int(-s)) for s, other in best]
         columns = list(zip(*rows)) or [[]] * 4
         return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["anchor_id", "positive", "other", "score"])
 
@@ -268,7 +273,7 @@ def hard_negatives(vectors: DataFrame, anchor: Column, k: int = 5, window: tuple
 
     Rows with a NULL id, label, vector or component, or a component that is not finite, take no part. Of rows that
     share an id the smallest (by label, then vector) stands. Vectors of different lengths are filled with zeros.
-    Scores beyond a long are cut to its ends in the result. An empty table gives no rows; other columns are ignored.
+    A score beyond a long counts as the end of the longs. An empty table gives no rows; other columns are ignored.
     """
     spark = vectors.sparkSession
     finite = F.forall(F.col(f"`{vector}`"), lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < math.inf))

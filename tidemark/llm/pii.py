@@ -27,6 +27,7 @@ from tidemark.llm.common import map_batches, ship, text_of, without
 
 KINDS = ("email", "ip", "card", "phone")
 CONTEXTS = 1_500  # places of texts, about, that the labelled spans for training are planted into
+TEXTS = 3_000  # labelled training texts made from them
 WIDTH = 80  # characters of a training text
 NEAR, WINDOW, STEP = 40, 128, 64  # characters around a trigger; length and distance of windows
 WORDS = 24  # no kind has more parts than this: 19 digits, or the parts of a spelled-out address
@@ -268,7 +269,7 @@ def train_tagger(docs: DataFrame, text: str = "text", id_column: str = "doc_id")
 
     def learn(table: pa.Table) -> pa.Table:
         contexts = [c for _, c in sorted(zip(table["h"].to_pylist(), table["context"].to_pylist()))]
-        w = tagger.train(*labelled([*contexts, *contexts]), len(KINDS))
+        w = tagger.train(*labelled((contexts * (TEXTS // len(contexts) + 1))[:TEXTS]), len(KINDS))
         return pa.table({"name": list(w), "shape": [list(v.shape) for v in w.values()], "value": [v.ravel().astype(np.float64) for v in w.values()]})
 
     ship(docs.sparkSession)
