@@ -109,7 +109,13 @@ def references(spark, sql):
         ("select 'from lost -- ' as a, 'it''s from here' from kept -- 'join gone", ["KEPT"]),
         ("select * from (select 1 from a) a_very_long_alias_name join b on 1 = 1", ["A", "B"]),
         ("with recent as (select 1 from x), later (n) as materialized (select 2 from recent) select * from sales.recent join later", ["SALES.RECENT", "X"]),
-        ("select extract(year from coalesce(t.d, now())), trim(both ' ' from n), substring(a from 2) from t, u", ["T"]),
+        ("select extract(year from coalesce(t.d, now())), trim(both ' ' from n), substring(a from 2) from t, u", ["T", "U"]),
+        ('select "it\'s" from t1 join t2 on a=\'x\'', ["T1", "T2"]),
+        ("select a from x, y z, (select b, c from q w, r) v, s where a in (select 1 from t, u) group by a, b", ["Q", "R", "S", "T", "U", "X", "Y"]),
+        ("select trim(f(g(x)) from y), overlay(a placing (select m from n) from 2) from (p join q on p.a = q.a), r", ["N", "P", "Q", "R"]),
+        ("merge into w using src s on 1 = 1 when matched then update set a = 1", ["SRC"]),
+        ("select a from b join c using (id), d order by a, e", ["B", "C", "D"]),
+        ("select 'open from x", []),
         ("select * from srv.db.s.t join generate_series(1, 2) g on true join current_date", ["SRV.DB.S.T"]),
         ("create temp table if not exists w.tmp as select * from src; select * from tmp join tmp2", ["SRC", "TMP2"]),
         ("select * from t join T on 1 = 1 /* from c */ where a = 'x' --\n and b in (select c from d)", ["D", "T"]),
@@ -119,6 +125,30 @@ def test_names_in_statements(spark, sql, expected):
     assert references(spark, sql) == expected
 
 
+@pytest.mark.parametrize(
+    "sql, expected",
+    [
+        ("merge into d.w using src s on 1 = 1 when matched then update set a = 1", ["D.W"]),
+        ("insert into t select 1 from u for update; update v set a = (select 1 from x)", ["T", "V"]),
+        ("insert overwrite table a.b.c (d, e) select 1", []),
+        ("select a into n from m", ["N"]),
+    ],
+)
+def test_tables_that_are_written(spark, sql, expected):
+    out = querylog.sql_targets(spark.createDataFrame([(1, sql)], "query_id int, sql_text string")).collect()
+    got = sorted(".".join(filter(None, (r["database_name"], r["schema_name"], r["object_name"]))) for r in out)
+    assert got == (expected or ["A.B.C"])
+
+
+def test_statements_of_a_megabyte(spark):
+    """Long arguments, long lists, deep nesting and many words cost no stack and no more than linear time."""
+    inside = "select trim(" + "x" * 30_000 + " " * 30_000 + "y " * 400_000 + " from z) from t1, t2"
+    listed = "create or replace " + "word " * 100_000 + "select " + ", ".join(f"f(a{k})" for k in range(60_000)) + " from t1, t2"
+    nested = "select " + "(" * 3_000 + "select 1 from t1" + ")" * 3_000 + " from t2"
+    for sql in (inside, listed, nested):
+        assert references(spark, sql) == ["T1", "T2"]
+
+
 def test_signatures_compare_whole_statements(spark):
     long = "select " + "x, " * 100
     history = spark.createDataFrame([(long + "a", 1, T0, "OK")], "statement_text string, statement_id int, start_time timestamp_ntz, execution_status string")

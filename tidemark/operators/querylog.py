@@ -1,7 +1,7 @@
 """Facts about queries: references, key usage, operator profiles, run metrics.
 
-The statement texts are a table column. They are read with expressions inside the plan; no statement
-is parsed. Literals and comments are blanked first, so words inside them are never names.
+The statement texts are a table column. They are read with expressions inside the plan: literals and comments are
+blanked, and one pass over the words and punctuation that are left finds the tables. There is no grammar of statements.
 """
 
 from __future__ import annotations
@@ -13,20 +13,27 @@ from tidemark.functions.documents import json_value
 from tidemark.functions.values import exploded, gib, quoted, whole_percent
 from tidemark.operators.windows import first_per_key
 
-# Whichever begins first wins: a quote inside a comment, or dashes inside a literal, mean nothing.
-LITERAL_OR_COMMENT = r"'[^']*+'|--[^\n]*+|/\*(?s:.*?)\*/"
+# Whichever begins first wins: an apostrophe in a quoted name or a comment, or dashes inside a literal, mean nothing.
+# Every repetition is of one class or possessive, so the matcher never goes back and needs no stack.
+QUOTED = r'"[^"]*+"|`[^`]*+`|\[[^\]]*+\]'
+NOT_CODE = rf"({QUOTED})|'[^']*+'?|--[^\n]*+|/\*(?s:.*?)(?:\*/|\z)"
 PART = r'(?:[\p{L}_][\p{L}\p{N}_$]*+|"[^"]++"|`[^`]++`|\[[^\]]++\])'
-NAME = rf"{PART}(?:\s*\.\s*{PART})*+"
-# FROM between the arguments of a function names no table; the arguments before it may hold one pair of parentheses.
-ARGUMENT_FROM = r"(\b(?:EXTRACT|TRIM|SUBSTRING|OVERLAY)\s*\((?:[^()]|\([^()]*+\))*?)\bFROM\b"
-TABLE_AFTER = rf"\b(?:FROM|JOIN)\s+(?:LATERAL\s+|ONLY\s+)?({NAME})(?!\s*\()"
-TEMPORARY = r"(?:TEMPORARY|TEMP|VOLATILE)"
-TEMP_TABLE = rf"\bCREATE\s+(?:[\p{{L}}]+\s+)*?{TEMPORARY}\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?({NAME})"
+NAME = rf"{PART}(?:\s*+\.\s*+{PART})*+"
+TOKEN = rf"({NAME}|[(),])"
+TEMP_TABLE = rf"\bCREATE\s+(?:(?:OR\s+REPLACE|GLOBAL|LOCAL|MULTISET|SET)\s+)*+(?:TEMPORARY|TEMP|VOLATILE)\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?({NAME})"
 CTE_NAME = rf"(?:\bWITH\s+(?:RECURSIVE\s+)?|,\s*)({PART})\s*(?:\([^()]*+\)\s*)?AS\s*(?:NOT\s+MATERIALIZED\s*|MATERIALIZED\s*)?\("
 SEPARATOR = "\x00"  # between parts; a dot may stand inside quotes
-DERIVED_ALIAS = rf"\)\s+(?:AS\s+)?({PART})"
 CLAUSE_START = r"(?=\b(?:SELECT|FROM|JOIN|WHERE|GROUP\s+BY|ORDER\s+BY|HAVING|LIMIT|UNION)\b)"
 
+# What a token means to the reader; every other word is a name or an alias.
+OPEN, CLOSE, COMMA, FROM, JOIN, FILLER, CLAUSE, ARGUMENTS, INTO, UPDATE, MERGE, USING, FOR = range(1, 14)
+TOKEN_CLASSES = {
+    "(": OPEN, ")": CLOSE, ",": COMMA, "FROM": FROM, "JOIN": JOIN, "INTO": INTO, "OVERWRITE": INTO, "UPDATE": UPDATE, "MERGE": MERGE, "USING": USING, "FOR": FOR,
+    **dict.fromkeys(("LATERAL", "ONLY", "TABLE"), FILLER),
+    **dict.fromkeys(("SELECT", "WITH", "WHERE", "GROUP", "ORDER", "HAVING", "LIMIT", "UNION", "EXCEPT", "INTERSECT", "SET", "VALUES", "QUALIFY", "WINDOW", "WHEN"), CLAUSE),
+    **dict.fromkeys(("EXTRACT", "TRIM", "SUBSTRING", "OVERLAY"), ARGUMENTS),
+}
+
 # Words that are never table names.
 FUNCTION_NAMES = (
     "CURRENT_DATE", "CURRENT_TIME", "CURRENT_TIMESTAMP", "GETDATE", "SYSDATE", "NOW", "DATEADD", "DATEDIFF", "EXTRACT",
@@ -38,9 +45,9 @@ FUNCTION_NAMES = (
 
 
 def without_comments(c: Column | str) -> Column:
-    """A statement without its comments and with empty literals."""
+    """A statement without its comments and literals; quoted names stay."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(c, LITERAL_OR_COMMENT, " '' ")
+    return F.regexp_replace(c, NOT_CODE, "$1 ")
 
 
 def _names(text: Column, pattern: str) -> Column:
@@ -66,22 +73,67 @@ def cte_names(c: Column | str) -> Column:
     return _last_parts(_names(F.upper(without_comments(c)), CTE_NAME))
 
 
-def derived_aliases(c: Column | str) -> Column:
-    """Upper-case aliases of subqueries in parentheses."""
-    return _last_parts(_names(F.upper(without_comments(c)), DERIVED_ALIAS))
-
-
-def sql_references(queries: DataFrame, query_id: str = "query_id", text: str = "sql_text") -> DataFrame:
-    """Distinct (query, database, schema, object) read after FROM or JOIN, in upper case, quoted or not.
+def _tables_of(text: Column) -> Column:
+    """``(read, written)``: the names of tables in an upper-case statement without comments.
 
-    A CTE or temporary table of the statement hides an unqualified name only; table functions and words of
-    the language are no tables. Of names with more than three parts the leading ones are the database.
+    One pass over its tokens. The state holds what the next name would be (1 a table read, 2 a table written), a name whose
+    end is not reached, and a flag for each open parenthesis: 1 between the arguments of a function that has a
+    FROM of its own, 2 in a list of tables. A name to read from that a parenthesis follows is a function.
     """
+    known = F.create_map(*[F.lit(x) for pair in TOKEN_CLASSES.items() for x in pair])
+    tokens = F.transform(
+        F.regexp_extract_all(text, F.lit(TOKEN), F.lit(1)),
+        lambda t: F.struct(F.coalesce(F.try_element_at(known, t), F.lit(0)).alias("c"), t.alias("t")),
+    )
+    none = F.array().cast("array<string>")
+    start = F.struct(F.lit(0).alias("want"), F.lit("").alias("name"), F.lit(0).alias("kind"), F.lit(0).alias("last"), F.lit(False).alias("merge"),
+                     F.array(F.lit(0)).alias("open"), none.alias("read"), none.alias("written"))
+
+    def step(s: Column, token: Column) -> Column:
+        c, top = token["c"], F.element_at(s["open"], -1)
+        ended = (s["name"] != "") & ((c != OPEN) | (s["kind"] == 2))
+        want = (
+            F.when(c == OPEN, F.when((s["want"] == 1) & (s["name"] == ""), 1).otherwise(0))
+            .when(c == COMMA, F.when(top == 2, 1).otherwise(0))
+            .when(c == FROM, F.when(top == 1, 0).otherwise(1))
+            .when(c == JOIN, 1)
+            .when(c == INTO, 2)
+            .when(c == UPDATE, F.when(s["last"] == FOR, 0).otherwise(2))
+            .when(c == USING, F.when(s["merge"], 1).otherwise(0))
+            .when(c == FILLER, s["want"])
+            .otherwise(0)
+        )
+        is_name = (c.isin(0, ARGUMENTS)) & (s["want"] > 0)
+        others = F.slice(s["open"], 1, F.size(s["open"]) - 1)
+        opened = (
+            F.when(c == OPEN, F.array_append(s["open"], F.when(s["last"] == ARGUMENTS, 1).when((s["want"] == 1) & (s["name"] == ""), 2).otherwise(0)))
+            .when((c == CLOSE) & (F.size(s["open"]) > 1), others)
+            .when((c == FROM) & (top == 0) | (c == JOIN) & (top == 0), F.array_append(others, F.lit(2)))
+            .when((c == CLAUSE) & (top == 2), F.array_append(others, F.lit(0)))
+            .otherwise(s["open"])
+        )
+        return F.struct(
+            want.alias("want"),
+            F.when(is_name, token["t"]).otherwise("").alias("name"),
+            s["want"].alias("kind"),
+            c.alias("last"),
+            F.when(c == MERGE, True).when(c == USING, False).otherwise(s["merge"]).alias("merge"),
+            opened.alias("open"),
+            F.when(ended & (s["kind"] == 1), F.array_append(s["read"], s["name"])).otherwise(s["read"]).alias("read"),
+            F.when(ended & (s["kind"] == 2), F.array_append(s["written"], s["name"])).otherwise(s["written"]).alias("written"),
+        )
+
+    # A closing token ends a name at the end of the text.
+    end = F.array(F.struct(F.lit(CLOSE).alias("c"), F.lit(")").alias("t")))
+    return F.aggregate(F.concat(tokens, end), start, step, lambda s: F.struct(s["read"].alias("read"), s["written"].alias("written")))
+
+
+def _references(queries: DataFrame, query_id: str, text: str, side: str) -> DataFrame:
     clean = queries.select(quoted(query_id), F.upper(without_comments(text)).alias("_text"))
-    named = _names(F.regexp_replace("_text", ARGUMENT_FROM, "$1,"), TABLE_AFTER)
-    names = F.array_distinct(F.transform(named, lambda n: F.array_join(_parts(n), SEPARATOR)))
+    found = clean.select(query_id, "_text", _tables_of(F.col("_text")).alias("_found"))
     local = F.concat(*[_last_parts(_names(F.col("_text"), p)) for p in (TEMP_TABLE, CTE_NAME)])
-    parsed = clean.select(query_id, names.alias("_names"), local.alias("_local"))
+    names = F.array_distinct(F.transform(F.col(f"_found.{side}"), lambda n: F.array_join(_parts(n), SEPARATOR)))
+    parsed = found.select(query_id, names.alias("_names"), local.alias("_local"))
     object_name = F.try_element_at("_p", F.lit(-1))
     is_local = (F.size("_p") == 1) & F.coalesce(F.array_contains("_local", object_name), F.lit(False))
     rows = (
@@ -98,6 +150,20 @@ def sql_references(queries: DataFrame, query_id: str = "query_id", text: str = "
     )
 
 
+def sql_references(queries: DataFrame, query_id: str = "query_id", text: str = "sql_text") -> DataFrame:
+    """Distinct (query, database, schema, object) read after FROM, in its comma list, after JOIN, or by MERGE, in upper case, quoted or not.
+
+    A CTE or temporary table of the statement hides an unqualified name only; table functions and words of
+    the language are no tables. Of names with more than three parts the leading ones are the database.
+    """
+    return _references(queries, query_id, text, "read")
+
+
+def sql_targets(queries: DataFrame, query_id: str = "query_id", text: str = "sql_text") -> DataFrame:
+    """Like ``sql_references`` for the tables that INSERT, MERGE, UPDATE or SELECT INTO write to."""
+    return _references(queries, query_id, text, "written")
+
+
 def _words(pieces: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(pieces, lambda p: F.split(p, r"\W+"))))
 

@@ -169,6 +169,58 @@ def l7(t: Tables) -> DataFrame:
     return querylog.sql_references(_statements(t))
 
 
+@query(
+    "l7_comma_list",
+    """SELECT event_id AS query_id, '' AS database_name, 'OPS' AS schema_name, 'LOG_' || upper(event_type) AS object_name FROM events
+       UNION ALL SELECT event_id, '', '', 'USER_' || user_id FROM events UNION ALL SELECT event_id, '', '', 'LAST' FROM events
+       UNION ALL SELECT event_id, '', '', 'INNER_T' FROM events""",
+)
+def l7_comma(t: Tables) -> DataFrame:
+    text = F.concat(F.lit("select f(a, b) from ops.log_"), "event_type", F.lit(" as x, user_"), F.col("user_id").cast("string"),
+                    F.lit(" y, lateral flatten(x.z, y.z), (select i, j from inner_t group by i, j) d, last where x.a in (1, 2) order by a, b"))
+    return querylog.sql_references(t.events.select(F.col("event_id").alias("query_id"), text.alias("sql_text")))
+
+
+@query(
+    "l7_quoted_apostrophe",
+    """SELECT event_id AS query_id, '' AS database_name, '' AS schema_name, 'EVENTS_' || user_id AS object_name FROM events
+       UNION ALL SELECT event_id, '', 'IT''S HERE', 'DAY -- ' || upper(event_type) FROM events""",
+)
+def l7_apostrophe(t: Tables) -> DataFrame:
+    text = F.concat(F.lit('select "it\'s", trim(leading lower(upper(a)) from b) from events_'), F.col("user_id").cast("string"),
+                    F.lit(' e join "it\'s here"."day -- '), "event_type", F.lit("\" d on d.a = 'x from y' where e.b = 'it''s' -- from z"))
+    return querylog.sql_references(t.events.select(F.col("event_id").alias("query_id"), text.alias("sql_text")))
+
+
+@query(
+    "l7_long_statement",
+    """SELECT o_custkey AS query_id, '' AS database_name, '' AS schema_name, 'ORDERS_' || o_orderkey AS object_name FROM orders
+       UNION ALL SELECT DISTINCT o_custkey, '', 'CRM', 'CUSTOMER_' || o_custkey FROM orders""",
+)
+def l7_long(t: Tables) -> DataFrame:
+    """A statement for each customer that lists a subquery for each order and all their clerks."""
+    part = F.concat(F.lit("select trim('"), "o_orderpriority", F.lit("' from (c)) from orders_"), F.col("o_orderkey").cast("string"), F.lit(" where k in (1, 2)"))
+    parts = t.orders.groupBy("o_custkey").agg(F.collect_list(part).alias("parts"), F.collect_list("o_orderpriority").alias("clerks"))
+    text = F.concat(F.lit("select substring("), F.array_join("clerks", ", "), F.lit(" from 2) from crm.customer_"), F.col("o_custkey").cast("string"),
+                    F.lit(" where x in ("), F.array_join("parts", " union all "), F.lit(")"))
+    return querylog.sql_references(parts.select(F.col("o_custkey").alias("query_id"), text.alias("sql_text")))
+
+
+@query(
+    "l7_written_tables",
+    """SELECT event_id AS query_id, '' AS database_name, CASE event_type WHEN 'click' THEN 'DW' ELSE '' END AS schema_name,
+              CASE event_type WHEN 'click' THEN 'FACT_' || user_id WHEN 'view' THEN 'DIM_' || user_id ELSE 'STAGE_' || user_id END AS object_name FROM events""",
+)
+def l7_written(t: Tables) -> DataFrame:
+    user = F.col("user_id").cast("string")
+    text = (
+        F.when(F.col("event_type") == "click", F.concat(F.lit("merge into dw.fact_"), user, F.lit(" f using (select * from src for update) s on f.a = s.a when matched then update set f.b = s.b")))
+        .when(F.col("event_type") == "view", F.concat(F.lit("UPDATE dim_"), user, F.lit(" SET a = 1 FROM other WHERE b = 2")))
+        .otherwise(F.concat(F.lit("insert overwrite table stage_"), user, F.lit(" select a from b join c using (id)")))
+    )
+    return querylog.sql_targets(t.events.select(F.col("event_id").alias("query_id"), text.alias("sql_text")))
+
+
 _USAGE_SQL = """u AS (
   SELECT event_id AS query_id, k AS key,
     CASE WHEN event_type = 'click' THEN k IN ('ID', 'TS', 'USER_ID') ELSE k IN ('USER_ID', 'REGION', 'TS') END AS present,
