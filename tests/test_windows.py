@@ -1,10 +1,13 @@
 """Numbering, filling and deduplication against brute force, with hot keys and many exact copies."""
 
 import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from tests.compare import explained
 from tidemark.operators import aggregates, layout, windows
 
 
@@ -150,3 +153,29 @@ def test_interval_depth_against_all_pairs(spark, seed):
         intervals.append((f"f{i}", lo, lo + rng.choice([0, 0, 1, 5, 30])))
     out = layout.interval_depth(spark.createDataFrame(intervals, "file string, lo int, hi int"))
     assert {r["file"]: (r["n_overlaps"], r["depth"]) for r in out.collect()} == brute_depth(intervals)
+
+
+@pytest.mark.parametrize("partition", [None, ["g"]])
+def test_scans_over_three_levels_of_blocks(spark, monkeypatch, partition):
+    """Blocks of two rows in groups of two, and their groups in groups, against a loop; NULL and repeated keys among them."""
+    monkeypatch.setattr(windows, "COPY_CHUNK", 2)
+    monkeypatch.setattr(windows, "FAN", 2)
+    rows = [(k, [None, "a", "b"][k % 3] if partition else "x", k if k % 7 == 0 and k > 9 else None) for k in range(60)]
+    df = spark.createDataFrame(rows, "k int, g string, v int")
+    filled = {r["k"]: r["v"] for r in windows.forward_fill(df, "v", ["k"], partition, unique=True).collect()}
+    counted = {r["k"]: r["n"] for r in windows.running_count(df, "v", ["k"], "n", partition, unique=True).collect()}
+    last, seen = {}, {}
+    for k, g, v in rows:
+        last[g] = v if v is not None else last.get(g)
+        seen[g] = seen.get(g, 0) + (v is not None)
+        assert (filled[k], counted[k]) == (last[g], seen[g]), k
+
+
+def test_removed_rows_are_found_by_number(spark):
+    """Every row is either kept or removed, copies and NULL keys too; no plan groups or shuffles by all columns."""
+    rows = [(1, "a", 1.0)] * 3 + [(None, "b", 2.0)] * 2 + [(2, None, None), (2, "c", 0.5)]
+    df = spark.createDataFrame(rows, "k int, t string, x double")
+    kept, removed = windows.dedup_by_key(df, ["k"], ["x"])
+    assert Counter(map(tuple, kept.collect())) + Counter(map(tuple, removed.collect())) == Counter(rows)
+    assert sorted((r["k"] or 0, r["x"] or 0) for r in kept.collect()) == [(0, 2.0), (1, 1.0), (2, 0)]
+    assert not re.search(r"hashpartitioning\(k#\d+, t#", explained(removed))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import moment
@@ -16,6 +18,26 @@ from tidemark.operators.joins import lookup
 UNKNOWN_KEY = -1
 
 
+def settle_staged(stg: DataFrame, business_key: list[str], winner: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """One staged row for each business key, and the rows of the keys for which none can be chosen.
+
+    Of the rows of a key the one with the largest ``winner`` columns stays (NULLs are smallest). Where different rows share the
+    largest values, or differ and no ``winner`` is named, all rows of the key are rejected. Equal rows are one.
+    Rows are reduced by partial aggregates to the smallest and the largest row for each key and rank, then
+    for each key, so a key with very many rows does no harm.
+    """
+    keys = [quoted(k) for k in business_key]
+    rank = F.struct(*[quoted(c) for c in winner or []], F.lit(0).alias("_none"))
+    row = F.struct(*[quoted(c) for c in stg.columns])
+    by_rank = stg.groupBy(*keys, rank.alias("_rank")).agg(F.min(row).alias("_low"), F.max(row).alias("_high"))
+    top = by_rank.groupBy(*keys).agg(F.max(F.struct("_rank", "_low", "_high")).alias("_top")).select("_top.*")
+    tie = F.col("_low") != F.col("_high")
+    settled = top.filter(~tie).select("_low.*")
+    torn = top.filter(tie).select("_low.*").select(*[k.alias(f"_key_{n}") for n, k in zip(business_key, keys)])
+    same = [quoted(k).eqNullSafe(quoted(f"_key_{k}")) for k in business_key]
+    return settled, stg.join(torn, same, "left_semi")
+
+
 @dataclass(frozen=True)
 class Lookup:
     """One dimension lookup: ``on`` maps staged columns to dimension columns."""
@@ -36,16 +58,19 @@ def load_fact(
     unmatched: str = "keep",
     as_of: dt.datetime | None = None,
     distinct: bool = False,
+    winner: list[str] | None = None,
 ) -> DataFrame:
     """New fact rows: rows already loaded are dropped first, then the keys are looked up.
 
+    With ``winner`` staged rows that share a business key are settled first (``settle_staged``), so no key loads twice.
+
     ``unmatched`` says what happens to rows without a dimension row: ``keep`` (NULL key), ``drop``,
     or ``unknown`` (key -1). Two current dimension rows for one key are an error: they would double
     facts.
     """
     if unmatched not in ("keep", "drop", "unknown"):
         raise ValueError(f"unknown option {unmatched}")
-    rows = stg
+    rows = stg if winner is None else settle_staged(stg, business_key, winner)[0]
     if fact is not None:
         rows = rows.join(fact.select(*business_key), business_key, "left_anti")
     for item in lookups:
@@ -161,6 +186,61 @@ def range_extract(df: DataFrame, column: str, start: dt.datetime | dt.date, end:
     return df.filter(quoted(column).between(moment(start).cast(kind), moment(end).cast(kind)))
 
 
+EXTRACT_LOG = "table_name string, status string, rows_copied long, watermark timestamp_ntz, path string, error string"
+
+
+def run_extracts(spark: SparkSession, config: DataFrame, read: Callable[[str], DataFrame], out: str, strict: bool = False) -> DataFrame:
+    """Extract every table that ``config`` names, and return what each extract did (``EXTRACT_LOG``).
+
+    ``config`` has (table_name, incremental_column, watermark), or (..., range_start, range_end) for a historical
+    run; its rows are control data, one for each table. ``read`` gives a table by name. The bound of each row
+    is a literal that reaches the scan of its table. Rows and the largest value are observed while the
+    extract is written, so a table is read once. An extract is written to ``out/table_name/from=<bound>`` in place of
+    an earlier try from the same bound, so a repeated run doubles nothing. A table that cannot be read or
+    written is logged as ``Failed`` and the others go on. Nothing here moves a watermark: see ``commit_watermarks``.
+    """
+    log = []
+    historical = "range_start" in config.columns
+    for row in config.collect():
+        name, column = row["table_name"], row["incremental_column"]
+        low = row["range_start"] if historical else row["watermark"]
+        path = f"{out.rstrip('/')}/{name}/from={low:%Y%m%dT%H%M%S%f}"
+        try:
+            source = read(name)
+            rows = range_extract(source, column, low, row["range_end"]) if historical else incremental_extract(source, column, low, strict)
+            seen = Observation()
+            newest = F.max(quoted(column)).cast("timestamp_ntz").alias("newest")
+            rows.observe(seen, F.count(F.lit(1)).alias("rows"), newest).write.mode("overwrite").parquet(path)
+            log.append((name, "Succeeded", seen.get["rows"], seen.get["newest"], path, None))
+        except PySparkException as error:
+            log.append((name, "Failed", 0, None, path, str(error).split("\n")[0][:500]))
+    return spark.createDataFrame(log, EXTRACT_LOG)
+
+
+def commit_watermarks(config: DataFrame, log: DataFrame, store: str) -> DataFrame:
+    """Write the config with the watermarks that the successful extracts of ``log`` reached, as the next version below ``store``.
+
+    A version is a folder of its own and counts when its write is complete, so a failed commit leaves the old
+    watermarks. A failed extract, one without rows, and one with older rows keep theirs.
+    """
+    spark = config.sparkSession
+    done = log.filter("status = 'Succeeded' AND watermark IS NOT NULL").select("table_name", "watermark")
+    try:
+        version = spark.read.parquet(store).agg(F.max("version")).first()[0]
+    except AnalysisException:  # nothing was committed yet
+        version = None
+    path = f"{store.rstrip('/')}/version={(version or 0) + 1}"
+    advance_watermark(config, done).write.parquet(path)
+    return spark.read.schema(config.schema).parquet(path)
+
+
+def committed_config(spark: SparkSession, store: str) -> DataFrame:
+    """The newest config that was committed."""
+    versions = spark.read.parquet(store)
+    newest = versions.agg(F.max("version")).first()[0]
+    return versions.filter(F.col("version") == newest).drop("version")
+
+
 def flatten_people(df: DataFrame, column: str = "body") -> DataFrame:
     """(first, last, email) rows of ``{"response": {"result": [{<any key>: [{...}]}]}}`` documents.
 

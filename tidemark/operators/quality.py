@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.values import any_missing, fill_values, quoted
 from tidemark.operators.projections import normalise_name
-from tidemark.operators.windows import dedup_by_key, repeat_rows
+from tidemark.operators.windows import dedup_by_key, identified
 from tidemark.sources.readers import read_sources
 from tidemark.sources.writers import split_good_bad, tag_good_bad, write_partitioned
 
@@ -120,14 +120,14 @@ def rules_from_control(control: DataFrame, file: str) -> FileRules:
 def judged(df: DataFrame, rules: FileRules) -> DataFrame:
     """Every row with its ``reasons`` to be rejected: missing, type, date, duplicate; no reason is good.
 
-    Of the rows of one key the smallest stays. Copies are counted before the shuffle and a key is reduced to its
-    smallest row by partial minima, so a key with very many rows does no harm. A file with columns that
+    Of the rows of one key the smallest stays. Rows are written with a number each and a key is reduced to its smallest row by
+    partial minima, so a key with very many rows does no harm; rows then learn by their number whether they stayed. Without
+    a key the reasons are a projection. A file with columns that
     its control rows do not name is an error.
     """
     declared = {*rules.types, *rules.formats}
     if unknown := sorted(set(df.columns) - declared):
         raise ValueError(f"columns without control rows: {unknown}")
-    counted = df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
     flags = {
         "missing": any_missing(df),
         "type": _any([quoted(c).isNotNull() & quoted(c).try_cast(t).isNull() for c, t in rules.types.items() if c in df.columns]),
@@ -135,15 +135,13 @@ def judged(df: DataFrame, rules: FileRules) -> DataFrame:
     }
     reasons = F.array_compact(F.array(*[F.when(flag, F.lit(name)) for name, flag in flags.items()]))
     if not rules.keys:
-        return repeat_rows(counted.withColumn("reasons", reasons), "_n")
-    rest = F.struct(*[quoted(c) for c in df.columns])
-    first = counted.groupBy(*[quoted(k).alias(f"_key_{k}") for k in rules.keys]).agg(F.min(rest).alias("_first"))
-    same = [quoted(k).eqNullSafe(quoted(f"_key_{k}")) for k in rules.keys]
-    marked = counted.join(first, same).select(*df.columns, "_n", rest.eqNullSafe(F.col("_first")).alias("_is_first"), reasons.alias("reasons"))
-    rows = repeat_rows(marked, "_n", "_copy")
-    again = ~(F.col("_is_first") & (F.col("_copy") == 1))
-    with_copy = F.when(again, F.array_append("reasons", "duplicate")).otherwise(F.col("reasons"))
-    return rows.select(*df.columns, with_copy.alias("reasons"))
+        return df.withColumn("reasons", reasons)  # no row needs another one
+    rows = identified(df)
+    whole = F.struct(*[quoted(c) for c in df.columns], F.col("_row"))
+    kept = rows.groupBy(*[quoted(k) for k in rules.keys]).agg(F.min(whole).alias("_first")).select(F.col("_first._row").alias("_row"), F.lit(True).alias("_kept"))
+    marked = rows.withColumn("reasons", reasons).join(kept, "_row", "left")
+    with_copy = F.when(F.col("_kept").isNull(), F.array_append("reasons", "duplicate")).otherwise(F.col("reasons"))
+    return marked.select(*df.columns, with_copy.alias("reasons"))
 
 
 def _any(flags: list[Column]) -> Column:

@@ -14,6 +14,7 @@ from tidemark.functions.values import quoted
 from tidemark.session import cut
 
 COPY_CHUNK = 100_000
+FAN, LEVELS = 1_000, 3  # blocks that are scanned together, and how often their totals are grouped again
 _POSITION_BITS = 33
 
 
@@ -62,10 +63,20 @@ def multiset_minus(a: DataFrame, b: DataFrame) -> DataFrame:
     return repeat_rows(left, "_n")
 
 
+def identified(df: DataFrame, name: str = "_row") -> DataFrame:
+    """``df`` written with a number for each row, so that a row keeps its identity in whatever is computed from it."""
+    return cut(df.withColumn(name, F.monotonically_increasing_id()))
+
+
 def dedup_by_key(df: DataFrame, keys: list[str], order: list[str | Column]) -> tuple[DataFrame, DataFrame]:
-    """The first row of each key, and all other rows."""
-    kept = first_per_key(df, keys, order)
-    return kept, multiset_minus(df, kept)
+    """The first row of each key, and all other rows.
+
+    Rows are written with a number each; the removed ones are those whose number was not kept, an anti join
+    on one number. A key is reduced to one row for each task before anything moves.
+    """
+    rows = identified(df)
+    kept = first_per_key(rows, keys, order)
+    return kept.drop("_row"), rows.join(kept.select("_row"), "_row", "left_anti").drop("_row")
 
 
 def distinct_on(df: DataFrame, columns: list[str], order: list[str | Column]) -> DataFrame:
@@ -85,14 +96,14 @@ def number_rows(
 
     The table is sorted by range and written with each row's position in its range, and the sizes of
     the ranges (one row each) give the offsets. ``unique`` says that ``order`` has no ties; otherwise
-    all columns and a copy number break them, so equal rows also spread over ranges.
+    all columns and a written row number break them, so equal rows also spread over ranges.
     """
     partition = partition or []
     columns = df.columns
     if unique:
         total = [*[quoted(p) for p in partition], *_columns(order)]
     else:
-        df = number_copies(df, "_copy")
+        df = identified(df)
         total = [*[quoted(p) for p in partition], *_total(df, partition, order)]
     placed = cut(df.orderBy(*total).withColumn("_pos", F.monotonically_increasing_id()))
     position_mask = F.lit((1 << _POSITION_BITS) - 1)
@@ -118,6 +129,33 @@ def number_rows(
     )
 
 
+def _before(blocks: DataFrame, keys: list[str], value: Column, carry: str, levels: int = LEVELS) -> DataFrame:
+    """``(keys, _block, carry)``: the sum, or for ``carry == "_last"`` the last non-NULL, of ``value`` over all earlier blocks of the keys.
+
+    Blocks are scanned in groups of ``FAN``, their totals again in groups, and so on, so no task scans more than a group
+    except at the top, where a row stands for ``FAN ** levels`` blocks.
+    """
+    by = [quoted(k) for k in keys]
+    last = carry == "_last"
+    rows = blocks.select(*by, "_block", value.alias("_value"))
+
+    def earlier(w) -> Column:
+        w = w.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        return F.last("_value", ignorenulls=True).over(w) if last else F.coalesce(F.sum("_value").over(w), F.lit(0))
+
+    if not levels:
+        return rows.select(*by, "_block", earlier(Window.partitionBy(*by)).alias(carry))
+    rows = rows.withColumn("_group", F.floor(F.col("_block") / FAN))
+    inside = rows.withColumn("_inside", earlier(Window.partitionBy(*by, "_group")))
+    total = F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col("_block"))) if last else F.sum("_value")
+    totals = rows.groupBy(*by, "_group").agg(total.alias("_total")).withColumnRenamed("_group", "_block")
+    above = _before(totals, keys, F.col("_total"), "_last" if last else "_sum", levels - 1)
+    above = above.select(*[quoted(k).alias(f"_up_{k}") for k in keys], F.col("_block").alias("_up_block"), F.col(above.columns[-1]).alias("_above"))
+    same = [F.col("_group") == F.col("_up_block"), *[quoted(k).eqNullSafe(quoted(f"_up_{k}")) for k in keys]]
+    found = F.coalesce("_inside", "_above") if last else F.col("_inside") + F.col("_above")
+    return inside.join(above, same).select(*by, "_block", found.alias(carry))
+
+
 def forward_fill(
     df: DataFrame, column: str, order: list[str], partition: list[str] | None = None, unique: bool = False
 ) -> DataFrame:
@@ -133,15 +171,10 @@ def forward_fill(
     inside = Window.partitionBy(*keys, "_block").orderBy("_no").rowsBetween(Window.unboundedPreceding, 0)
     filled = blocks.withColumn("_in", F.last(column, ignorenulls=True).over(inside))
     lasts = blocks.groupBy(*keys, "_block").agg(
-        F.max_by(quoted(column), F.when(quoted(column).isNotNull(), F.col("_no"))).alias("_last")
-    )
-    # One row per block: table rows / COPY_CHUNK of them.
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = lasts.select(
-        *[quoted(p).alias(f"_key_{p}") for p in partition],
-        F.col("_block").alias("_at_block"),
-        F.last("_last", ignorenulls=True).over(earlier).alias("_carry"),
+        F.max_by(quoted(column), F.when(quoted(column).isNotNull(), F.col("_no"))).alias("_last_in")
     )
+    carried = _before(lasts, partition, F.col("_last_in"), "_last")
+    carried = carried.select(*[quoted(p).alias(f"_key_{p}") for p in partition], F.col("_block").alias("_at_block"), F.col("_last").alias("_carry"))
     same = [F.col("_block") == F.col("_at_block"), *[quoted(p).eqNullSafe(quoted(f"_key_{p}")) for p in partition]]
     value = F.coalesce(F.col("_in"), F.col("_carry"))
     out = [value.alias(c) if c == column else quoted(c) for c in df.columns]
@@ -164,12 +197,8 @@ def running_count(
     inside = Window.partitionBy(*keys, "_block").orderBy("_no").rowsBetween(Window.unboundedPreceding, 0)
     counted = blocks.withColumn("_in", F.count(column).over(inside))
     totals = blocks.groupBy(*keys, "_block").agg(F.count(column).alias("_total"))
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(
-        *[quoted(p).alias(f"_key_{p}") for p in partition],
-        F.col("_block").alias("_at_block"),
-        F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_carry"),
-    )
+    carried = _before(totals, partition, F.col("_total"), "_sum")
+    carried = carried.select(*[quoted(p).alias(f"_key_{p}") for p in partition], F.col("_block").alias("_at_block"), F.col("_sum").alias("_carry"))
     same = [F.col("_block") == F.col("_at_block"), *[quoted(p).eqNullSafe(quoted(f"_key_{p}")) for p in partition]]
     return counted.join(carried, same, "left").select(
         *[quoted(c) for c in df.columns], (F.col("_in") + F.col("_carry")).alias(name)

@@ -17,6 +17,7 @@ from tidemark.operators import facts
 from tidemark.operators.dimensions import History
 from tidemark.operators.windows import number_rows
 from tidemark.plans.registry import Tables, query
+from tidemark.session import scratch
 
 AS_OF = dt.datetime(2024, 6, 1, 12, 0)
 FAR = dt.date(9999, 12, 31)
@@ -489,6 +490,74 @@ def d16_advance(t: Tables) -> DataFrame:
     return facts.advance_watermark(_config(t), observed)
 
 
+def _run_config(t: Tables) -> DataFrame:
+    rows = [
+        ("orders", "o_orderdate", dt.datetime(1998, 1, 1)),
+        ("lineitem", "l_shipdate", dt.datetime(1997, 6, 15)),
+        ("events", "ts", dt.datetime(2030, 1, 1)),
+        ("returns", "r_date", dt.datetime(1999, 1, 1)),  # no such table: its extract fails
+    ]
+    return t.spark.createDataFrame(rows, "table_name string, incremental_column string, watermark timestamp_ntz")
+
+
+@query(
+    "d16_run_from_config",
+    """WITH n AS (SELECT 'orders' AS table_name, COUNT(*) AS rows_copied, MAX(o_orderdate)::TIMESTAMP AS w, TIMESTAMP '1998-01-01' AS old FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'
+       UNION ALL SELECT 'lineitem', COUNT(*), MAX(l_shipdate)::TIMESTAMP, TIMESTAMP '1997-06-15' FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-06-15'
+       UNION ALL SELECT 'events', COUNT(*), MAX(ts)::TIMESTAMP, TIMESTAMP '2030-01-01' FROM events WHERE ts >= TIMESTAMP '2030-01-01')
+       SELECT table_name, 'Succeeded' AS status, rows_copied, COALESCE(w, old) AS watermark FROM n
+       UNION ALL SELECT 'returns', 'Failed', 0, TIMESTAMP '1999-01-01'""",
+)
+def d16_run(t: Tables) -> DataFrame:
+    config, out = _run_config(t), scratch(t.spark, "extracts")
+    log = facts.run_extracts(t.spark, config, lambda name: getattr(t, name), out)
+    facts.commit_watermarks(config, log, f"{out}-config")
+    now = facts.committed_config(t.spark, f"{out}-config").select("table_name", "watermark")
+    return log.select("table_name", "status", "rows_copied").join(now, "table_name").select("table_name", "status", "rows_copied", "watermark")
+
+
+@query(
+    "d16_extracted_rows",
+    """SELECT o_orderkey AS id, o_orderdate::TIMESTAMP AS at FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'""",
+)
+def d16_rows(t: Tables) -> DataFrame:
+    """The rows that the run wrote for one table, read back."""
+    log = facts.run_extracts(t.spark, _run_config(t).filter("table_name = 'orders'"), lambda name: getattr(t, name), scratch(t.spark, "extracts"))
+    rows = t.spark.read.schema(t.orders.schema).parquet(log.first()["path"])
+    return rows.select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("timestamp_ntz").alias("at"))
+
+
+@query(
+    "d17_run_from_config",
+    """SELECT 'orders' AS table_name, COUNT(*) AS rows_copied FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1996-03-01' AND TIMESTAMP '1997-02-28'
+       UNION ALL SELECT 'lineitem', COUNT(*) FROM lineitem WHERE l_shipdate BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1995-12-31'""",
+)
+def d17_run(t: Tables) -> DataFrame:
+    rows = [
+        ("orders", "o_orderdate", dt.datetime(1996, 3, 1), dt.datetime(1997, 2, 28)),
+        ("lineitem", "l_shipdate", dt.datetime(1995, 1, 1), dt.datetime(1995, 12, 31)),
+    ]
+    config = t.spark.createDataFrame(rows, "table_name string, incremental_column string, range_start timestamp_ntz, range_end timestamp_ntz")
+    return facts.run_extracts(t.spark, config, lambda name: getattr(t, name), scratch(t.spark, "extracts")).select("table_name", "rows_copied")
+
+
+_STAGED = "(SELECT o_custkey AS k, o_orderdate AS d, o_orderkey AS id, o_orderstatus AS s FROM orders)"
+
+
+@query(
+    "d14_staged_duplicates",
+    f"""WITH top AS (SELECT *, d = MAX(d) OVER (PARTITION BY k) AS is_top FROM {_STAGED}),
+        n AS (SELECT k, COUNT(*) AS n FROM top WHERE is_top GROUP BY k)
+        SELECT top.k, id, 'loaded' AS verdict FROM top JOIN n USING (k) WHERE is_top AND n = 1
+        UNION ALL SELECT top.k, id, 'rejected' FROM top JOIN n USING (k) WHERE n > 1""",
+)
+def d14_duplicates(t: Tables) -> DataFrame:
+    """Staged orders by customer: the newest loads; where two share the newest day all are rejected."""
+    staged = t.orders.select(F.col("o_custkey").alias("k"), F.col("o_orderdate").alias("d"), F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("s"))
+    settled, rejected = facts.settle_staged(staged, ["k"], ["d"])
+    return settled.select("k", "id", F.lit("loaded").alias("verdict")).unionByName(rejected.select("k", "id", F.lit("rejected").alias("verdict")))
+
+
 @query("d17_range_extract", "SELECT * FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1996-03-01' AND TIMESTAMP '1997-02-28'")
 def d17(t: Tables) -> DataFrame:
     return facts.range_extract(t.orders, "o_orderdate", dt.date(1996, 3, 1), dt.date(1997, 2, 28))
