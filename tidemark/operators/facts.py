@@ -14,6 +14,7 @@ from tidemark.functions.dates import moment
 from tidemark.functions.text import blank_to, one_line, plain_text, text_after, text_before, text_between
 from tidemark.functions.values import exploded, quoted
 from tidemark.operators.joins import lookup
+from tidemark.operators.windows import identified
 
 UNKNOWN_KEY = -1
 
@@ -122,6 +123,27 @@ def journal_status(c: str) -> Column:
     return blank_to(tail.substr(F.lit(2), F.length(tail)))
 
 
+def journal_rows(stg: DataFrame) -> DataFrame:
+    """Staged journal texts with their parts (``_body``, ``_project``, ``_status``), a digest of text and body, and a number for each row.
+
+    ``stg`` has updates, submitted_time, employee_email and view_email; only texts that start with the prefix count.
+    The rows are written once, by column, so whatever needs only the parts, or only the digest, reads no text.
+    """
+    parsed = stg.filter(F.startswith("updates", F.lit(JOURNAL_PREFIX))).select(
+        "*",
+        journal_body("updates").alias("_body"),
+        F.to_date("submitted_time").alias("_date"),
+        journal_project("updates").alias("_project"),
+        journal_status("updates").alias("_status"),
+    )
+    return identified(parsed.select("*", text_digest("_body").alias("_key"), text_digest("updates").alias("_text")))
+
+
+def text_digest(c: Column | str) -> Column:
+    """What stands for a text in joins and comparisons: its 256-bit digest; NULL for NULL."""
+    return F.unhex(F.sha2(F.col(c) if isinstance(c, str) else c, 256))
+
+
 def load_journal_fact(
     stg: DataFrame,
     date_rows: DataFrame,
@@ -130,22 +152,17 @@ def load_journal_fact(
     statuses: DataFrame,
     fact: DataFrame | None = None,
 ) -> DataFrame:
-    """Fact rows from journal texts: each text part is computed once, then looked up.
+    """Fact rows from journal texts (or from ``journal_rows``): each text part is computed once, then looked up.
 
-    ``stg`` has updates, submitted_time, employee_email and view_email. Only texts that start with
-    the prefix count, rows without a dimension row are dropped, and (updates, submitted_time) is
-    the business key.
+    Rows without a dimension row are dropped, and (updates, submitted_time) is the business key; ``fact`` has these
+    two, or ``_key`` in place of the text. Until the last step rows are a number, digests and lookup keys; the texts
+    join the rows that are left once.
     """
-    parsed = stg.filter(F.startswith("updates", F.lit(JOURNAL_PREFIX))).select(
-        journal_body("updates").alias("updates"),
-        "submitted_time",
-        F.col("updates").alias("updates_rich_text"),
-        F.to_date("submitted_time").alias("_date"),
-        journal_project("updates").alias("_project"),
-        journal_status("updates").alias("_status"),
-        "employee_email",
-        "view_email",
-    )
+    rows = stg if "_row" in stg.columns else journal_rows(stg)
+    narrow = rows.select("_row", "_key", "_text", "submitted_time", "_date", "_project", "_status", "employee_email", "view_email")
+    known = None
+    if fact is not None:
+        known = fact.select((F.col("_key") if "_key" in fact.columns else text_digest("updates")).alias("_key"), "submitted_time")
     lookups = [
         Lookup(date_rows, {"_date": "date"}, "date_key", "fk_date"),
         Lookup(projects, {"_project": "project_name"}, "project_id", "fk_project"),
@@ -153,9 +170,11 @@ def load_journal_fact(
         Lookup(people, {"view_email": "email"}, "person_id", "fk_viewer"),
         Lookup(statuses, {"_status": "status_name"}, "status_id", "fk_status"),
     ]
-    return load_fact(
-        parsed, lookups, fact, ["updates", "submitted_time"], ["updates_rich_text"], unmatched="drop", distinct=True
-    )
+    found = load_fact(narrow, lookups, known, ["_key", "submitted_time"], ["_text", "_row"], unmatched="drop")
+    keys = [x.fk for x in lookups]
+    one = found.groupBy("_key", "submitted_time", "_text", *keys).agg(F.min("_row").alias("_row"))
+    texts = rows.select("_row", F.col("_body").alias("updates"), F.col("updates").alias("updates_rich_text"))
+    return one.join(texts, "_row").select("updates", "submitted_time", "updates_rich_text", *keys)
 
 
 def incremental_extract(df: DataFrame, column: str, watermark: dt.datetime | dt.date, strict: bool = False) -> DataFrame:

@@ -448,16 +448,15 @@ _TIME = "TIMESTAMP '2024-03-01 09:00:00' + to_days(CAST(page_id // 40 AS INTEGER
         WHERE NOT (p.url LIKE '%#%')""",
 )
 def d15(t: Tables) -> DataFrame:
-    staged = _journal(t)
-    projects = number_rows(dims.text_dim(staged, facts.journal_project("updates"), "project_name"), ["project_name"], "project_id", unique=True)
-    statuses = number_rows(dims.text_dim(staged, facts.journal_status("updates"), "status_name"), ["status_name"], "status_id", unique=True)
+    staged = facts.journal_rows(_journal(t))
+    projects = number_rows(dims.text_dim(staged, F.col("_project"), "project_name"), ["project_name"], "project_id", unique=True)
+    statuses = number_rows(dims.text_dim(staged, F.col("_status"), "status_name"), ["status_name"], "status_id", unique=True)
     writers = projects.select(
         F.concat(F.trim("project_name"), F.lit(".writer@example.com")).alias("email"), F.col("project_id").alias("person_id")
     )
     readers = staged.select(F.col("view_email").alias("email"), F.ascii(F.substring("view_email", 7, 1)).cast("bigint").alias("person_id")).distinct()
     calendar = dims.date_dim(t.spark, dt.date(2024, 1, 1), 3650)
-    anchored = staged.join(t.pages.filter(F.contains("url", F.lit("#"))), "page_id", "left_semi")
-    loaded = anchored.select(facts.journal_body("updates").alias("updates"), "submitted_time")
+    loaded = staged.join(t.pages.filter(F.contains("url", F.lit("#"))), "page_id", "left_semi").select("_key", "submitted_time")
     return facts.load_journal_fact(staged, calendar, projects, writers.unionByName(readers), statuses, loaded)
 
 

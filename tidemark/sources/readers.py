@@ -65,15 +65,23 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return system.exists(there) and system.getFileStatus(there).isFile()
 
 
-def from_source(spark: SparkSession, path: str) -> Column:
-    """Whether a row's file is the given file or lies in the given folder.
+def _plain_path(path: Column) -> Column:
+    """A file's path without coding, file system and server, from the root on."""
+    return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
 
-    Both are compared as decoded paths on one file system, from the root on.
-    """
-    coded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    at = F.regexp_replace(F.url_decode(coded), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
-    root = _file_system(spark, path)[1].toUri().getPath().rstrip("/")
-    return (at == F.lit(root)) | F.startswith(at, F.lit(root + "/"))
+
+def _source_files(rows: DataFrame, sources: dict[str, str], name: str) -> DataFrame:
+    """``(_path, name)`` of every file of ``rows`` that lies in the folder (or is the file) of a source; of folders in folders
+    the inner one counts. The files are those that Spark has listed for the scan; each climbs its own folders, whatever
+    the number of sources."""
+    spark = rows.sparkSession
+    roots = {_file_system(spark, path)[1].toUri().getPath().rstrip("/"): source for source, path in sources.items()}
+    files = spark.createDataFrame([(f,) for f in rows.inputFiles()], "_file string").select(_plain_path(F.col("_file")).alias("_path"))
+    parts = F.split("_path", "/")
+    parents = F.transform(F.sequence(F.size(parts), F.lit(1)), lambda n: F.struct(n.alias("n"), F.array_join(F.slice(parts, F.lit(1), n), "/").alias("_root")))
+    known = spark.createDataFrame(list(roots.items()), f"_root string, `{name}` string")
+    met = files.select("_path", F.explode(parents).alias("p")).select("_path", "p.*").join(known, "_root")
+    return met.groupBy("_path").agg(F.max_by(name, "n").alias(name))
 
 
 def header_of(spark: SparkSession, path: str, sep: str = ",", quote: str = '"', escape: str = "\\") -> list[str] | None:
@@ -117,12 +125,10 @@ def read_sources(spark: SparkSession, sources: dict[str, str], name: str = "sour
     for columns, members in layouts.items():
         text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         rows = reader.schema(text).option("enforceSchema", False).csv([sources[m] for m in members])
-        tag = F.when(F.lit(False), F.lit(None).cast("string"))
-        # of folders in folders the inner one is the source
-        for member in sorted(members, key=lambda m: -len(sources[m].rstrip("/"))):
-            tag = tag.when(from_source(spark, sources[member]), F.lit(member))
-        lost = F.raise_error(F.concat(F.lit("no source holds "), F.col("_metadata.file_path"))).cast("string")
-        out.append(rows.select("*", tag.otherwise(lost).alias(name)))
+        at = rows.select("*", F.col("_metadata.file_path").alias("_at"), _plain_path(F.col("_metadata.file_path")).alias("_path"))
+        lost = F.raise_error(F.concat(F.lit("no source holds "), F.col("_at"))).cast("string")
+        tagged = at.join(_source_files(rows, {m: sources[m] for m in members}, "_source"), "_path", "left")
+        out.append(tagged.select(*[F.col(f"`{c}`") for c in columns], F.coalesce("_source", lost).alias(name)))
     return out
 
 
