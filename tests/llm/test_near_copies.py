@@ -55,3 +55,29 @@ def test_near_copies_of_odd_rows(odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     assert [r["doc_id"] for r in kept.orderBy("doc_id").collect()] == [None, 1, 2, 3, 4, 7, 8, 9]
     assert near_copies.near_dedup(no_docs).count() == 0
+
+
+def test_columns_of_any_name(docs_of):
+    rows = edited(random.Random(2), 30)
+    clash = docs_of(rows).withColumnRenamed("lang", "__gone").withColumnRenamed("source", "gone")
+    kept = near_copies.near_dedup(clash)
+    groups = brute(rows)
+    assert kept.columns == clash.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, g in groups.items() if i == g)
+
+
+def test_many_near_copies_of_one_text_are_linear(spark, docs_of, monkeypatch):
+    """Copies that only their original links: each is similar to it, few to each other."""
+    rng = random.Random(7)
+    base = prose(rng, 200)
+    rows = []
+    for k in range(400):
+        words = list(base)
+        for place in rng.sample(range(10, 190), 0 if k == 50 else 3):
+            words[place] = f"changed{rng.random()}"
+        rows.append((k, " ".join(words)))
+    asked = []
+    compared = near_copies._compared
+    monkeypatch.setattr(near_copies, "_compared", lambda groups, sets, least: asked.append(groups.distinct().selectExpr("sum(size(left) + size(right))").first()[0] or 0) or compared(groups, sets, least))
+    found = {r["doc_id"]: r["component_id"] for r in near_copies.near_copy_components(docs_of(rows), tile=16).collect()}
+    assert found == brute(rows) and set(found.values()) == {0}
+    assert sum(asked) < 32 * len(rows), asked  # a leader of each band at most, instead of the pairs of tiles of each band

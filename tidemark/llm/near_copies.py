@@ -1,9 +1,14 @@
 """Near copies of whole texts: MinHash bands find candidates, the exact Jaccard similarity decides.
 
 A text is the set of its shingles of five words. Bands are so many that a pair at the threshold is missed about
-three times in a million; a pair that shares a band is checked on its whole sets. Equal sets are one
-set. The members of a band are compared in tiles, and a tile that several bands repeat is compared once. A
-tile returns a spanning forest of its links, and sets that it has linked already are not compared again.
+three times in a million; a pair that shares a band is checked on its whole sets, unless it is linked already by other
+pairs. Equal sets (by 128 bits) are one set.
+
+A band of near copies may hold very many sets, so its pairs are not listed. First every member is compared with a leader of its
+band, the member that shares most bands with others, and then with a second leader from what the first did not reach: work
+in proportion to the members. That links nearly all near copies. Left are members of one band that no link
+connects; only tiles of such members meet each other, never two tiles of one component. Each comparison is a group of two
+short lists of set numbers, and sets are sent once to each group.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches
@@ -25,7 +30,8 @@ WORDS = 5
 SIMILAR = 0.8
 BAND_ROWS = 5
 BANDS = 32  # a pair at 0.8 shares none with a probability of (1 - 0.8 ** 5) ** 32 = 3e-6
-TILE = 128  # sets of a band that are compared at a time, on average at most
+TILE = 128  # sets that are compared with others at a time, on average at most
+TILE_SHINGLES = 1 << 20  # and their shingles, on average at most
 ROWS = 128  # texts that a worker takes at a time
 _SEEDS = np.random.default_rng(23).integers(1, 2**63, BANDS * BAND_ROWS, dtype=np.uint64) | np.uint64(1)
 
@@ -46,8 +52,8 @@ def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def set_hash(shingles: np.ndarray) -> int:
-    return xxhash.xxh64_intdigest(shingles.tobytes())
+def set_hash(shingles: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
 def band_keys(sets: list[np.ndarray]) -> np.ndarray:
@@ -96,7 +102,7 @@ def _chunks(column: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
 
 
 def _banded(source: DataFrame, kind: str) -> DataFrame:
-    """``(__id, whole, keys)`` of each text that has a word: the hash of its set, and its band keys."""
+    """``(__id, whole, size, keys)`` of each text that has a word: hash and size of its set, and its band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
@@ -105,12 +111,13 @@ def _banded(source: DataFrame, kind: str) -> DataFrame:
                 if rows:
                     keys = band_keys([sets[k] for k in rows])
                     ends = pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32))
-                    whole = np.array([set_hash(sets[k]) for k in rows], np.uint64).view(np.int64)
+                    whole = pa.array([set_hash(sets[k]) for k in rows], pa.binary())
+                    size = pa.array([len(sets[k]) for k in rows], pa.int64())
                     ids = batch.column(0).take(pa.array([first + k for k in rows]))
-                    columns = [ids, pa.array(whole), pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))]
-                    yield pa.record_batch(columns, names=["__id", "whole", "keys"])
+                    columns = [ids, whole, size, pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))]
+                    yield pa.record_batch(columns, names=["__id", "whole", "size", "keys"])
 
-    return map_batches(source, run, f"__id {kind}, whole long, keys array<long>")
+    return map_batches(source, run, f"__id {kind}, whole binary, size long, keys array<long>")
 
 
 def _sets(source: DataFrame) -> DataFrame:
@@ -119,67 +126,126 @@ def _sets(source: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
             for _, sets in _chunks(batch.column(0)):
-                whole = np.array([set_hash(s) for s in sets], np.uint64).view(np.int64)
-                yield pa.record_batch({"whole": pa.array(whole), "shingles": pa.array([s.tobytes() for s in sets], pa.binary())})
+                whole = pa.array([set_hash(s) for s in sets], pa.binary())
+                yield pa.record_batch({"whole": whole, "shingles": pa.array([s.tobytes() for s in sets], pa.binary())})
 
-    return map_batches(source, run, "whole long, shingles binary")
+    return map_batches(source, run, "whole binary, shingles binary")
 
 
-def _links(source: DataFrame, distinct: DataFrame, least: float, tile: int) -> DataFrame:
-    """A spanning forest ``(a, b)`` of the links between different sets that share a band."""
-    keyed = distinct.select("whole", F.explode(F.array_distinct("keys")).alias("key"))
-    sizes = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    crowded = keyed.join(sizes, "key").withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
-    crowded = crowded.withColumn("tile", F.pmod(F.xxhash64("whole"), F.col("tiles")).cast("int"))
-    sides = crowded.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    second = F.col("tile") > F.col("other")
-    groups = (
-        sides.groupBy("key", F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two"))
-        .agg(
-            F.sort_array(F.collect_list(F.when(~second, F.col("whole")))).alias("left"),
-            F.sort_array(F.collect_list(F.when(second, F.col("whole")))).alias("right"),
-        )
-        .filter("IF(one = two, size(left) > 1, size(left) > 0 AND size(right) > 0)")
-        .select("left", "right")
-        .distinct()
-    )
-    groups = cut(groups.withColumn("group", F.monotonically_increasing_id()))
-    member = F.explode(F.concat(*[F.transform(s, lambda x, n=n: F.struct(F.lit(n).alias("second"), x.alias("whole"))) for n, s in enumerate(("left", "right"))]))
-    members = groups.select("group", member.alias("m")).select("group", "m.second", "m.whole")
-    wanted = distinct.join(members.select("whole").distinct(), "whole", "left_semi").select(F.col("low").alias("__low"))
-    texts = source.join(wanted.distinct(), F.col("__id").eqNullSafe(F.col("__low")), "left_semi").select("__text")
-    sets = cut(_sets(texts).dropDuplicates(["whole"]))
-    tasks = members.join(sets, "whole").groupBy("group").agg(F.collect_list(F.struct("second", "whole", "shingles")).alias("rows")).select("rows")
+def _compared(groups: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """A spanning forest ``(a, b)`` of the links in each group ``(left, right)`` of set numbers: between the two lists, or within
+    ``left`` where ``right`` is empty."""
+    groups = cut(groups.distinct().withColumn("group", F.monotonically_increasing_id()))
+    member = F.explode(F.concat(*[F.transform(s, lambda x, n=n: F.struct(F.lit(n).alias("second"), x.alias("u"))) for n, s in enumerate(("left", "right"))]))
+    members = groups.select("group", member.alias("m")).select("group", "m.second", "m.u")
+    tasks = members.join(sets, "u").groupBy("group").agg(F.collect_list(F.struct("second", "u", "shingles")).alias("rows")).select("rows")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
             for rows in batch.column(0):
                 inner = rows.values
-                side, whole = inner.field("second").to_numpy(), inner.field("whole").to_numpy()
-                order = np.lexsort([whole, side])
+                side, u = inner.field("second").to_numpy(), inner.field("u").to_numpy()
+                order = np.lexsort([u, side])
                 shingles = inner.field("shingles")
                 sets = [np.frombuffer(shingles[int(k)].as_buffer(), np.uint64) for k in order]
                 split = int((side == 0).sum())
                 label = np.array(linked(sets, split if split < len(sets) else 0, least))
                 moved = np.nonzero(label != np.arange(len(sets)))[0]
                 if len(moved):
-                    whole = whole[order]
-                    yield pa.record_batch({"a": pa.array(whole[moved]), "b": pa.array(whole[label[moved]])})
+                    u = u[order]
+                    yield pa.record_batch({"a": pa.array(u[moved]), "b": pa.array(u[label[moved]])})
 
     return map_batches(tasks, compare, "a long, b long")
 
 
+def _rooted(keyed: DataFrame, links: DataFrame | None) -> DataFrame:
+    """The members of bands that links do not connect yet, each with the component that links give it."""
+    if links is None:
+        found = keyed.withColumn("root", F.col("u"))
+    else:
+        roots = components(links).withColumnRenamed("node", "u")
+        found = keyed.join(roots, "u", "left").withColumn("root", F.coalesce("root", "u"))
+    torn = found.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("two")).filter("one <> two").select("key")
+    return cut(found.join(torn, "key"))
+
+
+def _tiles(size: str, count: str, tile: int) -> Column:
+    """How many tiles so many sets with so many shingles make."""
+    return F.greatest(F.ceil(F.col(count) / tile), F.ceil(F.col(size) / TILE_SHINGLES)).cast("int")
+
+
+def _led(members: DataFrame, skip: DataFrame | None, tile: int) -> tuple[DataFrame, DataFrame]:
+    """Groups of a leader and some members of its band that it is not connected to; and the leaders ``(key, led)``.
+
+    ``skip`` names a component for each band from which no leader comes.
+    """
+    able = members if skip is None else members.join(skip.select("key", F.col("led").alias("past")), "key").filter("root <> past")
+    leaders = cut(able.groupBy("key").agg(F.max(F.struct("shared", "u", "root")).alias("l")).select("key", F.col("l.u").alias("leader"), F.col("l.root").alias("led")))
+    pairs = members.join(leaders, "key").filter("root <> led").select("leader", "u", "size").distinct()
+    counts = pairs.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("sum"))
+    dealt = pairs.join(counts, "leader").withColumn("tile", F.pmod(F.xxhash64("u"), _tiles("sum", "n", tile)))
+    groups = dealt.groupBy("leader", "tile").agg(F.sort_array(F.collect_list("u")).alias("right"))
+    return groups.select(F.array("leader").alias("left"), "right"), leaders
+
+
+def _left_over(members: DataFrame, tile: int) -> DataFrame:
+    """Groups in which all pairs of a band meet whose components differ."""
+    by_root = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("sum"))
+    # A component with tiles of its own keeps them to itself; small ones of a band share tiles.
+    shared = F.when((F.col("n") >= tile) | (F.col("sum") >= TILE_SHINGLES), F.col("root"))
+    bins = by_root.withColumn("own", shared).groupBy("key", "own").agg(F.sum("n").alias("n"), F.sum("sum").alias("sum"))
+    bins = bins.withColumn("bins", _tiles("sum", "n", tile)).select("key", "own", "bins")
+    placed = members.join(by_root.select("key", "root", shared.alias("own")), ["key", "root"])
+    placed = placed.join(bins.withColumnRenamed("key", "k2").withColumnRenamed("own", "o2"), (F.col("key") == F.col("k2")) & F.col("own").eqNullSafe(F.col("o2")))
+    placed = placed.select("key", "u", F.struct("own", F.pmod(F.xxhash64("u"), F.col("bins")).cast("int").alias("bin")).alias("tile"))
+    tiles = bins.select("key", F.col("own").alias("other_own"), F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("other_bin"))
+    sides = placed.join(tiles, "key").filter("tile.own IS NULL OR other_own IS NULL OR tile.own <> other_own")
+    sides = sides.select("key", "u", "tile", F.struct(F.col("other_own").alias("own"), F.col("other_bin").alias("bin")).alias("other"))
+    second = F.col("tile") > F.col("other")
+    one, two = F.when(second, F.col("other")).otherwise(F.col("tile")), F.when(second, F.col("tile")).otherwise(F.col("other"))
+    return (
+        sides.groupBy("key", one.alias("one"), two.alias("two"))
+        .agg(
+            F.sort_array(F.collect_list(F.when(~second, F.col("u")))).alias("left"),
+            F.sort_array(F.collect_list(F.when(second, F.col("u")))).alias("right"),
+        )
+        .filter("IF(one = two, size(left) > 1, size(left) > 0 AND size(right) > 0)")
+        .select("left", "right")
+    )
+
+
+def _links(source: DataFrame, distinct: DataFrame, least: float, tile: int) -> DataFrame:
+    """Links ``(a, b)`` between different sets that connect all similar sets which share a band."""
+    keyed = distinct.select("u", "size", F.explode(F.array_distinct("keys")).alias("key"))
+    sizes = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    crowded = cut(keyed.join(sizes, "key"))
+    sharing = cut(crowded.groupBy("u").agg(F.sum("n").alias("shared")))
+    wanted = distinct.join(sharing, "u", "left_semi")
+    texts = source.join(wanted.select(F.col("low").alias("__low")).distinct(), F.col("__id").eqNullSafe(F.col("__low")), "left_semi").select("__text")
+    sets = cut(_sets(texts).dropDuplicates(["whole"]).join(wanted.select("whole", "u"), "whole").select("u", "shingles"))
+    members = _rooted(crowded.join(sharing, "u").select("key", "u", "size", "shared"), None)
+    groups, leaders = _led(members, None, tile)
+    links = cut(_compared(groups, sets, least))
+    members = _rooted(members.drop("root"), links)
+    groups, _ = _led(members, leaders.join(members.select("u", F.col("root").alias("now")).distinct(), F.col("leader") == F.col("u")).select("key", F.col("now").alias("led")), tile)
+    links = cut(links.unionByName(_compared(groups, sets, least)))
+    members = _rooted(members.drop("root"), links)
+    return links.unionByName(_compared(_left_over(members, tile), sets, least))
+
+
 def near_copy_components(docs: DataFrame, text: str = "text", id_column: str = "doc_id", least: float = SIMILAR, tile: int = TILE) -> DataFrame:
     """``(id, component_id)`` for every text that has a word; ``component_id`` is the smallest id of its group.
 
     Texts whose shingle sets have a Jaccard similarity of ``least`` or more are linked. Texts without a word have
-    no similarity and are left out. NULL ids are passed over as ``component_id`` unless a group has no other.
+    no similarity and are left out, NULL texts too; an empty table gives an empty result. NULL ids are passed over as
+    ``component_id`` unless a group has no other. Other columns are ignored.
     """
     source = docs.select(F.col(f"`{id_column}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("__text"))
     rows = cut(_banded(source, docs.schema[id_column].dataType.simpleString()))
-    distinct = cut(rows.groupBy("whole").agg(F.min("__id").alias("low"), F.first("keys").alias("keys")))
-    roots = components(_links(source, distinct, least, tile)).withColumnRenamed("node", "whole")
-    grouped = cut(distinct.select("whole", "low").join(roots, "whole", "left").withColumn("root", F.coalesce("root", "whole")))
+    distinct = rows.groupBy("whole").agg(F.min("__id").alias("low"), F.first("size").alias("size"), F.first("keys").alias("keys"))
+    distinct = cut(distinct.withColumn("u", F.monotonically_increasing_id()))  # a short number for each set
+    roots = components(_links(source, distinct, least, tile)).withColumnRenamed("node", "u")
+    grouped = cut(distinct.select("whole", "u", "low").join(roots, "u", "left").withColumn("root", F.coalesce("root", "u")))
     lowest = grouped.groupBy("root").agg(F.min("low").alias("component_id"))
     named = grouped.join(lowest, "root").select("whole", "component_id")
     return rows.select("__id", "whole").join(named, "whole").select(F.col("__id").alias(id_column), "component_id")
@@ -188,8 +254,9 @@ def near_copy_components(docs: DataFrame, text: str = "text", id_column: str = "
 def near_dedup(docs: DataFrame, text: str = "text", id_column: str = "doc_id", least: float = SIMILAR) -> DataFrame:
     """``docs`` without the near copies: of each group the row with the smallest id stays.
 
-    Rows with a NULL id, rows that repeat the id that stays, and texts without a word stay.
+    Rows with a NULL id, rows that repeat the id that stays, and texts without a word (NULL ones too) stay. An empty table
+    gives an empty result. Columns may have any name.
     """
     found = near_copy_components(docs, text, id_column, least)
-    copies = found.filter(F.col(f"`{id_column}`") != F.col("component_id")).select(F.col(f"`{id_column}`").alias("__gone"))
-    return docs.join(cut(copies.distinct()), F.col(f"`{id_column}`") == F.col("__gone"), "left_anti")
+    copies = cut(found.filter(F.col(f"`{id_column}`") != F.col("component_id")).select(F.col(f"`{id_column}`").alias("gone")).distinct()).alias("copies")
+    return docs.alias("docs").join(copies, F.col(f"docs.`{id_column}`") == F.col("copies.gone"), "left_anti")
