@@ -105,3 +105,26 @@ def test_odd_rows(odd_docs, no_docs):
     assert all(np.isfinite(r["score"]) and r["score"] <= 0 for r in out)
     assert hmm.hmm_scores(no_docs, F.lit(False)).count() == 0
     assert all(r["n_known"] == 0 for r in hmm.hmm_scores(odd_docs, F.lit(True)).collect())
+
+
+def test_three_texts_keep_their_states_and_layout_does_not_matter(docs_of):
+    """No round counts a part of the texts only: few texts train different states, however the rows are laid out."""
+    texts = ["a b a b c", "x y z x y", "a b x y"]
+    docs = docs_of([(k, t) for k, t in enumerate(texts)])
+    scores = [{r["doc_id"]: r["score"] for r in hmm.hmm_scores(docs.repartition(n), F.lit(False)).collect()} for n in (1, 7)]
+    assert scores[0] == pytest.approx(scores[1], rel=1e-9)
+    models = []
+    run = hmm.baum_welch_round
+    try:
+        hmm.baum_welch_round = lambda *a: models.append(run(*a)) or models[-1]
+        hmm.hmm_scores(docs, F.lit(False)).count()
+    finally:
+        hmm.baum_welch_round = run
+    assert len(models) == hmm.ROUNDS and np.ptp(models[-1].emit, axis=1).max() > 1e-6
+
+
+def test_a_round_without_tokens_changes_nothing(spark, docs_of):
+    vocab = hmm.vocabulary(hmm.word_counts(docs_of([(1, "a b c")]), "text"), 8)
+    model = hmm.initial_model(vocab.base, 2)
+    empty = spark.createDataFrame([], "row long, ids array<int>")
+    assert hmm.baum_welch_round(empty, model, vocab) is model

@@ -29,12 +29,12 @@ from tidemark.session import cut
 HEAD = 65_536
 CLASSES = 256
 STATES = 8
-WARM_ROUNDS, WARM_SHARE = 4, 8  # first rounds over one of eight training texts: a start, not a statistic
-ROUNDS = 3  # rounds over all training texts
+ROUNDS = 4  # each over all training texts
 PULL = 2.0  # pseudo-counts for each symbol, spread like the corpus, in the emissions of each state
 SEGMENT = 256  # tokens of a training segment
 GROUP = 2_048  # segments at a time
 BLOCK = 512  # tokens of a block of a long text
+TOGETHER = 4  # partitions that share a table of counts
 FLUSH = 1 << 20  # distinct words a task holds before it hands its counts on
 ADDED = 0.1
 LEVEL = 1.02  # ratio of the count ranges from which the head is found
@@ -305,8 +305,9 @@ def baum_welch_round(encoded: DataFrame, model: Model, vocab: Vocabulary) -> Mod
         keys = np.concatenate([seen, -1 - np.arange(now.states + 2)])
         yield pa.record_batch([pa.array(keys.astype(np.int32)), *[pa.array(rows[:, k]) for k in range(now.states)]], names=["symbol", *names])
 
-    # few wide tasks: each hands on one table of counts
-    tasks = encoded.select("ids").coalesce(max(1, 2 * context.defaultParallelism))
+    # Each task hands on one table of counts, so a task takes some partitions; tasks still follow the input.
+    parts = len(encoded.inputFiles())
+    tasks = encoded.select("ids").coalesce(max(2 * context.defaultParallelism, parts // TOGETHER, 1))
     counted = map_batches(tasks, run, ", ".join(["symbol int", *[f"{n} double" for n in names]]))
     summed = counted.groupBy("symbol").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
     keys = summed.column(0).to_numpy()
@@ -314,6 +315,8 @@ def baum_welch_round(encoded: DataFrame, model: Model, vocab: Vocabulary) -> Mod
     shared.unpersist()
     emit = np.zeros((size, model.states))
     emit[keys[keys >= 0]] = rows[keys >= 0]
+    if not emit.any():
+        return model  # nothing was counted, nothing is learnt
     special = np.zeros((model.states + 2, model.states))
     special[-1 - keys[keys < 0]] = rows[keys < 0]
     emit = emit + PULL * size * vocab.base[:, None]
@@ -322,14 +325,11 @@ def baum_welch_round(encoded: DataFrame, model: Model, vocab: Vocabulary) -> Mod
     return Model(start / start.sum(), inner / inner.sum(), moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
-def train(encoded: DataFrame, vocab: Vocabulary, states: int = STATES, warm_rounds: int = WARM_ROUNDS, rounds: int = ROUNDS) -> Model:
-    """Baum-Welch over ``encoded (row, ids)``: warm rounds over a fixed share of the texts, then rounds over all."""
+def train(encoded: DataFrame, vocab: Vocabulary, states: int = STATES, rounds: int = ROUNDS) -> Model:
+    """Baum-Welch over ``encoded (row, ids)``: every round counts all texts."""
     model = initial_model(vocab.base, states)
     if encoded.isEmpty():
         return replace(model, emit=np.repeat(vocab.base[:, None], states, axis=1))
-    some = encoded.filter(F.pmod(F.xxhash64("row"), F.lit(WARM_SHARE)) == 0)
-    for _ in range(warm_rounds):
-        model = baum_welch_round(some, model, vocab)
     for _ in range(rounds):
         model = baum_welch_round(encoded, model, vocab)
     return model
