@@ -184,3 +184,18 @@ def test_digest_is_of_the_folded_text(spark, name):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     rows = queries.QUERIES[name](spark, FOLDER).collect()
     assert all(r["text_sha256"] == sha256(folded(texts[r["doc_id"]])).hexdigest() for r in rows)
+
+
+@pytest.mark.parametrize("words", [48, 51, 60])
+def test_every_copied_run_shares_a_paragraph(words):
+    """Without any punctuation, in other surroundings: a run of a window and a paragraph is never missed."""
+    rng = random.Random(words)
+    for _ in range(300):
+        passage = [f"w{rng.randrange(5000)}" for _ in range(words)]
+        texts = [" ".join([f"x{rng.randrange(5000)}" for _ in range(rng.randint(0, 60))] + passage + [f"y{rng.randrange(5000)}" for _ in range(rng.randint(0, 60))]) for _ in range(2)]
+        found = []
+        for text in texts:
+            hashes, begins, offsets = passages.word_hashes([text])
+            starts = passages.paragraph_starts(hashes, begins, offsets)
+            found.append({tuple(hashes[s : s + passages.LENGTH].tolist()) for s in starts})
+        assert found[0] & found[1]

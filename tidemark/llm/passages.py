@@ -2,8 +2,9 @@
 
 A passage that was copied into a text keeps its sentences, not its place in a line. So the paragraphs that are
 compared roll: in each window of ``WINDOW`` words one of ``LENGTH`` words begins, at the sentence start, or at
-another place that the words there mark, with the smallest hash. So a copied run of words that holds a full
-window and a paragraph after it gives the same paragraphs in both texts.
+another place that the words there mark, with the smallest hash; where a window has no such place, at the place
+with the smallest hash. So every copied run of words that holds a full window and a paragraph after it (``WINDOW + LENGTH``
+words, 48) gives the same paragraph in both texts.
 
 The first pass counts only band keys. Keys that occur twice or more are entered in a bit table of fixed
 size, and the second pass hands on only the paragraphs that have such a key: what is unique never leaves its task.
@@ -34,7 +35,7 @@ SIMILAR = 0.8
 RECALL = 0.98  # share of pairs at the similarity that some band must join
 BAND_ROWS = 2
 LEAST = LENGTH  # words of a span that is reported
-ANCHOR = 12  # besides sentence starts, one pair of words in so many may begin a paragraph
+ANCHOR = 12  # besides sentence starts, one pair of words in so many is preferred as the beginning of a paragraph
 BITS = 27  # the bit table has 2 ** BITS bits: 16 MB
 PAGE = 32_768
 ROWS = 256  # texts that a worker takes at a time
@@ -42,6 +43,7 @@ PAIRS = 1 << 12  # pairs that are compared at a time
 TILE = 256  # different paragraphs of a band that are compared at a time
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64(2**64 - 1)
+_UNMARKED = np.uint64(2**63)  # added to the order of a place that comes after all marked ones
 
 
 def tune_bands(similar: float = SIMILAR, recall: float = RECALL, rows: int = BAND_ROWS) -> int:
@@ -99,8 +101,9 @@ def paragraph_starts(hashes: np.ndarray, begins: np.ndarray, offsets: np.ndarray
     place = np.arange(len(hashes)) - np.repeat(offsets[:-1], size)
     last = np.repeat(size - LENGTH, size)  # the last place of the text that holds a paragraph
     pairs = _mixed(hashes + np.append(hashes[1:], np.uint64(0)) * _ODD)
-    free = (place <= last) & (begins | (pairs % np.uint64(ANCHOR) == 0))
-    order = np.where(free, (pairs >> np.uint64(1)) + np.uint64(1), _LAST)
+    marked = begins | (pairs % np.uint64(ANCHOR) == 0)
+    free = place <= last
+    order = np.where(free, (pairs >> np.uint64(2)) + np.uint64(1) + np.where(marked, np.uint64(0), _UNMARKED), _LAST)
     lowest = _sliding(np.minimum, np.append(order, np.full(WINDOW - 1, _LAST)), WINDOW)
     lowest[place > np.maximum(0, last - WINDOW + 1)] = 0  # not a full window
     around = _sliding(np.maximum, np.append(np.zeros(WINDOW - 1, np.uint64), lowest), WINDOW)
