@@ -101,3 +101,10 @@ def test_mixing_odd_rows(odd_docs, no_docs):
     ordered = mixing.mixed_order(clash)
     assert ordered.columns == clash.columns and ordered.count() == 10
     assert mixing.mix(no_docs).count() == 0 and mixing.mixed_order(no_docs).count() == 0
+
+
+def test_shards_of_text_ids(docs_of):
+    docs = docs_of([(k, f"text {k % 50}") for k in range(200)]).withColumn("doc_id", F.concat(F.lit("doc-"), "doc_id"))
+    rows = histogram_shards(docs).collect()
+    assert len({r["doc_id"] for r in rows}) == 200
+    check_shards(rows)

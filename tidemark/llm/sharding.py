@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import text_of, unsigned_hex, without
 from tidemark.session import cut
@@ -71,14 +72,16 @@ def histogram_shards(
     """One row per row of ``docs``: ``(id, size, text_crc32, law, shard, slot, grown_shard)``.
 
     ``size`` is the UTF-8 length of the text plus one; NULL text has none. Shard sizes differ by at most
-    the tolerance or one row. ``slot`` counts the rows of a shard from 0 in key order. NULL ids come first
-    among equal texts; repeated rows get slots of their own. An empty table gives an empty result; with
+    the tolerance or one row. ``slot`` counts the rows of a shard from 0 in key order. Ids that are no whole
+    numbers are ordered by their hash; NULL ids come first among equal texts; repeated rows get slots of their own. An empty table gives an empty result; with
     few rows some shards stay empty.
     """
-    body = text_of(text)
+    body, doc = text_of(text), F.col(f"`{id_column}`")
+    whole = isinstance(docs.schema[id_column].dataType, T.IntegralType)
+    number = doc.cast("bigint") if whole else F.when(doc.isNotNull(), F.xxhash64(doc.cast("string")))
     key = F.concat(
         unsigned_hex(F.xxhash64(body)),
-        F.coalesce(unsigned_hex(F.col(f"`{id_column}`").cast("bigint")), F.lit("0" * 16)),
+        F.coalesce(unsigned_hex(number), F.lit("0" * 16)),
         unsigned_hex(F.monotonically_increasing_id()),
     )
     keyed = cut(
