@@ -1,6 +1,7 @@
 """Versioned tables, load logs, lineage, query texts, quality checks and marts."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,6 +64,26 @@ def test_delete_keeps_rows_with_a_null_condition(spark):
     assert versioned.delete_where(df).count() == 0
 
 
+def test_shared_walks_match_a_walk_for_each_root(spark):
+    """Random graphs with cycles through roots, roots with equal views below them, tables, and unknown roots."""
+    rng = random.Random(4)
+    names = [f"n{k}" for k in range(14)]
+    edges = {(rng.choice(names), rng.choice(names), rng.choice(["VIEW", "VIEW", "TABLE"])) for _ in range(30)}
+    edges |= {(f"r{k}", child, "VIEW") for k in range(12) for child in (names[:2] if k % 3 else names[2:3])} | {(names[0], "r1", "VIEW"), ("r3", "n1", "TABLE")}
+    roots = [f"r{k}" for k in range(12)] + names[:5] + ["absent"]
+    want = set()
+    for root in roots:
+        level, seen, step = 0, {root: 0}, [root]
+        while step:
+            level += 1
+            step = sorted({o for p, o, kind in edges if p in step and kind == "VIEW"} - seen.keys())
+            seen |= dict.fromkeys(step, level)
+        want |= {(root, p, o, kind, seen[p]) for p, o, kind in edges if p in seen}
+    df = spark.createDataFrame(sorted(edges), "parent string, object string, object_type string")
+    out = lineage.lineage(df, spark.createDataFrame([(r,) for r in [*roots, "r0"]], "root string")).drop("label").collect()
+    assert sorted(map(tuple, out)) == sorted(want)
+
+
 def test_closure_ends_on_cycles_and_is_deep(spark):
     chain = [(f"v{i}", f"v{i + 1}", "VIEW") for i in range(20)] + [("v20", "v3", "VIEW"), ("v20", "t", "TABLE"), ("x", "v20", "VIEW")]
     edges = spark.createDataFrame(chain + chain[:2], "parent string, object string, object_type string")

@@ -23,30 +23,45 @@ NO_PARTITION_KEY = "No partition key specified"
 CUT_EVERY = 16
 
 
+def _classes(roots: DataFrame, views: DataFrame) -> DataFrame:
+    """``(root, c1, c2, c3)``: roots with the same set of views below them share 192 bits of fingerprint."""
+    below = roots.join(views, F.col("root") == F.col("object")).select("root", "next").distinct()
+    marks = [F.bit_xor(F.xxhash64(F.lit(n), "next")).alias(f"c{n}") for n in (1, 2, 3)]
+    return below.groupBy("root").agg(*marks)
+
+
 def lineage(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Everything reachable from each root: (root, parent, object, object_type, level, label).
 
-    ``edges`` has (parent, object, object_type), ``roots`` has (root). All roots advance together, one
-    join, one grouping and one written table of the new pairs per level. An object is expanded once per
-    root, so cycles end; its level is its smallest depth. Only views are expanded.
+    ``edges`` has (parent, object, object_type), ``roots`` has (root). An object is expanded once per root, so
+    cycles end; its level is its smallest depth. Only views are expanded.
+
+    Roots that have the same views below them reach the same objects, so one walk serves all of them; they
+    differ in themselves only, at level 0. All walks advance together. A level joins only what the level before it found, and
+    leaves out what was visited; it writes one table of new pairs.
     """
     links = cut(edges.select("parent", "object", "object_type").distinct())
     views = links.filter("object_type = 'VIEW'").select(F.col("parent").alias("object"), F.col("object").alias("next"))
-    frontier = cut(roots.select("root", F.col("root").alias("object"), F.lit(0).alias("level")).distinct())
+    starts = roots.select("root").distinct()
+    classes = cut(_classes(starts, views))
+    key = ["c1", "c2", "c3"]
+    one = classes.groupBy(*key).agg(F.min("root").alias("root"))
+    walk = one.join(views, F.col("root") == F.col("object")).select(*key, F.col("next").alias("object"), F.lit(1).alias("level"))
+    frontier = cut(walk.distinct())
     visited = frontier
-    for level in count(1):
-        step = frontier.select("root", "object").join(views, "object").select("root", F.col("next").alias("object"))
-        reached = visited.unionByName(step.withColumn("level", F.lit(level)))
-        first = reached.groupBy("root", "object").agg(F.min("level").alias("level"))
-        frontier = cut(first.filter(F.col("level") == level))
+    for level in count(2):
+        step = frontier.join(views, "object").select(*key, F.col("next").alias("object")).distinct()
+        frontier = cut(step.join(visited.select(*key, "object"), [*key, "object"], "left_anti").withColumn("level", F.lit(level)))
         if frontier.isEmpty():
             break
         visited = visited.unionByName(frontier)
         if level % CUT_EVERY == 0:
             visited = cut(visited)
     label = F.when(F.col("level") == 0, DIRECT).otherwise(F.concat(F.lit("NESTED-"), F.col("level").cast("string")))
-    parents = visited.withColumnRenamed("object", "parent")
-    return parents.join(links, "parent").select("root", "parent", "object", "object_type", "level", label.alias("label"))
+    found = visited.withColumnRenamed("object", "parent").join(links, "parent")
+    nested = found.join(classes, key).filter("parent <> root").select("root", "parent", "object", "object_type", "level")
+    direct = starts.join(links, F.col("root") == F.col("parent")).select("root", "parent", "object", "object_type", F.lit(0).alias("level"))
+    return direct.unionByName(nested).withColumn("label", label)
 
 
 def lineage_summary(found: DataFrame, excluded: list[str] | None = None, schema_of: Column | None = None) -> DataFrame:
