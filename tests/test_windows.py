@@ -179,3 +179,13 @@ def test_removed_rows_are_found_by_number(spark):
     assert Counter(map(tuple, kept.collect())) + Counter(map(tuple, removed.collect())) == Counter(rows)
     assert sorted((r["k"] or 0, r["x"] or 0) for r in kept.collect()) == [(0, 2.0), (1, 1.0), (2, 0)]
     assert not re.search(r"hashpartitioning\(k#\d+, t#", explained(removed))
+
+
+def test_buckets_by_binary_search(spark):
+    """Against counting, for every number of bounds up to a few bits, with NULL, NaN and equal values."""
+    values = [None, float("nan"), -1.0, 0.0, 0.5, 1.0, 2.0, 6.5, 7.0, 99.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for n in (0, 1, 2, 3, 4, 7, 8):
+        bounds = [float(k) for k in range(n)]
+        got = [r["b"] for r in df.select(layout._bucket(F.col("x"), bounds).alias("b")).collect()]
+        assert got == [0 if v is None else n if v != v else sum(b <= v for b in bounds) for v in values], n

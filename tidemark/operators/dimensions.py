@@ -273,10 +273,20 @@ def _roles_of_type(control: DataFrame, table: str, kind: str) -> Roles:
 
 
 def _scd1_by_roles(dim: DataFrame, stg: DataFrame, roles: Roles) -> DataFrame:
-    merged = scd1(dim, staged_for(stg, roles), roles.keys)
+    staged = staged_for(stg, roles)
+    merged = scd1(dim, staged, roles.keys)
     if not roles.surrogate:
         return merged
-    return fill_surrogates(cut(merged), roles.surrogate, roles.keys, next_key(dim, roles.surrogate))
+    # Only the narrow keys of rows without a number are sorted: new ones, and old ones that never had one.
+    keys = [quoted(k) for k in roles.keys]
+    new = staged.select(*keys).dropna().distinct().join(dim.select(*keys), roles.keys, "left_anti")
+    fresh = new.unionByName(dim.filter(quoted(roles.surrogate).isNull()).select(*keys))
+    numbers = assign_keys(fresh, roles.keys, "_number", next_key(dim, roles.surrogate))
+    numbers = numbers.select(*[quoted(k).alias(f"_key_{k}") for k in roles.keys], "_number")
+    same = [quoted(k).eqNullSafe(quoted(f"_key_{k}")) for k in roles.keys] + [quoted(roles.surrogate).isNull()]
+    kind = dim.schema[roles.surrogate].dataType
+    number = F.coalesce(quoted(roles.surrogate), F.col("_number").cast(kind)).alias(roles.surrogate)
+    return merged.join(numbers, same, "left").select(*[number if c == roles.surrogate else quoted(c) for c in merged.columns])
 
 
 def scd2_from_control(

@@ -21,15 +21,21 @@ def compact(spark: SparkSession, path: str, out: str, target_mb: int = 128, fmt:
 
 
 def _bucket(c: Column, bounds: list[float]) -> Column:
-    """How many of the sorted bounds are at or below the value: a balanced tree of comparisons."""
+    """How many of the sorted bounds are at or below the value: a binary search in one literal array.
 
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(c >= F.lit(bounds[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
+    The expression does not grow with the bounds. NULL is in bucket 0.
+    """
+    n = len(bounds)
+    if not n:
+        return F.lit(0)
+    listed = F.lit([float(b) for b in bounds])
+    halves = F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))])
+
+    def further(at: Column, step: Column) -> Column:
+        reached = F.element_at(listed, F.least(at + step, F.lit(n)))
+        return F.when((at + step <= n) & (c >= reached), at + step).otherwise(at)
 
-    return F.coalesce(search(0, len(bounds)), F.lit(0))
+    return F.aggregate(halves, F.lit(0), further)
 
 
 def quantile_bounds(df: DataFrame, columns: list[str], bits: int) -> dict[str, list[float]]:
