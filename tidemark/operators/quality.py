@@ -55,6 +55,86 @@ def compare_types(df: DataFrame, meta: DataFrame, file: str) -> DataFrame:
     return joined.filter("data_type <> expected").select("column_name", F.col("data_type").alias("actual"), "expected")
 
 
+#: A field of a header line: quoted, with doubled quotes inside, or bare. Possessive, so no line needs a stack.
+FIELD = r'(?:^|{sep})(?:"((?:[^"]|"")*+)"|([^{sep}]*+))'
+#: Narrowest first: the type of a column is the first that all its values can take.
+GUESSED = ("int", "bigint", "double", "boolean", "date", "timestamp")
+
+
+def header_rows(spark: SparkSession, path: str | list[str], source: Column | None = None, sep: str = ",") -> DataFrame:
+    """``(source, file, position, column_name)``: the first line of every CSV file below ``path`` as rows, from one scan.
+
+    ``source`` names what control rows call a file (default: its name). Names are normalised; an empty file has no rows.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    at = F.col("_metadata.file_path")
+    begins = lines.filter(F.col("_metadata.file_block_start") == 0).select(at.alias("file"), "value", F.monotonically_increasing_id().alias("_no"))
+    first = begins.groupBy("file").agg(F.min_by("value", "_no").alias("_line"))
+    pattern = F.lit(FIELD.format(sep="\\" + sep if sep in "|.^$*+?()[]{}" else sep))
+    text = F.regexp_replace("_line", "^\ufeff", "")
+    quoted_part, bare = (F.regexp_extract_all(text, pattern, F.lit(k)) for k in (1, 2))
+    names = F.zip_with(quoted_part, bare, lambda a, b: F.concat(F.replace(a, F.lit('""'), F.lit('"')), b))
+    listed = first.select("file", F.posexplode(names).alias("position", "_name"))
+    name = source if source is not None else F.element_at(F.split("file", "/"), -1)
+    return listed.select(name.alias("source"), "file", "position", _normal("_name").alias("column_name"))
+
+
+def compare_headers(headers: DataFrame, control: DataFrame, mode: str = "exact") -> DataFrame:
+    """``(source, file, column_name, status)`` for all files at once: ``ok``, ``extra``, ``missing`` or ``repeated``.
+
+    ``control`` has (file_name, file_column). Mode ``no_extra`` accepts missing columns. A file that no control row names has
+    only extra columns.
+    """
+    if mode not in ("exact", "no_extra"):
+        raise ValueError(f"unknown mode {mode}")
+    declared = control.select(F.trim("file_name").alias("source"), _normal("file_column").alias("column_name")).distinct()
+    actual = headers.groupBy("source", "file", "column_name").agg(F.count(F.lit(1)).alias("_n"))
+    wanted = headers.select("source", "file").distinct().join(declared, "source").withColumn("_declared", F.lit(True))
+    joined = actual.join(wanted, ["source", "file", "column_name"], "full")
+    status = F.when(F.col("_n").isNull(), "missing").when(F.col("_declared").isNull(), "extra").when(F.col("_n") > 1, "repeated").otherwise("ok")
+    out = joined.select("source", "file", "column_name", status.alias("status"))
+    return out.filter("status <> 'missing'") if mode == "no_extra" else out
+
+
+def files_to_load(compared: DataFrame) -> DataFrame:
+    """``(source, file, loads)``: only a file whose columns are all ``ok`` loads; the others are stopped before they are read."""
+    return compared.groupBy("source", "file").agg(F.every(F.col("status") == "ok").alias("loads"))
+
+
+def column_types(spark: SparkSession, headers: DataFrame, path: str | list[str], **options: str) -> DataFrame:
+    """``(source, file, column_name, data_type)``: the narrowest type that all values of a column in a file can take, from one scan
+    of all files, whatever their headers. A column without a value is ``void``, one that nothing else fits ``string``."""
+    width = (headers.agg(F.max("position")).first()[0] or 0) + 1
+    names = [f"c{k}" for k in range(width)]
+    schema = ", ".join(f"{n} string" for n in names)
+    rows = spark.read.options(**options).option("header", True).option("recursiveFileLookup", True).schema(schema).csv(path)
+    fits = [F.every(F.coalesce(quoted(n).try_cast(t).isNotNull() | quoted(n).isNull(), F.lit(True))).alias(f"{n}_{t}") for n in names for t in GUESSED]
+    seen = [F.count(quoted(n)).alias(f"{n}_n") for n in names]
+    judged_files = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(*fits, *seen)
+
+    def guess(n: str) -> Column:
+        found = F.when(F.col(f"{n}_n") == 0, "void")
+        for t in GUESSED:
+            found = found.when(F.col(f"{n}_{t}"), t)
+        return found.otherwise("string")
+
+    listed = judged_files.select("file", F.posexplode(F.array(*[guess(n) for n in names])).alias("position", "data_type"))
+    return headers.join(listed, ["file", "position"], "left").select("source", "file", "column_name", F.coalesce("data_type", F.lit("void")).alias("data_type"))
+
+
+def compare_file_types(types: DataFrame, control: DataFrame) -> DataFrame:
+    """``(source, file, column_name, actual, expected)`` where a column of a file does not fit its declared type.
+
+    ``control`` has (file_name, file_column, target_type). A narrower number, a date for a timestamp, and a column without
+    values fit.
+    """
+    declared = control.select(F.trim("file_name").alias("source"), _normal("file_column").alias("column_name"), F.lower(F.trim("target_type")).alias("expected")).distinct()
+    wider = {"int": ["bigint", "double"], "bigint": ["double"], "date": ["timestamp"]}
+    narrower = _any([(F.col("data_type") == t) & F.col("expected").isin(more) for t, more in wider.items()])
+    fits = (F.col("data_type") == F.col("expected")) | narrower | (F.col("data_type") == "void") | (F.col("expected") == "string")
+    return types.join(declared, ["source", "column_name"]).filter(~fits).select("source", "file", "column_name", F.col("data_type").alias("actual"), "expected")
+
+
 def split_nulls(df: DataFrame, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows without a missing value, and rows with at least one."""
     return split_good_bad(df, ~any_missing(df, columns))

@@ -53,6 +53,49 @@ def q2(t: Tables) -> DataFrame:
     return quality.compare_types(t.customer, _meta(t), "customers.csv")
 
 
+def _header_files(t: Tables) -> tuple[str, DataFrame, DataFrame]:
+    """Three CSV folders, one of them with a column too many and one without a declared column; their control rows; their headers."""
+    out = scratch(t.spark, "headers")
+    t.customer.select("c_custkey", "c_name", F.col("c_nationkey").alias("C NationKey")).repartition(3).write.option("header", True).csv(f"{out}/customers.csv")
+    t.nation.select("n_nationkey", "n_name", "n_regionkey").write.option("header", True).csv(f"{out}/nations.csv")
+    t.orders.select("o_orderkey", F.col("o_totalprice").alias('total, "gross"'), "o_orderdate").write.option("header", True).option("escape", '"').csv(f"{out}/orders.csv")
+    rows = [
+        ("customers.csv ", "c_custkey", "bigint"), ("customers.csv", "C_Name", "string"), ("customers.csv", "c_nationkey", "int"),
+        ("nations.csv", "n_nationkey", "int"), ("nations.csv", "n_name", "int"),
+        ("orders.csv", "o_orderkey", "int"), ("orders.csv", 'total,"gross"', "int"), ("orders.csv", "o_orderdate", "timestamp"), ("orders.csv", "o_status", "string"),
+    ]
+    control = t.spark.createDataFrame(rows, "file_name string, file_column string, target_type string")
+    return out, control, quality.header_rows(t.spark, out, F.element_at(F.split("file", "/"), -2))
+
+
+_HEADER_STATUS = """SELECT * FROM (VALUES ('customers.csv', 'c_custkey', 'ok'), ('customers.csv', 'c_name', 'ok'), ('customers.csv', 'cnationkey', 'extra'),
+  ('customers.csv', 'c_nationkey', 'missing'), ('nations.csv', 'n_nationkey', 'ok'), ('nations.csv', 'n_name', 'ok'), ('nations.csv', 'n_regionkey', 'extra'),
+  ('orders.csv', 'o_orderkey', 'ok'), ('orders.csv', 'total,"gross"', 'ok'), ('orders.csv', 'o_orderdate', 'ok'), ('orders.csv', 'o_status', 'missing')) v(source, column_name, status)"""
+
+
+@query("q1_header_rows", f"{_HEADER_STATUS} WHERE (SELECT COUNT(*) FROM customer) > 0")
+def q1_headers(t: Tables) -> DataFrame:
+    _, control, headers = _header_files(t)
+    return quality.compare_headers(headers, control).select("source", "column_name", "status").distinct()
+
+
+@query("q1_files_to_load", "SELECT 'customers.csv' AS source, false AS loads UNION ALL SELECT 'nations.csv', false UNION ALL SELECT 'orders.csv', true WHERE (SELECT COUNT(*) FROM orders) > 0")
+def q1_gate(t: Tables) -> DataFrame:
+    _, control, headers = _header_files(t)
+    return quality.files_to_load(quality.compare_headers(headers, control, "no_extra")).select("source", "loads").distinct()
+
+
+@query(
+    "q2_types_of_files",
+    """SELECT 'nations.csv' AS source, 'n_name' AS column_name, 'string' AS actual, 'int' AS expected UNION ALL
+       SELECT 'orders.csv', 'total,"gross"', CASE WHEN bool_and(o_totalprice = floor(o_totalprice)) THEN 'int' ELSE 'double' END, 'int' FROM orders""",
+)
+def q2_files(t: Tables) -> DataFrame:
+    path, control, headers = _header_files(t)
+    types = quality.column_types(t.spark, headers, path)
+    return quality.compare_file_types(types, control).select("source", "column_name", "actual", "expected").distinct()
+
+
 def _gaps(t: Tables) -> DataFrame:
     return t.events.select(
         "event_id",
