@@ -58,9 +58,11 @@ class PackedTree:
         depth = max(1, math.ceil(math.log2(max(2, len(ids) / leaf))))
         spread = matrix.std(axis=0) if matrix.shape[1] else np.zeros(0)
         widest = [int(c) for c in np.argsort(-spread, kind="stable")[:depth]]
-        sides = np.column_stack([labels.astype(np.float64), matrix[:, widest]])
-        first = [0] if len(ids) and labels.min() < labels.max() else []
-        leaves = tiles(sides, np.arange(len(ids)), first + list(range(1, 1 + len(widest))), leaf)
+        # Labels come first, a slab for each if there are leaves enough; each slab is tiled by the coordinates.
+        by_label = np.argsort(labels, kind="stable")
+        slabs = max(1, min(math.ceil(len(ids) / leaf), len(np.unique(labels))))
+        length = max(1, math.ceil(len(ids) / slabs))
+        leaves = [t for k in range(0, len(ids), length) for t in tiles(matrix, by_label[k : k + length], widest, leaf)]
         order = np.concatenate(leaves)
         self.ids, self.labels, self.matrix = ids[order], labels[order], matrix[order]
         ends = np.cumsum([len(t) for t in leaves])
