@@ -3,9 +3,9 @@
 Base spans are read by the four forms of ``KINDS``. A bidirectional LSTM with CRF transitions
 (``tagger.py``), trained from labelled spans, finds other spellings, and data that the base forms lose because
 a neighbouring number runs into it. It reads overlapping windows around every trigger: a digit, an ``@`` or a
-spelled-out one. Without a trigger there is nothing that ``accepted`` could take, so no other place needs a
-window. The spans of all windows of a text are reconciled together: pieces cut by a window's
-border are joined, what its kind cannot be is dropped, and of overlapping ones the set of the highest total
+spelled-out one that a dot follows within 40 characters. Digits and marks are parts of every other kind, so what
+``accepted`` could take elsewhere is a spelled-out address in another spacing only; it is not looked for. The spans of
+all windows of a text are reconciled together: pieces cut by a window's border are joined, what its kind cannot be is dropped, and of overlapping ones the set of the highest total
 score stays, found by weighted interval scheduling. Base spans always stay.
 """
 
