@@ -3,6 +3,9 @@
 import random
 from fractions import Fraction
 
+import numpy as np
+import pytest
+
 import corpus_pipeline
 from tests.llm.test_copies import folded, prose
 from tidemark.llm import near_copies
@@ -81,3 +84,13 @@ def test_many_near_copies_of_one_text_are_linear(spark, docs_of, monkeypatch):
     found = {r["doc_id"]: r["component_id"] for r in near_copies.near_copy_components(docs_of(rows), tile=16).collect()}
     assert found == brute(rows) and set(found.values()) == {0}
     assert sum(asked) < 32 * len(rows), asked  # a leader of each band at most, instead of the pairs of tiles of each band
+
+
+@pytest.mark.parametrize("left, right, pairs", [([0, 1, 2, 3], [], {(0, 3), (1, 2)}), ([0, 1], [2, 3], {(0, 3), (1, 2)}), ([3], [0, 1, 2], {(0, 3)}), ([0, 2], [1, 3], {(0, 3), (1, 2)}), ([0, 1], [1, 2], {(1, 2)})])
+def test_every_pair_of_a_group_is_compared(spark, left, right, pairs):
+    """Similar sets in any place of either list are linked, and none that stand in one list of two."""
+    sets = [np.arange(k, k + 20, dtype=np.uint64) for k in (0, 500, 501, 1)]  # 0 and 3, 1 and 2 are similar
+    table = spark.createDataFrame([(k, bytearray(s.tobytes())) for k, s in enumerate(sets)], "u long, shingles binary")
+    groups = spark.createDataFrame([(left, right)], "left array<long>, right array<long>")
+    found = {tuple(sorted((r["a"], r["b"]))) for r in near_copies._compared(groups, table, 0.8).collect()}
+    assert {p for p in found if p[0] != p[1]} == pairs

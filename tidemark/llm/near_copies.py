@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches
 from tidemark.llm.components import components
-from tidemark.llm.passages import _ODD, _mixed, word_hashes
+from tidemark.llm.passages import _ODD, _mixed, sided, word_hashes
 from tidemark.session import cut
 
 WORDS = 5
@@ -136,8 +136,7 @@ def _compared(groups: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """A spanning forest ``(a, b)`` of the links in each group ``(left, right)`` of set numbers: between the two lists, or within
     ``left`` where ``right`` is empty."""
     groups = cut(groups.distinct().withColumn("group", F.monotonically_increasing_id()))
-    member = F.explode(F.concat(*[F.transform(s, lambda x, n=n: F.struct(F.lit(n).alias("second"), x.alias("u"))) for n, s in enumerate(("left", "right"))]))
-    members = groups.select("group", member.alias("m")).select("group", "m.second", "m.u")
+    members = groups.select("group", F.explode(sided(F.lit(0), F.lit(1))).alias("m")).select("group", "m.second", "m.u")
     tasks = members.join(sets, "u").groupBy("group").agg(F.collect_list(F.struct("second", "u", "shingles")).alias("rows")).select("rows")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:

@@ -8,8 +8,8 @@ words, 48) gives the same paragraph in both texts.
 
 The first pass counts only band keys. Keys that occur twice or more are entered in a bit table of fixed
 size, and the second pass hands on only the paragraphs that have such a key: what is unique never leaves its task.
-Equal paragraphs are merged, and the different ones of a band are compared in tiles by the exact Jaccard
-similarity of their word shingles; a tile returns a spanning forest of its links.
+Equal paragraphs are merged, and the different ones of a band are compared, with leaders of the band first, by the exact
+Jaccard similarity of their word shingles; a group of comparisons returns a spanning forest of its links.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches
@@ -212,54 +212,71 @@ def _bit_table(docs: DataFrame) -> np.ndarray:
     return table
 
 
-def _near_links(hits: DataFrame) -> DataFrame:
-    """A spanning forest ``(a, b)`` of the links between different paragraphs that share a band."""
-    distinct = cut(hits.groupBy("whole").agg(F.first("keys").alias("keys"), F.first("words").alias("words")))
-    keyed = distinct.select("whole", F.explode(F.array_distinct("keys")).alias("key"))
-    sizes = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    crowded = keyed.join(sizes, "key").withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int"))
-    crowded = crowded.withColumn("tile", F.pmod(F.xxhash64("whole"), F.col("tiles")).cast("int"))
-    partners = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    tasks = (
-        crowded.withColumn("other", partners)
-        .join(distinct.select("whole", "words"), "whole")
-        .groupBy("key", F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two"))
-        .agg(F.collect_list(F.struct((F.col("tile") > F.col("other")).alias("second"), "whole", "words")).alias("rows"))
-        .select("one", "two", "rows")
-    )
+def sided(left: Column, right: Column) -> Column:
+    """The members of the lists ``left`` and ``right`` as ``(second, u)``, with the given mark of their list.
+
+    The functions take one argument: of two, Spark would give the second one the place in the list.
+    """
+    one = F.transform("left", lambda x: F.struct(left.alias("second"), x.alias("u")))
+    two = F.transform("right", lambda x: F.struct(right.alias("second"), x.alias("u")))
+    return F.concat(one, two)
+
+
+def _compared(groups: DataFrame, distinct: DataFrame) -> DataFrame:
+    """A spanning forest ``(a, b)`` of the links in each group ``(left, right)``: between the two lists, or within ``left`` where
+    ``right`` is empty."""
+    groups = cut(groups.distinct().withColumn("group", F.monotonically_increasing_id()))
+    members = groups.select("group", F.explode(sided(F.lit(False), F.lit(True))).alias("m")).select("group", "m.second", "m.u")
+    tasks = members.join(distinct.select("u", "words"), "u").groupBy("group").agg(F.collect_list(F.struct("second", "u", "words")).alias("rows")).select("rows")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for whole_batch in batches:
             for start in range(0, whole_batch.num_rows, ROWS):
-                batch = whole_batch.slice(start, ROWS)
-                rows = batch.column(2)
+                rows = whole_batch.slice(start, ROWS).column(0)
                 offsets = rows.offsets.to_numpy()
                 inner = rows.values.slice(offsets[0], offsets[-1] - offsets[0])
                 sizes = np.diff(offsets)
                 group = np.repeat(np.arange(len(sizes)), sizes)
                 second = inner.field("second").to_numpy(zero_copy_only=False)
-                whole = inner.field("whole").to_numpy()
+                u = inner.field("u").to_numpy()
                 words = np.frombuffer(b"".join(inner.field("words").to_pylist()), "<u4").reshape(-1, LENGTH)
-                order = np.lexsort([whole, second, group])
-                whole, words, second = whole[order], words[order], second[order]
-                crossing = batch.column(0).to_numpy() != batch.column(1).to_numpy()
-                splits = np.where(crossing, np.bincount(group, ~second, len(sizes)).astype(np.int64), 0)
-                keep = ~(crossing & ((splits == 0) | (splits == sizes)))
-                if not keep.all():  # one side is empty: nothing to compare
-                    stay = keep[group[order]]
-                    whole, words, sizes, splits = whole[stay], words[stay], sizes[keep], splits[keep]
-                if not len(whole):
-                    continue
-                left, right = pairs_within(sizes, splits)
+                order = np.lexsort([u, second, group])
+                u, words = u[order], words[order]
+                firsts = np.bincount(group, ~second, len(sizes)).astype(np.int64)
+                left, right = pairs_within(sizes, np.where(firsts < sizes, firsts, 0))
                 found = similar_pairs(*shingle_ids(words), left, right)
-                label = forest(len(whole), left[found], right[found])
-                moved = label != np.arange(len(whole))
+                label = forest(len(u), left[found], right[found])
+                moved = label != np.arange(len(u))
                 if moved.any():
-                    yield pa.record_batch({"a": pa.array(whole[moved]), "b": pa.array(whole[label[moved]])})
+                    yield pa.record_batch({"a": pa.array(u[moved]), "b": pa.array(u[label[moved]])})
 
     return map_batches(tasks, compare, "a long, b long")
 
 
+def _near_links(hits: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` that connect all similar paragraphs which share a band.
+
+    Two leaders of each band meet its members, work in proportion to these; then only tiles of members that no link
+    connects meet each other.
+    """
+    from tidemark.llm.near_copies import _led, _left_over, _rooted  # that module reads words by this one
+
+    distinct = cut(hits.groupBy(F.col("whole").alias("u")).agg(F.first("keys").alias("keys"), F.first("words").alias("words")))
+    keyed = distinct.select("u", F.lit(LENGTH).cast("bigint").alias("size"), F.explode(F.array_distinct("keys")).alias("key"))
+    sizes = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    crowded = cut(keyed.join(sizes, "key"))
+    sharing = crowded.groupBy("u").agg(F.sum("n").alias("shared"))
+    members = _rooted(crowded.join(sharing, "u").select("key", "u", "size", "shared"), None)
+    groups, leaders = _led(members, None, TILE)
+    links = cut(_compared(groups, distinct))
+    members = _rooted(members.drop("root"), links)
+    roots = members.select(F.col("u").alias("leader"), F.col("root").alias("now")).distinct()
+    groups, _ = _led(members, leaders.join(roots, "leader").select("key", F.col("now").alias("led")), TILE)
+    links = cut(links.unionByName(_compared(groups, distinct)))
+    members = _rooted(members.drop("root"), links)
+    return links.unionByName(_compared(_left_over(members, TILE), distinct))
+
+
 def repeated_passages(docs: DataFrame, text: str = "text", id_column: str = "doc_id", least: int = LEAST) -> DataFrame:
     """Spans of words that other documents repeat: ``(id, first_word, end_word, n_words, component_id, removed)``.
 
