@@ -540,12 +540,12 @@ def d17_run(t: Tables) -> DataFrame:
     return facts.run_extracts(t.spark, config, lambda name: getattr(t, name), scratch(t.spark, "extracts")).select("table_name", "rows_copied")
 
 
-_STAGED = "(SELECT o_custkey AS k, o_orderdate AS d, o_orderkey AS id, o_orderstatus AS s FROM orders)"
+_STAGED_ORDERS = "(SELECT o_custkey AS k, o_orderdate AS d, o_orderkey AS id, o_orderstatus AS s FROM orders)"
 
 
 @query(
     "d14_staged_duplicates",
-    f"""WITH top AS (SELECT *, d = MAX(d) OVER (PARTITION BY k) AS is_top FROM {_STAGED}),
+    f"""WITH top AS (SELECT *, d = MAX(d) OVER (PARTITION BY k) AS is_top FROM {_STAGED_ORDERS}),
         n AS (SELECT k, COUNT(*) AS n FROM top WHERE is_top GROUP BY k)
         SELECT top.k, id, 'loaded' AS verdict FROM top JOIN n USING (k) WHERE is_top AND n = 1
         UNION ALL SELECT top.k, id, 'rejected' FROM top JOIN n USING (k) WHERE n > 1""",
