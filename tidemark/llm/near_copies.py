@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_batches
 from tidemark.llm.components import components
 from tidemark.llm.passages import _ODD, _mixed, sided, word_hashes
+from tidemark.llm.simhash import forest
 from tidemark.session import cut
 
 WORDS = 5
@@ -32,6 +33,7 @@ BAND_ROWS = 5
 BANDS = 32  # a pair at 0.8 shares none with a probability of (1 - 0.8 ** 5) ** 32 = 3e-6
 TILE = 128  # sets that are compared with others at a time, on average at most
 TILE_SHINGLES = 1 << 20  # and their shingles, on average at most
+COLUMNS = 1 << 13  # different shingles that are counted at a time
 ROWS = 128  # texts that a worker takes at a time
 _SEEDS = np.random.default_rng(23).integers(1, 2**63, BANDS * BAND_ROWS, dtype=np.uint64) | np.uint64(1)
 
@@ -68,32 +70,35 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> bool:
-    """Whether the Jaccard similarity of two sorted sets reaches ``least``."""
-    if min(len(a), len(b)) < least * max(len(a), len(b)) - 1e-9:
-        return False
-    both = np.concatenate([a, b])
-    both.sort()
-    shared = int((both[1:] == both[:-1]).sum())
-    return shared >= least * (len(both) - shared) - 1e-9
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many numbers each sorted set of ``left`` shares with each of ``right``."""
+    names = np.unique(np.concatenate(left))
+    sides = []
+    for sets in (left, right):
+        values = np.concatenate(sets)
+        place = np.minimum(np.searchsorted(names, values), len(names) - 1)
+        hit = names[place] == values
+        sides.append((np.repeat(np.arange(len(sets)), list(map(len, sets)))[hit], place[hit]))
+    used = np.bincount(sides[1][1], minlength=len(names)) > (left is right)  # what one set alone holds, is not shared
+    column = np.cumsum(used) - 1
+    out = np.zeros((len(left), len(right)))
+    for first in range(0, int(used.sum()), COLUMNS):
+        marks = []
+        for sets, (row, place) in zip((left, right), sides):
+            block = used[place] & (column[place] >= first) & (column[place] < first + COLUMNS)
+            marks.append(np.zeros((len(sets), COLUMNS), np.float32))
+            marks[-1][row[block], column[place[block]] - first] = 1
+        out += marks[0] @ marks[1].T
+    return out
 
 
-def linked(sets: list[np.ndarray], split: int, least: float = SIMILAR) -> list[int]:
+def linked(sets: list[np.ndarray], split: int, least: float = SIMILAR) -> np.ndarray:
     """For each set the smallest one that links reach; with a split above 0 only pairs across it are compared."""
-    root = list(range(len(sets)))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for i in range(split or len(sets)):
-        for j in range(split or i + 1, len(sets)):
-            a, b = find(i), find(j)
-            if a != b and similar(sets[i], sets[j], least):
-                root[max(a, b)] = min(a, b)
-    return [find(x) for x in range(len(sets))]
+    left, right = (sets[:split], sets[split:]) if split else (sets, sets)
+    sizes = np.array(list(map(len, sets)))
+    shared = shared_counts(left, right)
+    a, b = np.nonzero(shared >= least * (sizes[: len(left), None] + sizes[None, split:] - shared) - 1e-9)
+    return forest(len(sets), a, b + split)
 
 
 def _chunks(column: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -148,7 +153,7 @@ def _compared(groups: DataFrame, sets: DataFrame, least: float) -> DataFrame:
                 shingles = inner.field("shingles")
                 sets = [np.frombuffer(shingles[int(k)].as_buffer(), np.uint64) for k in order]
                 split = int((side == 0).sum())
-                label = np.array(linked(sets, split if split < len(sets) else 0, least))
+                label = linked(sets, split if split < len(sets) else 0, least)
                 moved = np.nonzero(label != np.arange(len(sets)))[0]
                 if len(moved):
                     u = u[order]
