@@ -155,6 +155,27 @@ def test_similar_paragraphs_are_linked(docs_of):
     assert list(zip(left.tolist(), right.tolist())) == [(0, 1), (2, 4), (3, 4)]
 
 
+@pytest.mark.parametrize("small", [32, 1])
+def test_links_of_paragraphs_equal_brute_force(spark, monkeypatch, small):
+    """Paragraphs that share a band and are similar are connected, in bands of any size and with or without leaders."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**32, (12, passages.LENGTH), dtype=np.uint64)
+    words = np.repeat(base, [60, 40, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10], axis=0)
+    for row in words:
+        row[rng.choice([0, 1, 22, 23], rng.integers(0, 3))] = rng.integers(0, 2**32)
+    words = np.unique(words, axis=0)
+    keys = passages.band_keys((words << np.uint64(32)).ravel(), np.arange(len(words)) * passages.LENGTH)
+    left, right = np.triu_indices(len(words), 1)
+    share = (keys[left] == keys[right]).any(axis=1)
+    links = share & passages.similar_pairs(*passages.shingle_ids(words), left, right)
+    expected = simhash.forest(len(words), left[links], right[links])
+    monkeypatch.setattr(passages, "SMALL", small)
+    monkeypatch.setattr(passages, "TILE", 8)
+    hits = spark.createDataFrame([(k, bytearray(w.astype("<u4").tobytes())) for k, w in enumerate(words)], "whole long, words binary")
+    roots = {r["node"]: r["root"] for r in passages.components(passages._near_links(hits)).collect()}
+    assert [roots.get(k, k) for k in range(len(words))] == expected.tolist() and links.sum() > 300
+
+
 def test_similarity_is_of_sets(docs_of):
     rng = np.random.default_rng(4)
     words = rng.integers(0, 3, (60, 24)).astype("<u4")

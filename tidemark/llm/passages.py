@@ -40,6 +40,7 @@ BITS = 27  # the bit table has 2 ** BITS bits: 16 MB
 PAGE = 32_768
 ROWS = 256  # texts that a worker takes at a time
 PAIRS = 1 << 12  # pairs that are compared at a time
+SMALL = 32  # members of a band that are all compared at once
 TILE = 256  # different paragraphs of a band that are compared at a time
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64(2**64 - 1)
@@ -111,7 +112,8 @@ def paragraph_starts(hashes: np.ndarray, begins: np.ndarray, offsets: np.ndarray
 
 
 def band_keys(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """For each paragraph a key for each band, as signed longs."""
+    """For each paragraph a key for each band, as signed longs; of a word the upper 32 bits count, as in ``same_words``."""
+    hashes = hashes >> np.uint64(32)
     width = LENGTH - SHINGLE + 1
     shingles = np.zeros(len(hashes) - SHINGLE + 1, np.uint64)
     for k in range(SHINGLE):
@@ -253,20 +255,40 @@ def _compared(groups: DataFrame, distinct: DataFrame) -> DataFrame:
     return map_batches(tasks, compare, "a long, b long")
 
 
+def _keyed(distinct: DataFrame) -> DataFrame:
+    """``(u, key)`` for the different band keys of each paragraph, computed again from its words, which are kept anyway."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            words = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").astype(np.uint64) << np.uint64(32)
+            if len(words):
+                keys = np.sort(band_keys(words, np.arange(0, len(words), LENGTH)), axis=1)
+                fresh = np.ones(keys.shape, bool)
+                fresh[:, 1:] = keys[:, 1:] != keys[:, :-1]
+                u = np.repeat(batch.column(0).to_numpy(), fresh.sum(axis=1))
+                yield pa.record_batch({"u": pa.array(u), "key": pa.array(keys[fresh])})
+
+    return map_batches(distinct.select("u", "words"), run, "u long, key long")
+
+
 def _near_links(hits: DataFrame) -> DataFrame:
     """Links ``(a, b)`` that connect all similar paragraphs which share a band.
 
-    Two leaders of each band meet its members, work in proportion to these; then only tiles of members that no link
-    connects meet each other.
+    In a band of up to ``SMALL`` members all meet at once. In a larger one two leaders meet the members, work in
+    proportion to these; then only tiles of members that no link connects meet each other.
     """
     from tidemark.llm.near_copies import _led, _left_over, _rooted  # that module reads words by this one
 
-    distinct = cut(hits.groupBy(F.col("whole").alias("u")).agg(F.first("keys").alias("keys"), F.first("words").alias("words")))
-    keyed = distinct.select("u", F.lit(LENGTH).cast("bigint").alias("size"), F.explode(F.array_distinct("keys")).alias("key"))
-    sizes = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    distinct = cut(hits.groupBy(F.col("whole").alias("u")).agg(F.first("words").alias("words")))
+    keyed = cut(_keyed(distinct))
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     crowded = cut(keyed.join(sizes, "key"))
-    sharing = crowded.groupBy("u").agg(F.sum("n").alias("shared"))
-    members = _rooted(crowded.join(sharing, "u").select("key", "u", "size", "shared"), None)
+    small = crowded.filter(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("u")).alias("left"))
+    inside = cut(_compared(small.select("left", F.array().cast("array<bigint>").alias("right")), distinct))
+    large = crowded.filter(F.col("n") > SMALL)
+    sharing = large.groupBy("u").agg(F.sum("n").alias("shared"))
+    size = F.lit(LENGTH).cast("bigint").alias("size")
+    members = _rooted(large.join(sharing, "u").select("key", "u", size, "shared"), None)
     groups, leaders = _led(members, None, TILE)
     links = cut(_compared(groups, distinct))
     members = _rooted(members.drop("root"), links)
@@ -274,7 +296,7 @@ def _near_links(hits: DataFrame) -> DataFrame:
     groups, _ = _led(members, leaders.join(roots, "leader").select("key", F.col("now").alias("led")), TILE)
     links = cut(links.unionByName(_compared(groups, distinct)))
     members = _rooted(members.drop("root"), links)
-    return links.unionByName(_compared(_left_over(members, TILE), distinct))
+    return inside.unionByName(links).unionByName(_compared(_left_over(members, TILE), distinct))
 
 
 def repeated_passages(docs: DataFrame, text: str = "text", id_column: str = "doc_id", least: int = LEAST) -> DataFrame:
@@ -302,18 +324,15 @@ def repeated_passages(docs: DataFrame, text: str = "text", id_column: str = "doc
                 marked = ((table[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1).any(axis=1)
                 if marked.any():
                     words, whole = same_words(hashes, starts[marked])
-                    keys = keys[marked]
-                    ends = pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32))
                     columns = [
                         batch.column(0).take(pa.array(first + row[marked])),
                         pa.array(place[marked]),
-                        pa.ListArray.from_arrays(ends, pa.array(keys.ravel())),
                         pa.array([w.tobytes() for w in words], pa.binary()),
                         pa.array(whole),
                     ]
-                    yield pa.record_batch(columns, names=["__id", "at", "keys", "words", "whole"])
+                    yield pa.record_batch(columns, names=["__id", "at", "words", "whole"])
 
-    found = cut(map_batches(source, hits, f"__id {kind}, at long, keys array<long>, words binary, whole long"))
+    found = cut(map_batches(source, hits, f"__id {kind}, at long, words binary, whole long"))
     roots = components(_near_links(found))
     placed = found.select("__id", "at", "whole").join(roots, F.col("whole") == F.col("node"), "left")
     placed = cut(placed.select("__id", "at", F.coalesce("root", "whole").alias("root")))
