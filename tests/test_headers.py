@@ -54,3 +54,21 @@ def test_types_of_columns(spark, path):
     control = spark.createDataFrame([("x.csv", "id", "double"), ("y.csv", "id", "int"), ("z.csv", "extra", "date"), ("x.csv", "a,b", "timestamp")], "file_name string, file_column string, target_type string")
     wrong = sorted((r["source"], r["actual"], r["expected"]) for r in quality.compare_file_types(types, control).collect())
     assert wrong == [("y.csv", "bigint", "int"), ("z.csv", "boolean", "date")]
+
+
+def test_shapes_admit_every_text_that_casts(spark):
+    bare = ["0", "7", "-7", "+7", "007", "2147483647", "2147483648", "-2147483648", "-2147483649", "9223372036854775807", "9223372036854775808", "1.5", "1.", ".5",
+            ".", "1e5", "1E-5", "1e+5d", "-1.5F", "2D", "0x1p3", "0x1.8p-3", "inf", "-Infinity", "NaN", "nand", "true", "T", "YES", "n", "no", "off", "", "+", "e5",
+            "1996-01-02", "1996-1-2", "1996", "1996-01-02T03:04:05.678", "12:30:00", "a", "1a", "Customer#1", "\u0661", "1 2"]
+    rows = spark.createDataFrame([(before + text + after,) for text in bare for before in ("", " ", "\t\x01") for after in ("", "\n", "\x7f ")], "v string")
+    for kind in quality.GUESSED:
+        wrong = rows.select("v", F.col("v").try_cast(kind).isNotNull().alias("cast"), quality._casts(F.col("v"), kind).alias("got")).filter("NOT got <=> cast")
+        assert wrong.collect() == [], kind
+
+
+def test_a_cast_that_cannot_succeed_is_not_tried(spark):
+    """Of texts that fit no number, no truth value and no date, every type but the last two is refused by its shape."""
+    rows = spark.createDataFrame([("1996-01-02T03:04:05",), ("Customer#000000001",), ("173665.47 EUR",)], "v string")
+    for kind in quality.SHAPES:
+        assert rows.filter(F.col("v").rlike(quality.SHAPES[kind])).count() == 0, kind
+        assert "WHEN RLIKE" in str(quality._casts(F.col("v"), kind)).upper().replace("CASE ", "")
