@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tests.compare import explained, spark_rows
+from tests.compare import spark_rows
 from tidemark.functions import text
 from tidemark.operators import joins, lineage, loadlog, projections, quality, querylog, versioned
 from tidemark.plans.catalog import queries
@@ -84,6 +84,17 @@ def test_shared_walks_match_a_walk_for_each_root(spark):
     assert sorted(map(tuple, out)) == sorted(want)
 
 
+def test_objects_are_counted_once_for_each_parent(spark):
+    rng = random.Random(5)
+    names = [f"n{k}" for k in range(12)]
+    edges = [(rng.choice(names), rng.choice(names), rng.choice(["VIEW", "VIEW", "TABLE"])) for _ in range(30)]
+    edges += [(f"r{k}", child, "VIEW") for k in range(8) for child in (names[:2] if k % 3 else names[2:3])] + [(names[0], "r1", "VIEW"), ("r3", "n1", "TABLE")]
+    df = spark.createDataFrame(edges, "parent string, object string, object_type string")
+    roots = spark.createDataFrame([(r,) for r in [*(f"r{k}" for k in range(8)), *names[:4], "absent", "r0"]], "root string")
+    want = lineage.objects_per_parent(lineage.lineage(df, roots)).collect()
+    assert sorted(map(tuple, lineage.lineage_per_parent(df, roots).collect())) == sorted(map(tuple, want))
+
+
 def test_closure_ends_on_cycles_and_is_deep(spark):
     chain = [(f"v{i}", f"v{i + 1}", "VIEW") for i in range(20)] + [("v20", "v3", "VIEW"), ("v20", "t", "TABLE"), ("x", "v20", "VIEW")]
     edges = spark.createDataFrame(chain + chain[:2], "parent string, object string, object_type string")

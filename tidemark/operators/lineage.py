@@ -21,6 +21,7 @@ NO_PARTITION_KEY = "No partition key specified"
 # Fixed values end.
 
 CUT_EVERY = 16
+CLASS = ["c1", "c2", "c3"]
 
 
 def _classes(roots: DataFrame, views: DataFrame) -> DataFrame:
@@ -30,11 +31,9 @@ def _classes(roots: DataFrame, views: DataFrame) -> DataFrame:
     return below.groupBy("root").agg(*marks)
 
 
-def lineage(edges: DataFrame, roots: DataFrame) -> DataFrame:
-    """Everything reachable from each root: (root, parent, object, object_type, level, label).
-
-    ``edges`` has (parent, object, object_type), ``roots`` has (root). An object is expanded once per root, so
-    cycles end; its level is its smallest depth. Only views are expanded.
+def _walked(edges: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The links, the different roots, the class of each root (``root, c1, c2, c3``), and what each class reaches
+    below its roots (``c1, c2, c3, object, level``).
 
     Roots that have the same views below them reach the same objects, so one walk serves all of them; they
     differ in themselves only, at level 0. All walks advance together. A level joins only what the level before it found, and
@@ -44,26 +43,49 @@ def lineage(edges: DataFrame, roots: DataFrame) -> DataFrame:
     views = links.filter("object_type = 'VIEW'").select(F.col("parent").alias("object"), F.col("object").alias("next"))
     starts = roots.select("root").distinct()
     classes = cut(_classes(starts, views))
-    key = ["c1", "c2", "c3"]
-    one = classes.groupBy(*key).agg(F.min("root").alias("root"))
-    walk = one.join(views, F.col("root") == F.col("object")).select(*key, F.col("next").alias("object"), F.lit(1).alias("level"))
+    one = classes.groupBy(*CLASS).agg(F.min("root").alias("root"))
+    walk = one.join(views, F.col("root") == F.col("object")).select(*CLASS, F.col("next").alias("object"), F.lit(1).alias("level"))
     frontier = cut(walk.distinct())
     visited = frontier
     for level in count(2):
-        step = frontier.join(views, "object").select(*key, F.col("next").alias("object")).distinct()
-        frontier = cut(step.join(visited.select(*key, "object"), [*key, "object"], "left_anti").withColumn("level", F.lit(level)))
+        step = frontier.join(views, "object").select(*CLASS, F.col("next").alias("object")).distinct()
+        frontier = cut(step.join(visited.select(*CLASS, "object"), [*CLASS, "object"], "left_anti").withColumn("level", F.lit(level)))
         if frontier.isEmpty():
             break
         visited = visited.unionByName(frontier)
         if level % CUT_EVERY == 0:
             visited = cut(visited)
+    return links, starts, classes, visited
+
+
+def lineage(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """Everything reachable from each root: (root, parent, object, object_type, level, label).
+
+    ``edges`` has (parent, object, object_type), ``roots`` has (root). An object is expanded once per root, so
+    cycles end; its level is its smallest depth. Only views are expanded.
+    """
+    links, starts, classes, visited = _walked(edges, roots)
     label = F.when(F.col("level") == 0, DIRECT).otherwise(F.concat(F.lit("NESTED-"), F.col("level").cast("string")))
     found = visited.withColumnRenamed("object", "parent").join(links, "parent")
-    nested = found.join(classes, key).filter("parent <> root").select("root", "parent", "object", "object_type", "level")
+    nested = found.join(classes, CLASS).filter("parent <> root").select("root", "parent", "object", "object_type", "level")
     direct = starts.join(links, F.col("root") == F.col("parent")).select("root", "parent", "object", "object_type", F.lit(0).alias("level"))
     return direct.unionByName(nested).withColumn("label", label)
 
 
+def lineage_per_parent(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """What ``objects_per_parent`` gives for ``lineage(edges, roots)``: (root, parent, n_objects).
+
+    How many objects a parent reads does not depend on the root, so it is counted once for each parent, and the
+    objects themselves never join the roots.
+    """
+    links, starts, classes, visited = _walked(edges, roots)
+    counts = links.select("parent", "object").distinct().groupBy("parent").agg(F.count(F.lit(1)).alias("n_objects"))
+    reached = visited.select(*CLASS, F.col("object").alias("parent")).join(counts, "parent")
+    nested = classes.join(reached, CLASS).filter("parent <> root").select("root", "parent", "n_objects")
+    direct = starts.join(counts, F.col("root") == F.col("parent")).select("root", "parent", "n_objects")
+    return direct.unionByName(nested)
+
+
 def lineage_summary(found: DataFrame, excluded: list[str] | None = None, schema_of: Column | None = None) -> DataFrame:
     """Distinct objects per root and type, without excluded schemas."""
     objects = found.select("root", "object", "object_type").distinct()

@@ -45,9 +45,12 @@ _WALK = f"""WITH RECURSIVE {_EDGES_SQL},
             FROM seen JOIN edges ON edges.parent = seen.object)"""
 
 
+def _roots(t: Tables) -> DataFrame:
+    return t.orders.select(F.concat(F.lit("sales.order_"), F.col("o_orderkey").cast("string")).alias("root"))
+
+
 def _found(t: Tables) -> DataFrame:
-    roots = t.orders.select(F.concat(F.lit("sales.order_"), F.col("o_orderkey").cast("string")).alias("root"))
-    return lineage.lineage(_edges(t), roots)
+    return lineage.lineage(_edges(t), _roots(t))
 
 
 @query("l1_lineage", f"{_WALK} SELECT * FROM found")
@@ -65,7 +68,7 @@ def l2(t: Tables) -> DataFrame:
 
 @query("l2_objects_per_parent", f"{_WALK} SELECT root, parent, COUNT(DISTINCT object) AS n_objects FROM found GROUP BY 1, 2")
 def l2_parents(t: Tables) -> DataFrame:
-    return lineage.objects_per_parent(_found(t))
+    return lineage.lineage_per_parent(_edges(t), _roots(t))
 
 
 @query(
