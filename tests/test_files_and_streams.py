@@ -181,6 +181,29 @@ def test_compaction_keeps_rows(spark, folder):
     assert spark.read.parquet(f"{folder}/b").count() == 1000
 
 
+def test_a_given_number_of_files_takes_whole_splits(spark, folder, monkeypatch):
+    """Even splits are joined without a shuffle; few or uneven ones are dealt out by rows."""
+    shuffled = []
+    deal = type(spark.range(0)).repartition
+    monkeypatch.setattr(type(spark.range(0)), "repartition", lambda df, *by: shuffled.append(by) or deal(df, *by))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")  # no two of the written parts share a split
+    spark.conf.set("spark.sql.files.openCostInBytes", "4k")
+    try:
+        ids = spark.range(0, 1000, 1, 20).toDF("id")
+        for label, rows, dealt in [("even", ids, []), ("few", ids.coalesce(2), [(5,)]), ("uneven", ids.filter("id < 400 OR id % 50 = 0"), [(5,)]), ("none", ids.filter("id < 0"), [(5,)])]:
+            shuffled.clear()
+            writers.write_files(rows, f"{folder}/{label}", files=5)
+            assert shuffled == dealt, label
+            read = spark.read.parquet(f"{folder}/{label}")
+            assert sorted(r["id"] for r in read.collect()) == sorted(r["id"] for r in rows.collect())
+            files = readers.with_source_file(read).groupBy("source_file").count().collect()
+            assert len(files) == (0 if label == "none" else 5)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_layout_depth_of_files(spark, folder):
     rows = spark.range(4000).selectExpr("id", "hash(id) AS h")
     rows.repartitionByRange(8, "id").write.parquet(f"{folder}/sorted")

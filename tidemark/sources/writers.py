@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.values import quoted
+from tidemark.session import cut
 from tidemark.sources.readers import read_sources
 
+UNEVEN = 1.5  # the largest of a given number of files may have so many times the rows of the average one
+
 
 def _dated(run_date: dt.date) -> list[Column]:
     return [
@@ -105,9 +108,17 @@ def append_enforced(target: DataFrame, new: DataFrame, merge_schema: bool = Fals
 def write_files(df: DataFrame, path: str, fmt: str = "parquet", files: int | None = None, **options: str) -> None:
     """Write a given number of files, or leave their size to the rebalance step.
 
-    ``files=1`` is a single task and fits only small results.
+    A file is the work of one task. Rows are written in parallel first, and the files are joined from whole
+    splits of that table, so a task reads compressed columns instead of shuffled rows. Where whole splits do not
+    make so many files, or uneven ones, rows are dealt out one by one. ``files=1`` is a single task and fits only small results.
     """
-    sized = df.repartition(files) if files else df.hint("rebalance")
+    if files:
+        staged = cut(df)
+        joined = staged.coalesce(files)
+        n, most, rows = partition_sizes(joined).agg(F.count(F.lit(1)), F.max("count"), F.sum("count")).first()
+        sized = joined if n == files and most * files <= UNEVEN * rows else staged.repartition(files)
+    else:
+        sized = df.hint("rebalance")
     sized.write.mode("overwrite").option("header", True).options(**options).format(fmt).save(path)
 
 
