@@ -1,14 +1,16 @@
 """Type 1 and 2 dimensions: golden rows, options and properties."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from tests.compare import spark_rows
+from tests.compare import connect, difference, spark_rows, sql_rows
 from tidemark.operators import dimensions as dims
 from tidemark.operators.dimensions import History
 from tidemark.operators.loadlog import audit_row
+from tidemark.plans.catalog import oracle_sql, queries
 
 DIM = "row_key int, id int, first string, last string, city string, start_date timestamp_ntz, end_date timestamp_ntz"
 STG = "id int, first string, last string, city string"
@@ -197,3 +199,17 @@ def test_seed_rows_are_added_once(spark):
     seeds = [{"name": "Red", "description": "bad"}, {"name": "Green", "description": "other"}]
     once = dims.ensure_rows(start, seeds, ["name"])
     assert sorted(map(tuple, dims.ensure_rows(once, seeds, ["name"]).collect())) == [("Green", "fine"), ("Red", "bad")]
+
+
+@pytest.mark.parametrize("shift", [200_000, 0])
+def test_journal_dates_are_not_bounded_by_a_calendar(spark, folder, shift):
+    """Pages with large numbers are submitted decades later, and none of them is dropped."""
+    given = "/root/testdata/sf0.001"
+    for name in os.listdir(given):
+        if not name.startswith("pages"):
+            os.makedirs(folder, exist_ok=True)
+            os.symlink(f"{given}/{name}", f"{folder}/{name}")
+    pages = spark.read.parquet(f"{given}/pages.parquet").withColumn("page_id", F.col("page_id") + F.when(F.col("page_id") % 2 == 0, shift).otherwise(0))
+    pages.toPandas().to_parquet(f"{folder}/pages.parquet")
+    result = spark_rows(queries()["d15_journal_fact"](spark, folder))
+    assert result[1] and difference(result, sql_rows(connect(folder), oracle_sql()["d15_journal_fact"])) is None

@@ -455,7 +455,9 @@ def d15(t: Tables) -> DataFrame:
         F.concat(F.trim("project_name"), F.lit(".writer@example.com")).alias("email"), F.col("project_id").alias("person_id")
     )
     readers = staged.select(F.col("view_email").alias("email"), F.ascii(F.substring("view_email", 7, 1)).cast("bigint").alias("person_id")).distinct()
-    calendar = dims.date_dim(t.spark, dt.date(2024, 1, 1), 3650)
+    first, last = staged.agg(F.min("_date"), F.max("_date")).first()
+    days = (last - first).days + 1 if first else 0
+    calendar = dims.date_dim(t.spark, first or dt.date(2024, 1, 1), days)
     loaded = staged.join(t.pages.filter(F.contains("url", F.lit("#"))), "page_id", "left_semi").select("_key", "submitted_time")
     return facts.load_journal_fact(staged, calendar, projects, writers.unionByName(readers), statuses, loaded)
 
