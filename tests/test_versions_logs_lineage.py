@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tests.compare import spark_rows
+from tests.compare import explained, spark_rows
 from tidemark.functions import text
 from tidemark.operators import joins, lineage, loadlog, projections, quality, querylog, versioned
 from tidemark.plans.catalog import queries
@@ -250,6 +250,12 @@ def test_pre_aggregated_mart_is_equal(spark):
     assert sorted(map(repr, one[1])) == sorted(map(repr, other[1]))
 
 
+def test_pre_aggregated_mart_holds_no_groups_beside_its_joins(spark):
+    """The wide groups are summed after their shuffle only: rows meet that shuffle straight from the joins."""
+    plan = explained(queries()["a4_revenue_mart_pre_aggregated"](spark, "/root/testdata/sf0.001"))
+    assert "REPARTITION_BY_COL" in plan
+
+
 def test_clean_counts_are_observed(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), (None, 2), ("b", None)], "k string, n int")
     out, before, after = quality.clean(df)

@@ -84,7 +84,8 @@ def revenue_mart(
     ]
     total = F.sum("amount").alias("amount")
     if pre_aggregate:
-        return joined.groupBy(*groups).agg(total).join(customer, "customer_id", "left")
+        # A group has few rows by now, so sums before the shuffle would only hold all groups of a task in memory beside the joins.
+        return joined.repartition(*groups).groupBy(*groups).agg(total).join(customer, "customer_id", "left")
     return joined.join(customer, "customer_id", "left").groupBy(*groups, "customer_name").agg(total)
 
 
