@@ -176,6 +176,38 @@ def test_links_of_paragraphs_equal_brute_force(spark, monkeypatch, small):
     assert [roots.get(k, k) for k in range(len(words))] == expected.tolist() and links.sum() > 300
 
 
+def test_only_paragraphs_that_share_a_band_are_sent_to_comparisons(spark, monkeypatch):
+    """Words of single paragraphs stay; leaders and tiles get those of larger bands alone."""
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 2**32, (340, passages.LENGTH), dtype=np.uint64)
+    words[300:] = words[300]
+    words[300:, 0] = rng.integers(0, 2**32, 40)
+    words[298, 1:] = words[299, 1:]
+    sent = []
+    compared = passages._compared
+    monkeypatch.setattr(passages, "_compared", lambda groups, table: sent.append({r["u"] for r in table.select("u").collect()}) or compared(groups, table))
+    hits = spark.createDataFrame([(k, bytearray(w.astype("<u4").tobytes())) for k, w in enumerate(words)], "whole long, words binary")
+    roots = {r["node"]: r["root"] for r in passages.components(passages._near_links(hits)).collect()}
+    assert roots == {298: 298, 299: 298} | {k: 300 for k in range(300, 340)}
+    assert sent[0] == {298, 299, *range(300, 340)} and len(sent) == 4 and all(s == {*range(300, 340)} for s in sent[1:])
+
+
+def test_the_bit_table_follows_the_number_of_repeated_keys(docs_of):
+    """All repeated keys are found in it, and hardly another one, whatever their number."""
+    rng = random.Random(8)
+    for count in (1, 50):
+        texts = [" ".join(prose(rng, 300)) for _ in range(count)]
+        table = passages._bit_table(docs_of([(k, t) for k, t in enumerate(texts * 2)]).selectExpr("text AS __text"))
+        keys = []
+        for text in texts:
+            hashes, begins, offsets = passages.word_hashes([text])
+            keys += set(passages.band_keys(hashes, passages.paragraph_starts(hashes, begins, offsets)).ravel().tolist())
+        assert passages._in_table(table, np.array(keys)).all()
+        assert len(set(keys)) * passages.KEY_BITS <= len(table) * 8 < max(passages.PAGE + 1, 2 * len(set(keys)) * passages.KEY_BITS)
+        others = np.random.default_rng(count).integers(-(2**63), 2**63 - 1, 100_000)
+        assert passages._in_table(table, others).mean() < 0.01
+
+
 def test_similarity_is_of_sets(docs_of):
     rng = np.random.default_rng(4)
     words = rng.integers(0, 3, (60, 24)).astype("<u4")

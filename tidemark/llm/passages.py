@@ -6,10 +6,11 @@ another place that the words there mark, with the smallest hash; where a window
 with the smallest hash. So every copied run of words that holds a full window and a paragraph after it (``WINDOW + LENGTH``
 words, 48) gives the same paragraph in both texts.
 
-The first pass counts only band keys. Keys that occur twice or more are entered in a bit table of fixed
-size, and the second pass hands on only the paragraphs that have such a key: what is unique never leaves its task.
-Equal paragraphs are merged, and the different ones of a band are compared, with leaders of the band first, by the exact
-Jaccard similarity of their word shingles; a group of comparisons returns a spanning forest of its links.
+The first pass counts only band keys. Keys that occur twice or more are entered in a table of bits that is as large as
+their number asks for, and the second pass hands on only the paragraphs that have such a key: what is unique stays in
+its task, but for the few whose bits others have set. Equal paragraphs are merged, and the different ones of a band are
+compared, with leaders of the band first, by the exact Jaccard similarity of their word shingles; a group of comparisons
+returns a spanning forest of its links. Words are sent only of paragraphs that share a band.
 """
 
 from __future__ import annotations
@@ -36,8 +37,10 @@ RECALL = 0.98  # share of pairs at the similarity that some band must join
 BAND_ROWS = 2
 LEAST = LENGTH  # words of a span that is reported
 ANCHOR = 12  # besides sentence starts, one pair of words in so many is preferred as the beginning of a paragraph
-BITS = 27  # the bit table has 2 ** BITS bits: 16 MB
-PAGE = 32_768
+PAGE = 32_768  # bits of a page of the bit table
+PAGES = 32_768  # pages of the bit table at most: 128 MB
+KEY_BITS = 16  # bits of the table for each repeated key at least, while it has fewer pages than that
+MARKS = 3  # bits that a key sets, all in one page
 ROWS = 256  # texts that a worker takes at a time
 PAIRS = 1 << 12  # pairs that are compared at a time
 SMALL = 32  # members of a band that are all compared at once
@@ -187,7 +190,7 @@ def _paragraphs(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray,
 
 
 def _bit_table(docs: DataFrame) -> np.ndarray:
-    """Which keys occur in at least two rows, as ``2 ** BITS`` bits: a constant size, whatever the input.
+    """A Bloom filter of the keys that occur in at least two rows, in pages; its size follows the number of these keys.
 
     A row counts once for a key: paragraphs of one text overlap and often share keys.
     """
@@ -201,19 +204,32 @@ def _bit_table(docs: DataFrame) -> np.ndarray:
                 fresh = np.append(True, (np.diff(pairs) != 0).any(axis=0))
                 yield pa.record_batch({"key": pa.array(pairs[1, fresh])})
 
-    repeated = map_batches(docs.select("__text"), keys, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    slot = F.col("key").bitwiseAND(F.lit(2**BITS - 1))
-    pages = (
-        repeated.groupBy(F.shiftright(slot, 15).cast("int").alias("page"))
-        .agg(F.expr(f"bitmap_construct_agg(key & {PAGE - 1})").alias("bits"))
-        .collect()  # 4,096 pages of 4 KB at most
-    )
-    table = np.zeros(2**BITS // 8, np.uint8)
-    for r in pages:
+    counted = map_batches(docs.select("__text"), keys, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    repeated = cut(counted.filter("n > 1").select("key"))
+    pages = 1
+    least = repeated.count() * KEY_BITS
+    while pages < PAGES and pages * PAGE < least:
+        pages *= 2
+    # Keys are dealt by page before bits are set, so no task sends pages on that others fill too.
+    dealt = repeated.withColumn("page", F.shiftright("key", 15 * MARKS).bitwiseAND(F.lit(pages - 1))).repartition("page")
+    marks = F.array(*[F.shiftright("key", 15 * k).bitwiseAND(F.lit(PAGE - 1)) for k in range(MARKS)])
+    filled = dealt.select("page", F.explode(marks).alias("mark")).groupBy("page").agg(F.expr("bitmap_construct_agg(mark)").alias("bits"))
+    table = np.zeros(pages * PAGE // 8, np.uint8)
+    for r in filled.toLocalIterator():
         table[r["page"] * PAGE // 8 : (r["page"] + 1) * PAGE // 8] = np.frombuffer(bytes(r["bits"]), np.uint8)
     return table
 
 
+def _in_table(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the bits of each key are set; they are for all that were entered, and for few others."""
+    page = ((keys >> np.int64(15 * MARKS)) & np.int64(len(table) * 8 // PAGE - 1)) * PAGE
+    found = np.ones(keys.shape, bool)
+    for k in range(MARKS):
+        slots = page + ((keys >> np.int64(15 * k)) & np.int64(PAGE - 1))
+        found &= (table[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
+    return found
+
+
 def sided(left: Column, right: Column) -> Column:
     """The members of the lists ``left`` and ``right`` as ``(second, u)``, with the given mark of their list.
 
@@ -271,32 +287,34 @@ def _keyed(distinct: DataFrame) -> DataFrame:
     return map_batches(distinct.select("u", "words"), run, "u long, key long")
 
 
-def _near_links(hits: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` that connect all similar paragraphs which share a band.
+def _near_links(distinct: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` that connect all similar ones of the different paragraphs ``(whole, words)`` which share a band.
 
-    In a band of up to ``SMALL`` members all meet at once. In a larger one two leaders meet the members, work in
+    Words are sent on only of paragraphs that share a band, and to leaders and tiles only of those in larger bands. In a band of up to ``SMALL`` members all meet at once. In a larger one two leaders meet the members, work in
     proportion to these; then only tiles of members that no link connects meet each other.
     """
     from tidemark.llm.near_copies import _led, _left_over, _rooted  # that module reads words by this one
 
-    distinct = cut(hits.groupBy(F.col("whole").alias("u")).agg(F.first("words").alias("words")))
+    distinct = distinct.select(F.col("whole").alias("u"), "words")
     keyed = cut(_keyed(distinct))
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     crowded = cut(keyed.join(sizes, "key"))
+    worded = cut(distinct.join(crowded.groupBy("u").agg(F.max("n").alias("most")), "u"))
     small = crowded.filter(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("u")).alias("left"))
-    inside = cut(_compared(small.select("left", F.array().cast("array<bigint>").alias("right")), distinct))
+    inside = cut(_compared(small.select("left", F.array().cast("array<bigint>").alias("right")), worded))
     large = crowded.filter(F.col("n") > SMALL)
+    worded = worded.filter(F.col("most") > SMALL)
     sharing = large.groupBy("u").agg(F.sum("n").alias("shared"))
     size = F.lit(LENGTH).cast("bigint").alias("size")
     members = _rooted(large.join(sharing, "u").select("key", "u", size, "shared"), None)
     groups, leaders = _led(members, None, TILE)
-    links = cut(_compared(groups, distinct))
+    links = cut(_compared(groups, worded))
     members = _rooted(members.drop("root"), links)
     roots = members.select(F.col("u").alias("leader"), F.col("root").alias("now")).distinct()
     groups, _ = _led(members, leaders.join(roots, "leader").select("key", F.col("now").alias("led")), TILE)
-    links = cut(links.unionByName(_compared(groups, distinct)))
+    links = cut(links.unionByName(_compared(groups, worded)))
     members = _rooted(members.drop("root"), links)
-    return inside.unionByName(links).unionByName(_compared(_left_over(members, TILE), distinct))
+    return inside.unionByName(links).unionByName(_compared(_left_over(members, TILE), worded))
 
 
 def repeated_passages(docs: DataFrame, text: str = "text", id_column: str = "doc_id", least: int = LEAST) -> DataFrame:
@@ -320,8 +338,7 @@ def repeated_passages(docs: DataFrame, text: str = "text", id_column: str = "doc
         table = shared.value
         for batch in batches:
             for first, hashes, starts, row, place, keys in _paragraphs(batch.column(1)):
-                slots = keys & np.int64(2**BITS - 1)
-                marked = ((table[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1).any(axis=1)
+                marked = _in_table(table, keys).any(axis=1)
                 if marked.any():
                     words, whole = same_words(hashes, starts[marked])
                     columns = [
@@ -333,12 +350,18 @@ def repeated_passages(docs: DataFrame, text: str = "text", id_column: str = "doc
                     yield pa.record_batch(columns, names=["__id", "at", "words", "whole"])
 
     found = cut(map_batches(source, hits, f"__id {kind}, at long, words binary, whole long"))
-    roots = components(_near_links(found))
-    placed = found.select("__id", "at", "whole").join(roots, F.col("whole") == F.col("node"), "left")
-    placed = cut(placed.select("__id", "at", F.coalesce("root", "whole").alias("root")))
-    classes = placed.groupBy("root").agg(F.min("__id").alias("keeper"), F.max("__id").alias("last"))
-    classes = cut(classes.filter(F.col("keeper") < F.col("last")))
-    members = placed.join(classes, "root").select("__id", "at", "keeper", (F.col("__id") != F.col("keeper")).alias("removed"))
+    distinct = found.groupBy("whole").agg(F.first("words").alias("words"), F.min("__id").alias("low"), F.max("__id").alias("high"))
+    distinct = cut(distinct)
+    roots = components(_near_links(distinct))
+    # A paragraph without links has a class only with its equals, and only if they have several ids.
+    named = distinct.select("whole", "low", "high").join(roots, F.col("whole") == F.col("node"), "left")
+    named = cut(named.filter("root IS NOT NULL OR low < high").select("whole", "low", "high", "root"))
+    linked = named.filter("root IS NOT NULL")
+    classes = linked.groupBy("root").agg(F.min("low").alias("keeper"), F.max("high").alias("last")).filter("keeper < last")
+    alone = named.filter("root IS NULL").select("whole", F.col("low").alias("keeper"))
+    keepers = cut(linked.join(classes, "root").select("whole", "keeper").unionByName(alone))
+    members = found.select("__id", "at", "whole").join(keepers, "whole")
+    members = members.select("__id", "at", "keeper", (F.col("__id") != F.col("keeper")).alias("removed"))
     return _spans(members, least).withColumnRenamed("__id", id_column)
 
 
