@@ -5,10 +5,13 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_copies import folded, prose
 from tidemark.llm import near_copies
+from tidemark.llm.components import components
+from tidemark.session import cut
 
 
 def shingles(text):
@@ -94,3 +97,66 @@ def test_every_pair_of_a_group_is_compared(spark, left, right, pairs):
     groups = spark.createDataFrame([(left, right)], "left array<long>, right array<long>")
     found = {tuple(sorted((r["a"], r["b"]))) for r in near_copies._compared(groups, table, 0.8).collect()}
     assert {p for p in found if p[0] != p[1]} == pairs
+
+
+@pytest.mark.parametrize("text", ["w9296838 w5808286 w9203799 w5634447 w3678096 w7660241 w1409219 w1744566 w1352131", "w8518567 w4468337 w5003041 w2865863 w9525692 w8008861 w1229141 w6186552 w4504306"])
+def test_a_pair_that_shares_no_band_is_linked(spark, docs_of, text):
+    """Four of five shingles are the same, which is the threshold."""
+    pair = [(1, text), (2, text.rsplit(" ", 1)[0])]
+    one, two = near_copies.band_keys(near_copies.shingle_sets([t for _, t in pair]))
+    assert not (one == two).any()
+    rng = random.Random(3)
+    rows = pair + [(k, " ".join(prose(rng, 60))) for k in range(3, 30)]
+    found = {r["doc_id"]: r["component_id"] for r in near_copies.near_copy_components(docs_of(rows)).collect()}
+    assert found == brute(rows) and found[2] == 1
+    kept = corpus_pipeline.drop_near_copies(spark, docs_of(rows), "")
+    assert sorted(r["doc_id"] for r in kept.select("doc_id").collect()) == [1, *range(3, 30)]
+
+
+def test_all_links_are_found_without_bands(docs_of):
+    """Prefixes lose no pair, also where texts are short and many shingles are frequent."""
+    rng = random.Random(8)
+    rows = edited(rng, 150)
+    common = prose(rng, 400)
+    for k in range(150, 400):
+        at, size = rng.randrange(20), rng.randint(6, 60)
+        rows.append((k, " ".join(common[at : at + size] + prose(rng, k % 4))))
+    docs = docs_of(rows).selectExpr("doc_id AS __id", "text AS __text")
+    sets = near_copies._banded(docs, "bigint", 0.8).groupBy("whole").agg(*[F.first(c).alias(c) for c in ("size", "prefix", "bits")], F.min("__id").alias("low"))
+    sets = cut(sets.withColumn("u", F.col("low")))
+    found = {i: i for i in (r["u"] for r in sets.collect())}
+    none = sets.selectExpr("u AS a", "u AS b").limit(0)
+    links = near_copies._prefix_links(docs, sets, none, 0.8, 4)
+    found |= {r["node"]: r["root"] for r in components(links).collect()}
+    groups = brute(rows)
+    assert found == {i: groups[i] for i in found} and set(found) >= set(groups.values())
+
+
+def test_prefixes_and_parities_keep_similar_sets():
+    rng = np.random.default_rng(4)
+    for least in (0.8, 0.6, 0.3):
+        sets = []
+        for _ in range(60):
+            base = np.unique(rng.integers(0, 2**64, rng.choice([1, 4, 5, 9, 40, 63, 300]), dtype=np.uint64))
+            sets.append(base)
+            for share in rng.uniform(0.1, 0.6, 3):
+                left = base[rng.random(len(base)) > share / 2]
+                sets.append(np.unique(np.append(left, rng.integers(0, 2**64, int(share / 2 * len(base)), dtype=np.uint64))))
+        sets = [s for s in sets if len(s)]
+        often = np.unique(rng.choice(np.concatenate(sets), 500))
+        heads = near_copies.prefixes(sets, often, rng.integers(1, 50, len(often)), least)
+        assert not any(np.isin(h[: len(np.setdiff1d(s, often))], often).any() for h, s in zip(heads, sets))
+        sizes, roots = np.array(list(map(len, sets))), np.arange(len(sets))
+        bits = [near_copies.parities(s) for s in sets]
+        split = len(sets) // 3
+        able = [{tuple(sorted(p)) for p in zip(*map(list, near_copies.not_unlike(bits, sizes, roots, at, least)))} for at in (0, split)]
+        pairs = 0
+        for i in range(len(sets)):
+            for j in range(i + 1, len(sets)):
+                shared = len(np.intersect1d(sets[i], sets[j]))
+                if shared >= least * (len(sets[i]) + len(sets[j]) - shared):
+                    pairs += 1
+                    assert len(np.intersect1d(heads[i], heads[j]))
+                    assert (i, j) in able[0] and ((i, j) in able[1]) == (i < split <= j)
+        assert pairs > 20 and len(able[0]) < len(sets) ** 2 / 8
+        assert not len(near_copies.not_unlike(bits, sizes, np.zeros(len(sets), int), 0, least)[0])  # linked already
